@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmill.llm import line_dedup, quality_rules
+from quillmill.llm import line_dedup, mixing, quality_rules
 from quillmill.llm.common import table
 
 
@@ -15,9 +15,13 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(mixing.mix(table(spark, sf_dir, "documents"))).drop("source")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"), keep_text=False)
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op5_mixing, op10_line_dedup)}
 ORACLES: dict[str, str] = {}
