@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from quillmill.llm import line_dedup, mixing, quality_rules
-from quillmill.llm.common import table
+from quillmill.llm import license_scan, line_dedup, mixing, quality_rules, tokens
+from quillmill.llm.common import new_path, table
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,9 +23,14 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mixing.mix(table(spark, sf_dir, "documents"))).drop("source")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starts from an empty cache, so that the result is this run's own."""
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), new_path(spark, "token-cache"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"), keep_text=False)
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op5_mixing, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op2_license_scan, op3_quality_rules, op5_mixing, op9_token_counts, op10_line_dedup)}
 ORACLES: dict[str, str] = {}
