@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.llm import license_scan, line_dedup, mixing, quality_rules, tokens
+from quillmill.llm import language_id, license_scan, line_dedup, mixing, near_dedup, quality_rules, tokens
 from quillmill.llm.common import new_path, table
 
 
@@ -19,10 +19,18 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mixing.mix(table(spark, sf_dir, "documents"))).drop("source")
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starts from an empty cache, so that the result is this run's own."""
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), new_path(spark, "token-cache"))
@@ -32,5 +40,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"), keep_text=False)
 
 
-QUERIES = {f.__name__: f for f in (op2_license_scan, op3_quality_rules, op5_mixing, op9_token_counts, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op2_license_scan, op3_quality_rules, op4_language_id, op5_mixing, op7_near_dedup, op9_token_counts, op10_line_dedup)}
 ORACLES: dict[str, str] = {}
