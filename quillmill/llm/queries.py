@@ -5,10 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.llm import language_id, license_scan, line_dedup, mixing, near_dedup, quality_rules, tokens
+from quillmill.llm import decontamination, language_id, license_scan, line_dedup, mixing, near_dedup, quality_model, quality_rules, tokens
 from quillmill.llm.common import new_path, table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that cover half of a benchmark item's words, and by how much."""
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -31,6 +36,10 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.classify(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starts from an empty cache, so that the result is this run's own."""
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), new_path(spark, "token-cache"))
@@ -40,5 +49,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"), keep_text=False)
 
 
-QUERIES = {f.__name__: f for f in (op2_license_scan, op3_quality_rules, op4_language_id, op5_mixing, op7_near_dedup, op9_token_counts, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_license_scan, op3_quality_rules, op4_language_id, op5_mixing, op7_near_dedup, op8_quality_model, op9_token_counts, op10_line_dedup)}
 ORACLES: dict[str, str] = {}
