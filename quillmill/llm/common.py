@@ -96,19 +96,28 @@ def word_spans(raw: np.ndarray, in_word: np.ndarray = _IN_WORD) -> tuple[np.ndar
 
 def word_hashes(text: str | None, lower: bool = True, in_word: np.ndarray = _IN_WORD) -> np.ndarray:
     """A 64-bit hash of each word in order (words: runs outside ASCII white space; A-Z count as a-z)."""
+    return prefix_hashes(text, (), lower, in_word)[0]
+
+
+def prefix_hashes(text: str | None, prefixes: tuple[int, ...], lower: bool = True, in_word: np.ndarray = _IN_WORD) -> list[np.ndarray]:
+    """The hashes of all words, then for each of `prefixes` those of the longer words' first so many bytes."""
+    none = np.zeros(0, np.uint64)
     if not text:
-        return np.zeros(0, np.uint64)
+        return [none] * (len(prefixes) + 1)
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
     if lower:
         raw = _LOWER[raw]
     start, end = word_spans(raw, in_word)
     if not len(start):
-        return np.zeros(0, np.uint64)
-    size = 1 << max(16, len(raw).bit_length())
-    up, down = _powers(size)
+        return [none] * (len(prefixes) + 1)
+    up, down = _powers(1 << max(16, len(raw).bit_length()))
     total = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=total[1:])
-    return mix64((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+    out = [mix64((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))]
+    for size in prefixes:
+        s = start[end - start > size]
+        out.append(mix64((total[s + size] - total[s]) * down[s] + np.uint64(1000 + size)))
+    return out
 
 
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:

@@ -147,3 +147,14 @@ def predict(docs: DataFrame, names: list[str], prototypes: np.ndarray, id_col: s
 
 def identify(docs: DataFrame, per_language: int = 4000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     return predict(docs, *learn(docs, per_language, id_col, text_col, lang_col), id_col, text_col)
+
+
+def keep_known(docs: DataFrame, names: list[str], prototypes: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs, all columns, less the rows predicted `und`. Only the rejected ids are joined, so texts move only if those are many."""
+    return _less(docs, predict(docs, names, prototypes, id_col, text_col).filter("lang_pred = 'und'").select(id_col), id_col, text_col)
+
+
+def _less(docs: DataFrame, rejected: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    # a rejected text has no letter; rows of the same id that have one stay, and a null id is judged by its text alone
+    letter = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
+    return docs.filter(letter | F.col(id_col).isNotNull()).join(rejected.withColumnRenamed(id_col, "_rejected").distinct(), (F.col(id_col) == F.col("_rejected")) & ~letter, "left_anti")

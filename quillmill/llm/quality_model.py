@@ -1,11 +1,12 @@
 """A quality classifier from weak labels.
 
 Overlapping heuristics vote on each document: good, bad or no vote; three lists of insults vote on abuse. How often each is right isn't known; expectation-maximisation finds it from how the votes
-of all documents agree, which takes only the counts of vote patterns, a table as small for any corpus. The posterior labels of a sample then train
-two logistic scorers, of quality and of abuse, over hashed words and the votes, and those score every document.
+of all documents agree, which takes only the counts of vote patterns, a table as small for any corpus. Labels, where a document has some, are one more voter of each kind, which
+anchors the classes by a fixed accuracy. The posterior labels of a sample then train two logistic scorers, of quality and of abuse, over hashed words, their
+beginnings and the heuristics' votes, and those score every document, never by its label.
 
 Defined cases: a text without words, also a null one, has score 0 and isn't kept. A corpus without any votes is scored by the priors. Repeated rows each have
-their own result, and null ids are kept. An empty table gives an empty result.
+their own result, and null ids are kept. Of several labels of a document the lowest quality and highest toxicity count. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,11 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import materialize, mix64, only, word_hashes
+from quillmill.llm.common import materialize, mix64, only, prefix_hashes, word_hashes
 
-HASHED = 1 << 16
+HASHED = 1 << 18
+#: Word beginnings, in bytes, that are features besides whole words.
+PREFIXES = (4, 5, 6, 7, 8)
 #: Features kept of a document when the scorers are fitted; all are used when they score.
-FIT_FEATURES = 4096
+FIT_FEATURES = 8192
 _IN_WORD = np.zeros(256, np.uint8)
 _IN_WORD[48:58] = _IN_WORD[97:123] = _IN_WORD[128:] = 1
 
@@ -31,10 +34,14 @@ _IN_WORD[48:58] = _IN_WORD[97:123] = _IN_WORD[128:] = 1
 INSULTS = (
     ("idiot", "idiots", "moron", "morons", "stupid", "dumb", "imbecile", "fool", "cretin", "dimwit"),
     ("worthless", "trash", "scum", "garbage", "loser", "losers", "vermin", "filth", "parasite"),
-    ("pathetic", "disgusting", "clown", "clowns", "vile", "repulsive", "despicable", "ugly", "freak"),
+    ("pathetic", "disgusting", "clown", "clowns", "repulsive", "despicable", "ugly", "freak"),
 )
 QUALITY_VOTES = ("symbols", "shouting", "exclaims", "repeats", "lines", "sentences", "bars")
 ABUSE_VOTES = ("stupidity", "worth", "disgust")
+#: What a word must show to be a feature with a weight.
+TELLS, LEAST = 6.0, 4.0
+#: How often a label says bad of a bad document, and of a good one.
+LABEL_RATES = (0.98, 0.0001)
 _SYMBOLS, _ENDS = [ord(c) for c in "#*$%&|<>"], [ord(c) for c in ".!?"]
 
 
@@ -51,10 +58,10 @@ def _vote(x: float, good: float, bad: float) -> int:
 def look(text: str | None) -> tuple[str, np.ndarray]:
     """The votes, a digit each, and the hashed distinct words; no votes, "", for a text without words."""
     raw = (text or "").encode("utf-8", "surrogatepass")
-    w = word_hashes(text, in_word=_IN_WORD)
+    w, *begin = prefix_hashes(text, PREFIXES, in_word=_IN_WORD)
     n = len(w)
     if not n:
-        return "", np.zeros(0, np.uint16)
+        return "", np.zeros(0, np.uint32)
     count = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
     distinct = np.unique(w)
     upper, lower = int(count[65:91].sum()), int(count[97:123].sum())
@@ -69,13 +76,13 @@ def look(text: str | None) -> tuple[str, np.ndarray]:
         _vote(count[124] / n, 0.02, 0.2),
     ]
     votes += [2 if np.isin(group, distinct).any() else 1 for group in _insults()]
-    return "".join(map(str, votes)), np.unique((mix64(distinct) >> np.uint64(48)).astype(np.uint16))
+    return "".join(map(str, votes)), np.unique((np.concatenate([distinct, *begin]) >> np.uint64(46)).astype(np.uint32))
 
 
-def estimate(patterns: dict[str, int], sensitivity: float, specificity: float, prior: float, rounds: int = 100) -> tuple[float, np.ndarray]:
+def estimate(patterns: dict[str, int], sensitivity: float, specificity: float, prior: float, anchor: tuple[float, float] | None = None, rounds: int = 100) -> tuple[float, np.ndarray]:
     """Expectation-maximisation for a hidden bad/good class. Returns the share of bad documents and [voter, (P(votes bad | bad), P(votes bad | good))], of those that vote.
 
-    Each estimate is held by some pseudo-documents of the start's values, so that no voter of few votes becomes certain.
+    anchor: the rates of the last voter, if they are known. Each estimate is held by some pseudo-documents of the start's values, so that no voter of few votes becomes certain.
     """
     keys = [k for k in sorted(patterns) if k]
     if not keys:
@@ -83,12 +90,16 @@ def estimate(patterns: dict[str, int], sensitivity: float, specificity: float, p
     v = np.array([[int(c) for c in k] for k in keys])
     n = np.array([patterns[k] for k in keys], float)
     start = np.tile([sensitivity, 1 - specificity], (v.shape[1], 1))
+    if anchor:
+        start[-1] = anchor
     rate, share, hold = start.copy(), prior, 5.0
     for _ in range(rounds):
         p = posterior(v, share, rate)
         new = rate.copy()
         for c, weight in enumerate((n * p, n * (1 - p))):
             new[:, c] = (weight @ (v == 2) + hold * start[:, c]) / (weight @ (v > 0) + hold)
+        if anchor:
+            new[-1] = anchor
         share = float((n @ p + hold * prior) / (n.sum() + hold))
         done, rate = np.abs(new - rate).max() < 1e-9, np.clip(new, 1e-6, 1 - 1e-6)
         if done:
@@ -103,67 +114,83 @@ def posterior(v: np.ndarray, share: float, rate: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
 
 
-def _inputs(votes: str, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Columns and values: the votes cast, a bias, and the words, which together weigh as much as one vote."""
-    cast = np.array([HASHED + 2 * k + int(c) - 1 for k, c in enumerate(votes) if c != "0"], np.int64)
-    column = np.concatenate([words.astype(np.int64), cast, [HASHED + 2 * len(votes)]])
-    value = np.ones(len(column))
-    value[: len(words)] = 1 / np.sqrt(max(len(words), 1))
-    return column, value
+def _columns(votes: str, words: np.ndarray) -> np.ndarray:
+    """The features of a document, each present once: its words and beginnings, the votes cast, and a bias."""
+    cast = [HASHED + 2 * k + int(c) - 1 for k, c in enumerate(votes) if c != "0"]
+    return np.concatenate([words.astype(np.int64), np.array([*cast, HASHED + 2 * len(votes)], np.int64)])
 
 
-def fit(sample: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, size: int, rounds: int = 60, step: float = 0.5, keep: float = 1e-4) -> np.ndarray:
-    """Weights of a logistic model for soft labels, by full-gradient Adagrad."""
+def fit(sample: list[np.ndarray], target: np.ndarray, size: int, rounds: int = 150, step: float = 0.3, keep: float = 1e-4) -> np.ndarray:
+    """Weights of a logistic model for soft labels, by full-gradient Adagrad.
+
+    Only words that clearly tell the classes apart have a weight: in bad documents by TELLS times as frequent as in good ones, and in at least LEAST of them.
+    """
     weights, seen = np.zeros(size), np.full(size, 1e-8)
     if not sample:
         return weights
-    column, value = (np.concatenate([x[k] for x in sample]) for k in (0, 1))
-    row = np.repeat(np.arange(len(sample)), [len(x[0]) for x in sample])
+    column, row = np.concatenate(sample), np.repeat(np.arange(len(sample)), [len(x) for x in sample])
+    bad = np.bincount(column, target[row], size)
+    good = np.bincount(column, 1 - target[row], size)
+    tells = (bad >= LEAST) & ((bad + 0.5) / (target.sum() + 1) >= TELLS * (good + 0.5) / (len(sample) - target.sum() + 1))
+    tells[HASHED:] = True
+    column, row = column[tells[column]], row[tells[column]]
     for _ in range(rounds):
-        z = np.bincount(row, weights[column] * value, len(sample))
+        z = np.bincount(row, weights[column], len(sample))
         error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - target
-        gradient = np.bincount(column, error[row] * value, size) / len(sample) + keep * weights
+        gradient = np.bincount(column, error[row], size) / len(sample) + keep * weights
         seen += gradient * gradient
         weights -= step * gradient / np.sqrt(seen)
     return weights
 
 
-def classify(docs: DataFrame, sample_docs: int = 12_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame | None = None, sample_docs: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, p_quality, p_toxic, score (p_quality less what p_toxic takes) and kept (both judge it clean).
 
-    sample_docs: about how many documents, chosen by a hash of the text, the scorers are fitted on. The label model takes the votes of all.
+    labels: id, quality and toxic (0 or 1, or null) of some documents. sample_docs: about how many documents, chosen by a hash of the id, the scorers are fitted
+    on: labelled ones, if there are any. The label model takes the votes of all.
     """
     spark = docs.sparkSession
     own = only(docs, id_col, text_col).toDF("id", "text")
-    share = min(1.0, sample_docs / max(own.count(), 1))
-    picked = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))
-    schema = pa.schema([("votes", pa.string()), ("words", pa.binary())])
+    if labels is None:
+        labels = spark.createDataFrame([], f"`{id_col}` long, quality int, toxic int")
+    said = only(labels, id_col, "quality", "toxic").toDF("id", "q", "t").filter("id IS NOT NULL").groupBy("id").agg(F.min("q").alias("q"), F.max("t").alias("t"))
+    said = said.select("id", F.expr("CASE q WHEN 1 THEN '1' WHEN 0 THEN '2' ELSE '0' END || CASE t WHEN 0 THEN '1' WHEN 1 THEN '2' ELSE '0' END").alias("label"))
+    labelled = said.count()
+    share = int(min(1.0, sample_docs / max(labelled or own.count(), 1)) * (1 << 20))
+    picked = F.pmod(F.xxhash64(F.coalesce("id", F.lit(0))), F.lit(1 << 20)) < F.lit(share)
+    if labelled:  # the ids broadcast are the sample's, about sample_docs
+        source = own.join(F.broadcast(said.filter(picked).select("id", F.lit(True).alias("picked"))), "id", "left").select("id", "text", "picked")
+    else:
+        source = own.select("id", "text", picked.alias("picked"))
+    schema = pa.schema([("id", pa.int64()), ("votes", pa.string()), ("words", pa.binary())])
 
     def watch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             votes, words = [], []
-            for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for text, wanted in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 v, w = look(text)
                 votes.append(v)
                 words.append(zlib.compress(w[:FIT_FEATURES].tobytes(), 1) if wanted and v else None)
-            yield pa.RecordBatch.from_pydict({"votes": votes, "words": words}, schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(votes, pa.string()), pa.array(words, pa.binary())], schema=schema)
 
-    seen = materialize(own.select("text", picked.alias("picked")).mapInArrow(watch, "votes string, words binary"), "votes")
+    seen = materialize(source.mapInArrow(watch, "id long, votes string, words binary"), "votes").filter("votes <> ''")
+    seen = seen.join(said, "id", "left").withColumn("votes", F.concat("votes", F.coalesce("label", F.lit("00"))))
     patterns = {r["votes"]: r["count"] for r in seen.groupBy("votes").count().collect()}  # 3 ** voters rows at most
-    q = len(QUALITY_VOTES)
+    q, every = len(QUALITY_VOTES), len(QUALITY_VOTES) + len(ABUSE_VOTES)
     models = []
-    for part, start in ((slice(0, q), (0.3, 0.99, 0.1)), (slice(q, None), (0.3, 0.999, 0.05))):
+    for part, start in (([*range(q), every], (0.3, 0.99, 0.1)), ([*range(q, every), every + 1], (0.4, 0.995, 0.05))):
         of: dict[str, int] = {}
         for k, n in patterns.items():
-            of[k[part]] = of.get(k[part], 0) + n
-        models.append((part, *estimate(of, *start)))
+            key = "".join(k[i] for i in part)
+            of[key] = of.get(key, 0) + n
+        models.append((part, *estimate(of, *start, LABEL_RATES)))
 
-    sample = [(r["votes"], np.frombuffer(zlib.decompress(r["words"]), np.uint16)) for r in seen.filter("words IS NOT NULL").toLocalIterator()]
-    size = HASHED + 2 * (q + len(ABUSE_VOTES)) + 1
-    inputs = [_inputs(v, w) for v, w in sample]
+    sample = [(r["votes"], np.frombuffer(zlib.decompress(r["words"]), np.uint32)) for r in seen.filter("words IS NOT NULL").toLocalIterator()]
+    size = HASHED + 2 * every + 1
+    inputs = [_columns(v[:every], w) for v, w in sample]
     weights = []
     for part, prior, rate in models:
-        v = np.array([[int(c) for c in votes[part]] for votes, _ in sample]).reshape(len(sample), -1)
+        v = np.array([[int(votes[i]) for i in part] for votes, _ in sample]).reshape(len(sample), -1)
         weights.append(fit(inputs, posterior(v, prior, rate) if len(sample) else np.zeros(0), size))
     shared = spark.sparkContext.broadcast(np.stack(weights))
     out_schema = pa.schema([(id_col, pa.int64()), ("p_quality", pa.float64()), ("p_toxic", pa.float64()), ("votes", pa.string())])
@@ -175,8 +202,7 @@ def classify(docs: DataFrame, sample_docs: int = 12_000, id_col: str = "doc_id",
                 votes, words = look(text)
                 seen_votes.append(votes)
                 if votes:
-                    column, value = _inputs(votes, words)
-                    p[k] = 1 / (1 + np.exp(-np.clip(shared.value[:, column] @ value, -30, 30)))
+                    p[k] = 1 / (1 + np.exp(-np.clip(shared.value[:, _columns(votes, words)].sum(axis=1), -30, 30)))
                     p[k, 0] = 1 - p[k, 0]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(p[:, 0]), pa.array(p[:, 1]), pa.array(seen_votes, pa.string())], schema=out_schema)
 

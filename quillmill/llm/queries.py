@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.llm import decontamination, language_id, license_scan, line_dedup, mixing, near_dedup, quality_model, quality_rules, tokens
+from quillmill.llm import decontamination, language_id, license_scan, line_dedup, mixing, near_dedup, quality_model, quality_rules, token_output, tokens
 from quillmill.llm.common import new_path, table
 
 
@@ -32,12 +32,18 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mixing.mix(table(spark, sf_dir, "documents"))).drop("source")
 
 
+def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "token-ids")
+    token_output.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path)
+    return token_output.read(spark, path)
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir, "documents"))
 
 
 def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_model.classify(table(spark, sf_dir, "documents"))
+    return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,5 +55,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"), keep_text=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_license_scan, op3_quality_rules, op4_language_id, op5_mixing, op7_near_dedup, op8_quality_model, op9_token_counts, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_license_scan, op3_quality_rules, op4_language_id, op5_mixing, op6_token_output, op7_near_dedup, op8_quality_model, op9_token_counts, op10_line_dedup)}
 ORACLES: dict[str, str] = {}
