@@ -6,8 +6,9 @@ expected number are thrown, whatever the text's length; each belongs to one coor
 signature. Two signatures agree in a coordinate with the probability of the weighted Jaccard similarity.
 
 Bands of the signature propose, exact similarity decides. Copies are first folded to one representative. In a band's bucket every member is compared with the
-bucket's smallest member, so a bucket of n costs n comparisons; where that leaves a bucket in several classes, members of different classes
-that the triangle inequality doesn't rule out are compared too. Classes are the connected components of the links.
+bucket's smallest member, so a bucket of n costs n comparisons. Where that leaves a bucket in several classes, those outside the smallest member's class are compared
+with all members, block against block: a task holds two blocks of at most CHUNK texts, counts their common runs by matrix products, and returns only links that join
+classes. No pair is ever a row. Classes are the connected components of the links.
 
 Defined cases: a text without words, also a null one, is a class of its own. A text of one to four words is one run. Rows of one id and equal text are copies; a null id
 counts as the smallest. Classes are named by their smallest id. An empty table gives an empty result.
@@ -26,6 +27,8 @@ from pyspark.sql import functions as F
 from quillmill.llm.common import materialize, mix64, only, shingle_hashes, word_hashes
 
 WORDS = 5
+CHUNK = 512
+_TILE = 8192
 BANDS, ROWS = 30, 7
 NO_ID = -(1 << 63)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -134,8 +137,49 @@ def _items_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.join(wanted, ["id", "d1", "d2"]).dropDuplicates(["id"]).select("id", "items")
 
 
+def _blocks(threshold: float):
+    """For two blocks of texts: links between them that join classes not joined yet."""
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by("rep")
+        side, reps, label = (group.column(c).to_numpy() for c in ("side", "rep", "label"))
+        column = group.column("items").combine_chunks()
+        flat, ends = column.flatten().to_numpy(), column.offsets.to_numpy()
+        size = np.diff(ends)
+        _, code, times = np.unique(flat, return_inverse=True, return_counts=True)
+        shared = times[code] > 1
+        _, code = np.unique(code[shared], return_inverse=True)
+        row = np.repeat(np.arange(len(reps)), size)[shared]
+        a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        common = np.zeros((len(a), len(b)), np.float32)
+        order = np.argsort(code, kind="stable")
+        code, row = code[order], row[order]
+        for low in range(0, int(code[-1]) + 1 if len(code) else 0, _TILE):
+            k = slice(*np.searchsorted(code, (low, low + _TILE)))
+            held = np.zeros((len(reps), _TILE), np.float32)
+            held[row[k], code[k] - low] = 1
+            common += held[a] @ held[b].T
+        similar = common >= (threshold - 1e-9) * (size[a][:, None] + size[b][None, :] - common)
+        up: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while up.get(x, x) != x:
+                x = up[x]
+            return x
+
+        links = []
+        for i, j in zip(*np.nonzero(similar & (label[a][:, None] != label[b][None, :])), strict=True):
+            x, y = top(int(label[a[i]])), top(int(label[b[j]]))
+            if x != y:
+                up[max(x, y)] = min(x, y)
+                links.append((int(reps[a[i]]), int(reps[b[j]])))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    return run
+
+
 def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, class_id (the smallest id of its class), kept (whether it is that one) and n_links, to other texts found similar."""
+    """One row per document: id, class_id (the smallest id of its class) and kept (whether it is that one)."""
     own = only(docs, id_col, text_col).toDF("id", "text").withColumn("id", F.coalesce("id", F.lit(NO_ID)))
     signed = materialize(own.mapInArrow(_sign, "id long, d1 long, d2 long, bands array<long>"), "signatures")
     some = signed.filter("bands IS NOT NULL")
@@ -154,23 +198,25 @@ def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", tex
     labels = components(links)
 
     # buckets that hold members outside the class of their smallest member
-    dist = tested.select(F.col("a").alias("hub"), F.col("b").alias("rep"), (1 - F.col("similarity")).alias("far"))
-    hub_label = labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_label"))
-    placed = members.filter("rep <> hub").join(dist, ["hub", "rep"]).join(labels, F.col("rep") == F.col("node"), "left").join(hub_label, "hub", "left")
-    placed = placed.select("band", "key", "rep", "far", F.coalesce("label", "rep").alias("label"), F.coalesce("hub_label", "hub").alias("hub_label"))
-    outside = placed.filter("label <> hub_label").select("band", "key", F.col("rep").alias("a"), F.col("far").alias("fa"), F.col("label").alias("la"))
-    others = placed.select("band", "key", F.col("rep").alias("b"), F.col("far").alias("fb"), F.col("label").alias("lb"), (F.col("label") == F.col("hub_label")).alias("at_hub"))
-    near = (F.col("la") != F.col("lb")) & (F.abs(F.col("fa") - F.col("fb")) <= 1 - threshold + 1e-9) & (F.col("at_hub") | (F.col("a") < F.col("b")))
-    more = outside.join(others, ["band", "key"]).filter(near).select("a", "b").distinct()
-    more = materialize(_similar(more, items, threshold).filter("linked").select("a", "b"), "tested")
+    at_hub = labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_label"))
+    placed = members.join(labels, F.col("rep") == F.col("node"), "left").join(at_hub, "hub", "left")
+    placed = placed.select("band", "key", "rep", F.coalesce("label", "rep").alias("label"), (F.coalesce("label", "rep") != F.coalesce("hub_label", "hub")).alias("outside"))
+    placed = materialize(placed, "placed")
+    sizes = placed.groupBy("band", "key").agg(F.count("*").alias("n"), F.sum(F.col("outside").cast("long")).alias("n_out")).filter("n_out > 0")
+    chunks = lambda c: F.ceil(F.col(c) / F.lit(CHUNK)).cast("int")
+    mixed = placed.join(sizes.select("band", "key", chunks("n").alias("all"), chunks("n_out").alias("outs")), ["band", "key"])
+    part = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    left = mixed.filter("outside").select("band", "key", "rep", "label", part("outs").alias("i"), F.explode(F.expr("sequence(0, all - 1)")).alias("j"), F.lit(0).alias("side"))
+    right = mixed.select("band", "key", "rep", "label", F.explode(F.expr("sequence(0, outs - 1)")).alias("i"), part("all").alias("j"), F.lit(1).alias("side"))
+    both = left.unionByName(right).join(items.withColumnRenamed("id", "rep"), "rep")
+    more = both.groupBy("band", "key", "i", "j").applyInArrow(_blocks(threshold), "a long, b long").distinct()
+    more = materialize(more, "more-links")
     if not more.isEmpty():
-        links = links.union(more).distinct()
-        labels = components(links)
-
-    linked = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    by_text = reps.select("d1", "d2", "rep").join(labels.join(linked, "node", "left"), F.col("rep") == F.col("node"), "left")
-    by_text = by_text.select("d1", "d2", F.coalesce("label", "rep").alias("class"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
-    out = some.select("id", "d1", "d2").join(by_text, ["d1", "d2"]).select("id", "class", "n_links")
-    out = out.union(signed.filter("bands IS NULL").select("id", F.col("id").alias("class"), F.lit(0).cast("long")))
+        labels = components(links.union(more).distinct())
+
+    by_text = reps.select("d1", "d2", "rep").join(labels, F.col("rep") == F.col("node"), "left")
+    by_text = by_text.select("d1", "d2", F.coalesce("label", "rep").alias("class"))
+    out = some.select("id", "d1", "d2").join(by_text, ["d1", "d2"]).select("id", "class")
+    out = out.union(signed.filter("bands IS NULL").select("id", F.col("id").alias("class")))
     real = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
-    return out.select(real("id").alias(id_col), real("class").alias("class_id"), (F.col("id") == F.col("class")).alias("kept"), "n_links")
+    return out.select(real("id").alias(id_col), real("class").alias("class_id"), (F.col("id") == F.col("class")).alias("kept"))
