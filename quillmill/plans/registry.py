@@ -1,4 +1,411 @@
-"""All queries of the library's own operators and their SQL."""
+"""All queries of the library's own operators, and SQL that says what they should give without using them."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from quillmill.functions import cells as cell_functions
+from quillmill.functions import text as text_functions
+from quillmill.functions.detect import is_axis, is_collapsed, is_date_only, is_multi_space, is_spaced, spacing_badness
+from quillmill.functions.regex import let
+from quillmill.operators import audit, glyphs, markdown, pictures, quality, select, tables
+from quillmill.plans import views
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+_W = r"[\p{L}\p{N}_]"
+_STRIP = "' ' || chr(9) || chr(10) || chr(13)"
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = views.duck(sql)
+        return f
+
+    return add
+
+
+def _docs(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- quality, detectors ----------------------------------------------------------------------------
+
+
+@query("""
+WITH l AS (SELECT doc_id, trim(unnest(string_split(text, chr(10)))) AS x FROM documents),
+r AS (SELECT doc_id, count(*) AS n FROM (SELECT doc_id, lower(x) AS y FROM l WHERE length(x) >= 6 AND NOT starts_with(x, '#') AND NOT starts_with(x, '<!-- image') AND NOT starts_with(x, '<!-- page break') GROUP BY doc_id, y HAVING count(*) >= 3) GROUP BY doc_id),
+s AS (SELECT doc_id, count(*) AS n FROM l WHERE length(replace(x, ' ', '')) <= 4 AND regexp_matches(x, '\\p{L}') GROUP BY doc_id)
+SELECT d.doc_id, greatest(100 - 5 * coalesce(s.n, 0) - 2 * coalesce(r.n, 0) - c.n, 0)::BIGINT AS score, coalesce(s.n, 0)::BIGINT AS short_line_count, coalesce(r.n, 0)::BIGINT AS repeated_line_count, c.n::BIGINT AS control_char_count
+FROM documents d JOIN (SELECT doc_id, len(regexp_extract_all(text, '[\\x00-\\x08\\x0b-\\x1f]')) AS n FROM documents) c USING (doc_id) LEFT JOIN r USING (doc_id) LEFT JOIN s USING (doc_id)
+""")
+def quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(_docs(spark, sf_dir).select("doc_id", "text"))
+
+
+_LINES = "SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no, unnest(string_split(text, chr(10))) AS line FROM documents"
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _docs(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).withColumn("line_no", F.col("line_no").cast("long"))
+
+
+@query(rf"""
+WITH t AS (SELECT doc_id, line_no, line, regexp_extract_all(line, '{_W}+|\s+|[^\p{{L}}\p{{N}}_\s]+') AS k, regexp_extract_all(line, '\S+') AS w FROM ({_LINES})),
+p AS (SELECT *, list_transform(generate_series(1, len(k)), lambda i: regexp_full_match(k[i], '{_W}')) AS one, list_transform(generate_series(1, len(k)), lambda i: regexp_full_match(k[i], '\s+')) AS gap,
+  list_transform(generate_series(1, len(k)), lambda i: regexp_full_match(k[i], '\p{{L}}') AND k[i] NOT IN ('a', 'A', 'I', 'i', 'o', 'O')) AS rare,
+  list_transform(generate_series(1, len(k)), lambda i: regexp_full_match(k[i], '{_W}{{2,}}')) AS word FROM t),
+q AS (SELECT *, list_bool_or(list_transform(generate_series(1, len(k) - 6), lambda i: regexp_full_match(k[i], '\d') AND regexp_full_match(k[i + 2], '\d') AND regexp_full_match(k[i + 4], '\d') AND regexp_full_match(k[i + 6], '\d') AND gap[i + 1] AND gap[i + 3] AND gap[i + 5])) AS r1,
+  regexp_matches(line, '\d[.,/]\s+\d|\d\s+[.,/]\s*\d') AS r2, list_bool_or(list_transform(generate_series(1, len(k) - 2), lambda i: one[i] AND one[i + 2] AND gap[i + 1] AND (rare[i] OR rare[i + 2]))) AS r3,
+  list_filter(generate_series(1, len(k) - 4), lambda i: word[i] AND one[i + 2] AND word[i + 4] AND gap[i + 1] AND gap[i + 3]) AS mid,
+  len(list_filter(w, lambda x: regexp_full_match(x, '[\p{{L}}\p{{N}}]'))) AS n1, len(list_filter(w, lambda x: regexp_full_match(x, '\p{{L}}') AND x NOT IN ('a', 'A', 'I', 'i', 'o', 'O'))) AS nr FROM p)
+SELECT doc_id, count(*) FILTER (coalesce(r1, false) OR r2 OR coalesce(r3, false) OR length(line) >= 6 AND (len(list_filter(mid, lambda i: rare[i + 2])) > 0 OR len(w) >= 4 AND (2 * n1 >= len(w) OR len(mid) > 0 AND (nr >= 2 OR n1 > 0 AND 2 * nr >= n1))))::BIGINT AS spaced,
+  count(*) FILTER (regexp_matches(line, '\S[ \t][ \t]+\S'))::BIGINT AS multi_space, count(*)::BIGINT AS n FROM q GROUP BY doc_id
+""")
+def spacing_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = lambda c: F.sum(c.cast("long"))
+    return _lines(spark, sf_dir).groupBy("doc_id").agg(n(is_spaced(F.col("line"))).alias("spaced"), n(is_multi_space(F.col("line"))).alias("multi_space"), F.count("*").alias("n"))
+
+
+@query(rf"""
+WITH t AS (SELECT doc_id, line_no, line, list_transform(regexp_extract_all(line, '{_W}+'), lambda x: length(x)) AS n FROM ({_LINES}))
+SELECT doc_id, line_no::BIGINT AS line_no, regexp_matches(line, '[\p{{L}}\p{{Nl}}\p{{No}}]{{20}}') OR regexp_matches(line, '[\p{{L}}\p{{Nl}}\p{{No}}]{{6}}\p{{Nd}}{{2,}}[\p{{L}}\p{{Nl}}\p{{No}}]{{2}}|\p{{Nd}}{{2}}[\p{{L}}\p{{Nl}}\p{{No}}]{{6}}')
+  OR length(line) >= 60 AND len(n) >= 8 AND (list_avg(n) >= 9 OR len(list_filter(n, lambda x: x >= 18)) >= 2 OR length(line) > 120 AND length(line) - length(replace(line, ' ', '')) < 0.05 * length(line)) AS collapsed
+FROM t
+""")
+def collapsed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(spark, sf_dir).select("doc_id", "line_no", is_collapsed(F.col("line")).alias("collapsed"))
+
+
+@query(None)
+def spacing_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(spark, sf_dir).groupBy("doc_id").agg(F.sum(spacing_badness(F.col("line"))).alias("badness"))
+
+
+# --- texts -----------------------------------------------------------------------------------------
+
+
+@query("SELECT doc_id, text || ' A/B' AS text FROM documents")
+def whitespace_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    noisy = F.concat(F.replace(F.replace("text", F.lit(", "), F.lit(",  ")), F.lit(" de "), F.lit(" \t de ")), F.lit(" A B"))
+    return _docs(spark, sf_dir).select("doc_id", text_functions.normalize_whitespace(noisy).alias("text"))
+
+
+@query("SELECT doc_id, text FROM documents")
+def ligature_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    noisy = F.replace(F.replace("text", F.lit("fi"), F.lit("ﬁ")), F.lit("ff"), F.lit("ﬀ"))
+    return _docs(spark, sf_dir).select("doc_id", text_functions.normalize_ligatures(noisy).alias("text"))
+
+
+@query("SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'Subvenții și creanțe ' || doc_id WHEN 1 THEN 'Datorii curente ' || doc_id ELSE 'SubvenÈ›ii și Ã ' || doc_id END AS text FROM documents")
+def mojibake_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    broken = F.when(F.col("doc_id") % 3 == 0, F.lit("SubvenÈ›ii È™i creanÈ›e ")).when(F.col("doc_id") % 3 == 1, F.lit("Datorii curente ")).otherwise(F.lit("SubvenÈ›ii și Ã "))
+    return _docs(spark, sf_dir).select("doc_id", text_functions.normalize_mojibake(F.concat(broken, F.col("doc_id").cast("string"))).alias("text"))
+
+
+# --- audits ----------------------------------------------------------------------------------------
+
+_ENTRIES = rf"""
+  SELECT doc_id, page_no, 't' AS kind, trim(replace(lower(x), 'ß', 'ss'), '_') AS x, side FROM (SELECT doc_id, page_no, side, unnest(regexp_extract_all(text, '{_W}+')) AS x FROM s)
+  UNION ALL SELECT DISTINCT doc_id, page_no, 'n', CASE WHEN contains(y, ',') AND contains(y, '.') THEN CASE WHEN regexp_matches(y, ',[^.]*$') THEN replace(replace(y, '.', ''), ',', '.') ELSE replace(y, ',', '') END
+      WHEN length(y) - length(replace(y, ',', '')) = 1 AND NOT contains(y, '.') THEN replace(replace(y, ',', '.'), ' ', '') ELSE replace(y, ' ', '') END || CASE WHEN ends_with(x, '%') THEN '%' ELSE '' END, side
+    FROM (SELECT *, rtrim(x, '%') AS y FROM (SELECT doc_id, page_no, side, unnest(regexp_extract_all(text, '(?:^|[^\p{{L}}\p{{N}}_])([+-]?(?:\p{{Nd}}{{1,3}}(?:[ .]\p{{Nd}}{{3}})+|\p{{Nd}}+)(?:[.,]\p{{Nd}}+)?%?)', 1)) AS x FROM s))
+  UNION ALL SELECT DISTINCT doc_id, page_no, 'd', x, side FROM (SELECT doc_id, page_no, side, unnest(regexp_extract_all(text, '(?:^|[^\p{{L}}\p{{N}}_])(\p{{Nd}}{{1,2}}[./-]\p{{Nd}}{{1,2}}[./-]\p{{Nd}}{{2,4}})(?:$|[^\p{{L}}\p{{N}}_])', 1)) AS x FROM s)
+"""
+_SHARES = """
+  SELECT doc_id, page_no, coalesce(avg(hit) FILTER (kind = 't'), 1.0) AS token_coverage, coalesce(avg(hit) FILTER (kind = 'n'), 1.0) AS numeric_recall, coalesce(avg(hit) FILTER (kind = 'd'), 1.0) AS date_recall
+  FROM (SELECT s.doc_id, s.page_no, e.kind, CASE WHEN c.x IS NULL THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS hit FROM (SELECT DISTINCT doc_id, page_no FROM s WHERE side = 'r') s LEFT JOIN (SELECT * FROM e WHERE side = 'r') e USING (doc_id, page_no) LEFT JOIN (SELECT DISTINCT doc_id, page_no, kind, x FROM e WHERE side = 'c') c USING (doc_id, page_no, kind, x)) GROUP BY doc_id, page_no
+"""
+
+
+@query(f"""
+WITH s AS (SELECT doc_id, 0 AS page_no, 'r' AS side, text || ' 1.234,5 and 12% on 31.12.2024' AS text FROM documents UNION ALL SELECT doc_id, 0, 'c', substr(text, 1, cast(floor(n_chars * 0.8) AS INT)) || ' 1234.5' FROM documents),
+e AS ({_ENTRIES}) SELECT doc_id, token_coverage, numeric_recall, date_recall FROM ({_SHARES})
+""")
+def audit_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _docs(spark, sf_dir)
+    return audit.recall(d.select("doc_id", F.concat("text", F.lit(" 1.234,5 and 12% on 31.12.2024")).alias("reference"), F.concat(F.expr("substr(text, 1, cast(floor(n_chars * 0.8) AS int))"), F.lit(" 1234.5")).alias("candidate")), "doc_id")
+
+
+@query(f"""
+WITH m AS (SELECT doc_id, list_filter(list_transform(string_split(markdown, '{views.BREAK}'), lambda x: trim(x, {_STRIP})), lambda x: x <> '') AS p FROM ({views.RENDERED})),
+r AS (SELECT doc_id, page_no, text, row_number() OVER (PARTITION BY doc_id ORDER BY page_no) AS k FROM ({views.PAGES})),
+z AS (SELECT r.doc_id, r.page_no, r.text, coalesce(m.p[r.k], '') AS md FROM r JOIN m USING (doc_id)),
+s AS (SELECT doc_id, page_no, 'r' AS side, text FROM z UNION ALL SELECT doc_id, page_no, 'c', md FROM z), e AS ({_ENTRIES})
+SELECT doc_id, page_no, token_coverage, numeric_recall, date_recall, length(text)::BIGINT AS pdf_text_length, length(md)::BIGINT AS md_text_length FROM ({_SHARES}) JOIN z USING (doc_id, page_no) ORDER BY token_coverage, doc_id, page_no LIMIT 100
+""")
+def page_audit_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.worst_pages(audit.per_page(views.of(spark, sf_dir, views.PAGES), views.of(spark, sf_dir, views.RENDERED)), 100)
+
+
+# --- Markdown --------------------------------------------------------------------------------------
+
+_PARTS = f"string_split(markdown, '{views.BREAK}')"
+
+
+@query(f"""
+WITH l AS (SELECT doc_id, string_split(markdown, chr(10)) AS x FROM ({views.MD}))
+SELECT doc_id, len(list_filter(x, lambda y: starts_with(ltrim(y), '#')))::BIGINT AS headings, len(list_filter(generate_series(2, len(x)), lambda i: starts_with(trim(x[i]), '|') AND contains(x[i], '---') AND contains(x[i - 1], '|')))::BIGINT AS tables,
+  (SELECT len(list_filter({_PARTS}, lambda p: trim(p, {_STRIP}) <> '')) FROM ({views.MD}) m WHERE m.doc_id = l.doc_id)::BIGINT AS pages FROM l
+""")
+def md_structure_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    md = views.of(spark, sf_dir, views.MD)
+    pages = markdown.split_pages(md).groupBy("doc_id").agg(F.count("*").alias("pages"))
+    return md.select("doc_id", markdown.heading_count(F.col("markdown")).alias("headings"), markdown.table_count(F.col("markdown")).alias("tables")).join(pages, "doc_id")
+
+
+def _marked(head: str, tail: str) -> str:
+    return f"""SELECT doc_id, array_to_string(list_transform(p, lambda x, i: '{head}' || i || '{tail}' || chr(10) || chr(10) || x), chr(10) || chr(10) || '{views.BREAK}' || chr(10) || chr(10)) AS markdown
+FROM (SELECT doc_id, list_filter(list_transform({_PARTS}, lambda x: trim(x, {_STRIP})), lambda x: x <> '') AS p FROM ({views.MD}))"""
+
+
+@query(_marked("**[Page ", "]**"))
+def page_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old = F.concat(F.lit("<!-- page: 7 -->"), F.replace("markdown", F.lit(views.BREAK), F.lit(f"**[Page 3]**{views.BREAK}[//]: # (page: 12)")))
+    return views.of(spark, sf_dir, views.MD).select("doc_id", markdown.add_page_markers(old).alias("markdown"))
+
+
+@query(_marked("[//]: # (page: ", ")"))
+def page_markers_comment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.of(spark, sf_dir, views.MD).select("doc_id", markdown.add_page_markers(F.col("markdown"), visible=False).alias("markdown"))
+
+
+_JOIN = f"chr(10) || chr(10) || '{views.BREAK}' || chr(10) || chr(10)"
+
+
+@query(f"""
+SELECT doc_id, array_to_string(list_transform({_PARTS}, lambda p, i: array_to_string(CASE WHEN doc_id % 3 <> 0 AND i IN (2, 3) THEN list_filter(string_split(regexp_replace(p, chr(10) || '$', ''), chr(10)), lambda x: x <> '## ' || source) ELSE string_split(regexp_replace(p, chr(10) || '$', ''), chr(10)) END, chr(10))), {_JOIN}) AS markdown FROM ({views.MD})
+""")
+def repeated_heading_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markdown.reduce_noise(views.of(spark, sf_dir, views.MD).select("doc_id", "markdown"))
+
+
+@query(f"""
+SELECT doc_id, CASE WHEN doc_id % 2 = 1 OR doc_id % 4 = 2 THEN replace(markdown, '{views.BREAK}', {_JOIN}) ELSE replace(replace(markdown, chr(10) || '### Orphan heading', '#~'), '{views.BREAK}', {_JOIN}) END AS md0,
+  CASE WHEN contains(md0, '#~') THEN array_to_string(list_transform(string_split(md0, '#~'), lambda x, i: CASE WHEN i = 1 THEN rtrim(x, {_STRIP}) ELSE x END), '') ELSE md0 END AS markdown FROM ({views.MD})
+""".replace("SELECT doc_id, CASE WHEN", "SELECT doc_id, markdown FROM (SELECT doc_id, CASE WHEN", 1).rstrip() + ")")
+def orphan_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markdown.remove_orphan_headings(views.of(spark, sf_dir, views.MD).select("doc_id", "markdown"))
+
+
+@query(f"""
+SELECT doc_id, array_to_string(list_transform({_PARTS}, lambda p: replace(array_to_string(list_filter(list_transform(regexp_split_to_array(p, '\\n\\n+'), lambda b: trim(b, {_STRIP})), lambda b: b <> ''), chr(10) || chr(10)),
+  'ACTIVE CIRCULANTE' || chr(10) || chr(10) || 'RON ' || n_chars || ' MIL.' || chr(10) || chr(10) || '+' || doc_id % 90 || '%', 'ACTIVE CIRCULANTE RON ' || n_chars || ' MIL. +' || doc_id % 90 || '%')), {_JOIN}) AS markdown FROM ({views.MD})
+""")
+def kpi_block_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.of(spark, sf_dir, views.MD).select("doc_id", markdown.merge_kpi_blocks(F.col("markdown")).alias("markdown"))
+
+
+@query(f"""
+SELECT doc_id, array_to_string(list_transform({_PARTS}, lambda p: array_to_string(list_filter(string_split(regexp_replace(p, chr(10) || '$', ''), chr(10)), lambda x: x NOT IN ('74% 9L 2025', CASE WHEN n_chars < 10000 THEN 'RON ' || n_chars || ' MIL.' ELSE '~' END, '+' || doc_id % 90 || '%')), chr(10))), {_JOIN}) AS markdown FROM ({views.MD})
+""")
+def axis_line_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.of(spark, sf_dir, views.MD).select("doc_id", markdown.remove_axis_lines(F.col("markdown")).alias("markdown"))
+
+
+@query(None)
+def markdown_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All passes in their order."""
+    return markdown.clean(views.of(spark, sf_dir, views.MD).select("doc_id", "markdown"), remove_images=True)
+
+
+# --- cells and tables ------------------------------------------------------------------------------
+
+
+@query(f"SELECT doc_id, cell_no, clean AS text FROM ({views.CELLS})")
+def cell_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.clean_cells(views.of(spark, sf_dir, views.CELLS)).select("doc_id", "cell_no", "text")
+
+
+@query(f"SELECT cell_no, clean AS text FROM ({views.HEADERS})")
+def header_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.normalize_headers(views.of(spark, sf_dir, views.HEADERS).withColumn("r0", F.lit(0))).select("cell_no", "text")
+
+
+@query(f"SELECT doc_id, sum(broken)::BIGINT AS suspect_cells FROM ({views.SUSPECTS}) GROUP BY doc_id")
+def suspect_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.suspect_cells(views.of(spark, sf_dir, views.SUSPECTS))
+
+
+@query(f"""
+WITH v AS (SELECT *, CASE WHEN r0 <> 0 AND c1 - c0 = 1 THEN substr(text, 1, 3) END AS own FROM ({views.VOTES})),
+n AS (SELECT doc_id, c0, count(*) AS n, count(*) FILTER (own = 'RON') AS ron FROM v WHERE own IS NOT NULL GROUP BY doc_id, c0),
+w AS (SELECT doc_id, c0, CASE WHEN 2 * ron >= n THEN 'RON' ELSE 'EUR' END AS won FROM n WHERE n >= 2 AND greatest(ron, n - ron) >= 0.7::DOUBLE * n)
+SELECT doc_id, cell_no, CASE WHEN own <> won THEN replace(replace(text, 'EUR', won), 'RON', won) ELSE text END AS text FROM v LEFT JOIN w USING (doc_id, c0)
+""")
+def currency_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.vote_currencies(views.of(spark, sf_dir, views.VOTES)).select("doc_id", "cell_no", "text")
+
+
+@query(f"""
+WITH v AS ({views.SPANS}), g AS (SELECT *, doc_id % 4 <> 0 AS ok, CASE WHEN doc_id % 4 = 0 THEN c0 ELSE (c0 + 1) // 2 END AS n0, CASE WHEN doc_id % 4 = 0 THEN c1 ELSE c1 // 2 + 1 END AS n1 FROM v)
+SELECT doc_id, r0::INT AS r0, n0::INT AS c0, n1::INT AS c1, CASE WHEN ok THEN coalesce(string_agg(trim(text), ' ' ORDER BY c0) FILTER (trim(text) <> ''), '') ELSE min(text) END AS text, min(l) AS l, max(r) AS r, min(t) AS t, max(b) AS b, bool_or(column_header) AS column_header, CASE WHEN ok THEN 3 ELSE 5 END::INT AS num_cols
+FROM g GROUP BY doc_id, r0, n0, n1, ok
+""")
+def header_group_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = views.of(spark, sf_dir, views.SPANS)
+    box = F.struct("l", "t", "r", "b", F.lit("TOPLEFT").alias("origin"))
+    cells = v.select("doc_id", "table_no", "cell_no", "r0", "r1", "c0", "c1", "text", box.alias("bbox"), "column_header", *[F.lit(False).alias(n) for n in ("row_header", "row_section", "fillable")])
+    new_tables, new_cells = tables.collapse_header_groups(v.select("doc_id", "table_no", "num_cols").distinct(), cells)
+    out = new_cells.join(new_tables, ["doc_id", "table_no"])
+    return out.select("doc_id", "r0", "c0", "c1", "text", "bbox.l", "bbox.r", "bbox.t", "bbox.b", "column_header", "num_cols")
+
+
+_TOC = f"SELECT *, num_cols = 2 AND num_rows >= 6 AND doc_id % 2 = 0 AS toc_like FROM ({views.CONTENTS})"
+
+
+@query(f"SELECT doc_id, toc_like FROM ({_TOC})")
+def toc_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = views.of(spark, sf_dir, views.CONTENTS)
+    return tables.toc_like(v.drop("text"), v.select("doc_id", "table_no", F.lit(0).alias("cell_no"), "text")).select("doc_id", "toc_like")
+
+
+@query(f"SELECT doc_id, count(*)::BIGINT AS table_count_pdf, sum(num_rows * num_cols)::BIGINT AS table_cells_pdf FROM ({_TOC}) WHERE NOT toc_like GROUP BY doc_id")
+def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = views.of(spark, sf_dir, views.CONTENTS)
+    return tables.table_stats(v.drop("text"), v.select("doc_id", "table_no", F.lit(0).alias("cell_no"), "text"))
+
+
+def _two_readings(spark: SparkSession, sf_dir: str, other: str, shift: float) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    v, t = views.of(spark, sf_dir, views.READING), views.of(spark, sf_dir, views.READING_TABLES)
+    box = lambda d: F.struct((F.col("l") + d).alias("l"), F.col("t").alias("t"), (F.col("l") + 20 + d).alias("r"), (F.col("t") + 10).alias("b"), F.lit("TOPLEFT").alias("origin")).alias("bbox")
+    keys = ["doc_id", "table_no", "cell_no", "r0", "r1", "c0", "c1"]
+    # the other reading misses the last table of every fifth document, so that its cells are found by place only
+    lost = F.col("table_no") == F.when(F.col("doc_id") % 5 == 0, 2).otherwise(-1)
+    there = t.withColumn("num_rows", F.when(lost, 77).otherwise(F.col("num_rows")))
+    return t, v.select(*keys, "text", box(0.0)), there, v.select(*keys, F.col(other).alias("text"), box(shift))
+
+
+_MERGED = f"""
+WITH v AS (SELECT r.*, CASE WHEN o_lost THEN NULL ELSE 1 END AS shaped FROM (SELECT *, doc_id % 5 = 0 AND table_no = 2 AS o_lost FROM ({views.READING})) r)
+"""
+
+
+@query(f"SELECT doc_id, table_no, cell_no, CASE WHEN cell_no % 3 = 0 THEN other ELSE text END AS text, cell_no % 3 = 0 AS was_spaced, CASE WHEN cell_no % 3 = 0 THEN 1 ELSE 0 END::BIGINT AS replaced FROM ({views.READING}) WHERE NOT (doc_id % 5 = 0 AND table_no = 2)")
+def merge_cells_by_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = tables.merge_spaced(*_two_readings(spark, sf_dir, "other", 500.0)).filter(~((F.col("doc_id") % 5 == 0) & (F.col("table_no") == 2)))
+    return out.select("doc_id", "table_no", "cell_no", "text", "was_spaced", "replaced")
+
+
+@query(f"""
+WITH v AS ({views.READING}), b AS (SELECT * FROM v WHERE doc_id % 5 = 0 AND table_no = 2 AND cell_no % 3 = 0),
+m AS (SELECT b.doc_id, b.cell_no, o.other, o.table_no AS t, o.cell_no AS c, greatest(least(b.l + 20, o.l + 22) - greatest(b.l, o.l + 2), 0) * greatest(least(b.t, o.t) + 10 - greatest(b.t, o.t), 0) / 200 AS a FROM b JOIN v o ON b.doc_id = o.doc_id),
+best AS (SELECT doc_id, cell_no, other, row_number() OVER (PARTITION BY doc_id, cell_no ORDER BY a * 0.7::DOUBLE + a * 0.3::DOUBLE DESC, t, c) AS k FROM m WHERE a >= 0.5)
+SELECT b.doc_id, b.cell_no, coalesce(best.other, b.text) AS text FROM b LEFT JOIN best ON b.doc_id = best.doc_id AND b.cell_no = best.cell_no AND k = 1
+""")
+def merge_cells_spatial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = tables.merge_spaced(*_two_readings(spark, sf_dir, "other", 2.0)).filter("doc_id % 5 = 0 AND table_no = 2 AND cell_no % 3 = 0")
+    return out.select("doc_id", "cell_no", "text")
+
+
+@query(f"""
+SELECT doc_id, table_no, cell_no, CASE WHEN cell_no % 3 <> 0 AND cell_no % 4 = 0 THEN number ELSE text END AS text FROM ({views.READING}) WHERE NOT (doc_id % 5 = 0 AND table_no = 2)
+""")
+def suspect_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = tables.merge_suspect(*_two_readings(spark, sf_dir, "number", 500.0)).filter(~((F.col("doc_id") % 5 == 0) & (F.col("table_no") == 2)))
+    return out.select("doc_id", "table_no", "cell_no", "text")
+
+
+# --- pictures, glyphs, choices -----------------------------------------------------------------------
+
+
+def _items(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    v = views.of(spark, sf_dir, views.BOXES)
+    flip = lambda a: F.when(F.col("flipped"), 300 - F.col(a)).otherwise(F.col(a))
+    box = F.struct("l", flip("t").alias("t"), "r", flip("b").alias("b"), F.when(F.col("flipped"), "BOTTOMLEFT").otherwise("TOPLEFT").alias("origin"))
+    pages = v.select("doc_id", "page_no").distinct().withColumn("height", F.lit(300.0))
+    return v.select("doc_id", "item_no", "kind", "page_no", "text", box.alias("bbox")), pages
+
+
+def _outside(*texts: str) -> str:
+    return f"""
+WITH v AS ({views.BOXES}) SELECT doc_id, item_no FROM v a WHERE NOT (kind = 'text' AND text IN {texts} AND EXISTS (SELECT 1 FROM v p WHERE p.doc_id = a.doc_id AND p.page_no = a.page_no AND p.kind = 'picture'
+  AND greatest(least(a.r, p.r) - greatest(a.l, p.l), 0) * greatest(least(a.b, p.b) - greatest(a.t, p.t), 0) / 100 >= 0.6))"""
+
+
+@query(_outside("31.12.2024", ""))
+def picture_date_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pictures.remove_dates_inside_pictures(*_items(spark, sf_dir)).select("doc_id", "item_no")
+
+
+@query(_outside("74% 9L 2025", "31.12.2024"))  # a date alone looks like ticks, too
+def picture_axis_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pictures.remove_axis_texts_inside_pictures(*_items(spark, sf_dir)).select("doc_id", "item_no")
+
+
+@query("SELECT p_partkey AS doc_id, trim(p_name) AS text FROM part")
+def glyph_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names set glyph by glyph, two words a line, without blanks but with gaps; read back."""
+    words = F.split(F.trim("p_name"), " +")
+    g = _docs(spark, sf_dir, "part").select("p_partkey", F.posexplode(words).alias("w", "word"))
+    before = F.sum(F.length("word") * 6 + 5).over(Window.partitionBy("p_partkey", F.floor(F.col("w") / 2)).orderBy("w")) - F.length("word") * 6
+    g = g.withColumn("x", before).select("p_partkey", "w", "x", F.posexplode(F.filter(F.split("word", ""), lambda c: c != "")).alias("i", "ch"))
+    y = F.floor(F.col("w") / 2) * 20
+    piece = F.struct(F.col("ch").alias("text"), (F.col("x") + F.col("i") * 6).cast("double").alias("x0"), (y + F.col("i") % 2).cast("double").alias("y0"), (F.col("x") + F.col("i") * 6 + 5.5).cast("double").alias("x1"), (y + 10).cast("double").alias("y1"))
+    return g.groupBy(F.col("p_partkey").alias("doc_id")).agg(F.collect_list(piece).alias("p")).select("doc_id", glyphs.read_glyphs(F.col("p")).alias("text"))
+
+
+@query("""
+SELECT doc_id, item_no, caption FROM (SELECT c_custkey % 100 AS doc_id, c_custkey AS item_no, 'PROFIT NET RON ' || c_custkey || ' MIL.' AS caption, row_number() OVER (PARTITION BY c_custkey % 100 ORDER BY c_custkey) AS k FROM customer WHERE c_custkey % 2 = 0 AND c_custkey % 3 <> 0) WHERE k <= 30
+""")
+def kpi_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _docs(spark, sf_dir, "customer").select((F.col("c_custkey") % 100).alias("doc_id"), F.col("c_custkey").alias("item_no"))
+    raw = F.when(F.col("item_no") % 2 == 0, F.concat(F.lit("PROFIT\nNET\n "), F.col("item_no").cast("string"), F.lit("  MIL.\nRON"))).otherwise(F.lit("Q&A cu CEO"))
+    said = c.filter("item_no % 3 = 0").groupBy("doc_id").agg(F.concat_ws(" ", F.collect_list(F.concat(F.lit("profit net ron "), F.col("item_no").cast("string"), F.lit(" mil.")))).alias("text"))
+    docs = c.select("doc_id").distinct().join(said, "doc_id", "left")
+    return pictures.kpi_captions(c.withColumn("n_captions", F.lit(0)), c.withColumn("text", raw), docs)
+
+
+@query("""
+WITH q AS (SELECT doc_id, text, len(list_filter(string_split(text, chr(10)), lambda x: length(replace(trim(x), ' ', '')) <= 4 AND regexp_matches(x, '\\p{L}'))) AS s FROM documents)
+SELECT doc_id, CASE WHEN doc_id % 3 = 0 AND a < 100 THEN 'pypdfium2' ELSE 'docling-parse-v4' END AS backend, CASE WHEN doc_id % 3 = 0 AND a < 100 THEN 100 ELSE a END::BIGINT AS score
+FROM (SELECT doc_id, greatest(100 - 5 * (s + 1), 0) AS a FROM (SELECT doc_id, len(list_filter(string_split(substr(text, 1, 200), chr(10)), lambda x: length(replace(trim(x), ' ', '')) <= 4 AND regexp_matches(x, '\\p{L}'))) AS s FROM documents))
+""")
+def backend_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _docs(spark, sf_dir).select("doc_id", F.expr("substr(text, 1, 200)").alias("t"))
+    one = d.select("doc_id", F.lit("docling-parse-v4").alias("backend"), F.concat("t", F.lit("\nx y")).alias("markdown"))
+    two = d.select("doc_id", F.lit("pypdfium2").alias("backend"), F.when(F.col("doc_id") % 3 == 0, F.lit("A clean page.")).otherwise(F.concat("t", F.lit("\nx z"))).alias("markdown"))
+    return select.best_backend(two.union(one))
+
+
+@query("""
+SELECT o_orderkey AS doc_id, a < 200 OR b >= 0.04 AS tried, (a < 200 OR b >= 0.04) AND (c < b * 0.5 OR ol > l * 1.2) AS kept
+FROM (SELECT o_orderkey, (o_orderkey % 400)::DOUBLE AS a, (o_orderkey % 10) / 100.0::DOUBLE AS b, (o_orderkey % 7) / 100.0::DOUBLE AS c, 1000 AS l, 1000 + o_orderkey % 400 AS ol FROM orders)
+""")
+def ocr_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    return select.ocr_decision(
+        _docs(spark, sf_dir, "orders").select(k.alias("doc_id"), (k % 400).cast("double").alias("chars_per_page"), ((k % 10) / 100.0).alias("spaced_ratio"), ((k % 7) / 100.0).alias("ocr_ratio"), F.lit(1000).alias("length"), (1000 + k % 400).alias("ocr_length"))
+    )
+
+
+@query("""
+SELECT c_custkey % 200 AS doc_id, CASE WHEN bool_or(c_custkey % 50 = 0 AND c_custkey % 2 = 0) THEN NULL ELSE array_to_string(list_sort(list(DISTINCT c_custkey % 7) FILTER (c_custkey % 2 = 0)), ',') END AS pages
+FROM customer WHERE c_custkey % 2 = 0 GROUP BY c_custkey % 200
+""")
+def spacing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    items = _docs(spark, sf_dir, "customer").select((k % 200).alias("doc_id"), F.lit("text").alias("kind"), F.when(k % 2 == 0, "finan c iar").otherwise("financiar").alias("text"), F.when(k % 50 != 0, k % 7).alias("page_no"))
+    none = items.limit(0)
+    cells = none.select("doc_id", F.lit(0).alias("table_no"), "text")
+    out = select.spacing_pages(items, cells, none.select("doc_id", F.lit(0).alias("table_no"), "page_no"))
+    return out.select("doc_id", F.when(F.col("pages").isNotNull(), F.array_join(F.col("pages").cast("array<string>"), ",")).alias("pages"))
+
+
+@query("""
+SELECT page_id AS doc_id, len(regexp_extract_all(html, '<h1'))::BIGINT AS headings, (len(regexp_extract_all(html, '<h1')) + len(regexp_extract_all(html, '<p[ >]')))::BIGINT AS exported FROM pages
+""")
+def label_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headings, and items whose labels are exported, of web pages' elements."""
+    from quillmill.sources.config import EXPORT_LABELS
+
+    kinds = F.regexp_extract_all("html", F.lit("<(h1|p|nav|footer)[ >]"), F.lit(1))
+    label = F.element_at(F.create_map(*[F.lit(x) for x in ("h1", "section_header", "p", "text", "nav", "page_header", "footer", "page_footer")]), F.col("tag"))
+    items = _docs(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), F.explode_outer(kinds).alias("tag")).withColumn("label", label)
+    n = lambda c: F.sum(F.coalesce(c, F.lit(False)).cast("long"))
+    return items.groupBy("doc_id").agg(n(F.col("label").isin("title", "section_header")).alias("headings"), n(F.col("label").isin(*EXPORT_LABELS)).alias("exported"))
