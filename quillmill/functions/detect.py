@@ -61,26 +61,33 @@ def needs_spacing_fix(text: Column) -> Column:
     return is_spaced(text) | is_collapsed(text)
 
 
-def needs_table_spacing_fix(text: Column) -> Column:
-    """For cells, also short letter groups in a row, or a lone letter after a word unless it is `SOLD C` or `SOLD D`."""
+def _table_fix(text: Column, fix: Column) -> Column:
     short = rf"(?:{B0}[{LETTERS}]{{1,2}}{B1}{S}+){{2,}}{B0}[{LETTERS}]{{1,2}}{B1}"
     lone = rf"{B0}[{LETTERS}]{{2,}}{S}+[{LETTERS}]{B1}"
     return (
-        F.when(needs_spacing_fix(text), True)
+        F.when(fix, True)
         .when((text == "") | (text.rlike(D) & ~text.rlike(r"\p{L}")), False)
         .when(text.rlike(short), True)
         .otherwise(text.rlike(lone) & ~text.rlike(rf"(?iu){B0}SOLD{S}+[CD]{B1}"))
     )
 
 
+def needs_table_spacing_fix(text: Column) -> Column:
+    """For cells, also short letter groups in a row, or a lone letter after a word unless it is `SOLD C` or `SOLD D`."""
+    return _table_fix(text, needs_spacing_fix(text))
+
+
 def spacing_badness(text: Column) -> Column:
     """How badly words seem joined or split; 0 without words."""
+    return let(is_spaced(text), lambda spaced: _badness(text, spaced))
+
 
+def _badness(text: Column, spaced: Column) -> Column:
     def score(t: Column) -> Column:
         mean = F.aggregate(t, F.lit(0.0), lambda a, w: a + F.length(w)) / F.greatest(F.size(t), F.lit(1))
         points = lambda cond, n: F.when(cond, F.lit(n)).otherwise(F.lit(0.0))
         return F.when(F.size(t) == 0, F.lit(0.0)).otherwise(
-            F.greatest(mean - 6.0, F.lit(0.0)) + 1.5 * F.size(F.filter(t, lambda w: F.length(w) >= 18)) + points(text.rlike(RUN_ON), 4.0) + points(text.rlike(MERGED), 3.0) + points(is_spaced(text), 4.0)
+            F.greatest(mean - 6.0, F.lit(0.0)) + 1.5 * F.size(F.filter(t, lambda w: F.length(w) >= 18)) + points(text.rlike(RUN_ON), 4.0) + points(text.rlike(MERGED), 3.0) + points(spaced, 4.0)
         )
 
     return let(tokens(text), score)
@@ -112,22 +119,39 @@ def needs_table_cell_repair(text: Column) -> Column:
     return needs_table_spacing_fix(text) | needs_numeric_repair(text) | needs_short_text_repair(text) | needs_suffix_completion(text)
 
 
+def facts(text: Column) -> Column:
+    """What choosing between readings needs to know of a text, each thing found once."""
+
+    def of(found: Column) -> Column:
+        spaced, fix = found["spaced"], found["spaced"] | found["collapsed"]
+        return F.struct(
+            text.alias("text"), F.length(text).alias("length"), F.size(tokens(text)).alias("words"), F.length(digits(text)).alias("digits"), spaced.alias("spaced"), fix.alias("fix"), _table_fix(text, fix).alias("table_fix"),
+            _badness(text, spaced).alias("badness"), numeric_only(text).alias("numeric"), text.rlike(rf"^(?:[0-9.,/%()-]|{S})+\z").alias("bare"), needs_numeric_repair(text).alias("broken"), needs_short_text_repair(text).alias("short"),
+            needs_suffix_completion(text).alias("cut"),
+        )
+
+    return let(F.struct(is_spaced(text).alias("spaced"), is_collapsed(text).alias("collapsed")), of)
+
+
+def prefers(old: Column, new: Column, table_mode: bool = False) -> Column:
+    """Whether the text of the facts `new` is better than that of `old`. The rules are tried in order."""
+    fewer = F.greatest(F.floor(old["words"] * 0.6), F.lit(1))
+    in_table, forgiven = F.lit(table_mode), old["spaced"] | old["bare"]
+    longer = new["length"] - old["length"]
+    out = F.when((new["text"] == "") | (new["text"] == old["text"]), False).when(is_blank(old["text"]), True)
+    out = out.when(F.startswith(new["text"], old["text"]) & longer.between(1, 3), True)
+    out = out.when(in_table & old["table_fix"] & (old["words"] > 0) & (new["words"] <= fewer), True)
+    out = out.when(old["broken"] & new["numeric"] & (new["digits"] > old["digits"]), True)
+    out = out.when(old["short"] & (longer > 0), True)
+    out = out.when((new["length"] < F.greatest(F.floor(old["length"] * 0.4), F.lit(8))) & ~forgiven, False)
+    out = out.when((old["words"] > 0) & (new["words"] < fewer) & ~(forgiven | (in_table & old["table_fix"])), False)
+    out = out.when(old["fix"] & ~new["fix"], True).when(in_table & old["table_fix"] & ~new["table_fix"], True)
+    return out.otherwise(new["badness"] + 0.5 < old["badness"])
+
+
 def should_replace(old: Column, new: Column, table_mode: bool = False) -> Column:
-    """Whether a reconstruction is better than what it replaces. The rules are tried in order."""
-    n_old, n_new = F.size(tokens(old)), F.size(tokens(new))
-    fewer = F.greatest(F.floor(n_old * 0.6), F.lit(1))
-    forgiven = is_spaced(old) | old.rlike(rf"^(?:[0-9.,/%()-]|{S})+\z")
-    in_table = F.lit(table_mode)
-    out = F.when(F.coalesce(new == "", F.lit(True)) | (new == old), False).when(is_blank(old), True)
-    out = out.when(F.startswith(new, old) & (F.length(new) - F.length(old)).between(1, 3), True)
-    out = out.when(in_table & needs_table_spacing_fix(old) & (n_old > 0) & (n_new <= fewer), True)
-    out = out.when(needs_numeric_repair(old) & numeric_only(new) & (F.length(digits(new)) > F.length(digits(old))), True)
-    out = out.when(needs_short_text_repair(old) & (F.length(new) > F.length(old)), True)
-    out = out.when((F.length(new) < F.greatest(F.floor(F.length(old) * 0.4), F.lit(8))) & ~forgiven, False)
-    out = out.when((n_old > 0) & (n_new < fewer) & ~(forgiven | (in_table & needs_table_spacing_fix(old))), False)
-    out = out.when(needs_spacing_fix(old) & ~needs_spacing_fix(new), True)
-    out = out.when(in_table & needs_table_spacing_fix(old) & ~needs_table_spacing_fix(new), True)
-    return out.otherwise(spacing_badness(new) + 0.5 < spacing_badness(old))
+    """Whether a reconstruction is better than what it replaces."""
+    return let(facts(old), lambda a: let(facts(new), lambda b: prefers(a, b, table_mode)))
 
 
 # --- what stands inside charts ------------------------------------------------------------------

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.functions.detect import needs_spacing_fix, needs_suffix_completion, needs_table_cell_repair, should_replace
+from quillmill.functions.detect import facts, needs_spacing_fix, needs_table_cell_repair, prefers
 from quillmill.functions.text import compact_numeric_spacing
 
 GAP_RATIO, LINE_RATIO, SPACE_RATIO, PAD, IOS = 0.35, 0.6, 0.6, 1.0, 0.2
@@ -135,20 +135,22 @@ def repair(boxes: DataFrame, words: DataFrame, glyphs: DataFrame, table_mode: bo
     c = wanted.join(_candidates(wanted, words, glyphs, pad, "n"), ["doc_id", "item_no"], "left")
     if table_mode:
         c = c.join(_candidates(wanted, words, glyphs, 3 * pad, "f"), ["doc_id", "item_no"], "left")
-    c = c.select("*", *[F.coalesce(n, F.lit("")).alias(f"_{n}") for n in c.columns if n in ("n_w", "n_g", "f_w", "f_g")])
+    names = [n for n in ("n_w", "n_g", "f_w", "f_g") if n in c.columns]
+    c = c.select("doc_id", "item_no", facts(own).alias("old"), *[facts(F.coalesce(n, F.lit(""))).alias(n) for n in names])
+    some = lambda x: x["text"] != ""
 
     def longer(base: Column) -> Column:
         if not table_mode:
             return base
-        ok = lambda x: (x != "") & should_replace(base, x, True)
-        return F.when(~needs_suffix_completion(base), base).when(ok(F.col("_f_w")), F.col("_f_w")).when(ok(F.col("_f_g")), F.col("_f_g")).otherwise(base)
+        ok = lambda x: some(F.col(x)) & prefers(base, F.col(x), True)
+        return F.when(~base["cut"], base).when(ok("f_w"), F.col("f_w")).when(ok("f_g"), F.col("f_g")).otherwise(base)
 
-    c = c.withColumn("_w", F.when((F.col("_n_w") != "") & ~needs_spacing_fix(F.col("_n_w")), longer(F.col("_n_w"))).otherwise("")).withColumn("_g", longer(F.col("_n_g"))).withColumn("_t", longer(own))
-    take = lambda x: (F.col(x) != "") & should_replace(own, F.col(x), table_mode)
+    c = c.withColumn("w", F.when(some(F.col("n_w")) & ~F.col("n_w.fix"), longer(F.col("n_w")))).withColumn("g", longer(F.col("n_g"))).withColumn("t", longer(F.col("old")))
+    take = lambda x: F.coalesce(some(F.col(x)) & prefers(F.col("old"), F.col(x), table_mode), F.lit(False))
     if table_mode:
-        best = F.when(take("_w"), F.col("_w")).when(take("_g"), F.col("_g")).when(needs_suffix_completion(own) & take("_t"), F.col("_t"))
+        best = F.when(take("w"), F.col("w.text")).when(take("g"), F.col("g.text")).when(F.col("old.cut") & take("t"), F.col("t.text"))
     else:  # words that read well settle the matter, taken or not
-        best = F.when(F.col("_w") != "", F.when(take("_w"), F.col("_w"))).when(take("_g"), F.col("_g"))
+        best = F.when(F.col("w").isNotNull(), F.when(take("w"), F.col("w.text"))).when(take("g"), F.col("g.text"))
     fixes = c.select("doc_id", "item_no", best.alias("_best"))
     out = boxes.join(fixes, ["doc_id", "item_no"], "left")
     return out.withColumn("fixed", F.col("_best").isNotNull()).withColumn("text", F.coalesce("_best", "text")).select(*boxes.columns, "fixed")
