@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quillmill.llm import decontamination, language_id, license_scan, line_dedup, mixing, near_dedup, quality_model, quality_rules, token_output, tokens
+from quillmill.llm import decontamination, language_id, license_scan, line_dedup, mixing, near_dedup, oracles, quality_model, quality_rules, token_output, tokens
 from quillmill.llm.common import new_path, table
 
 
@@ -20,7 +21,7 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rate"
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("host_rate", 9).alias("host_rate")
     )
 
 
@@ -56,4 +57,4 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_license_scan, op3_quality_rules, op4_language_id, op5_mixing, op6_token_output, op7_near_dedup, op8_quality_model, op9_token_counts, op10_line_dedup)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracles.ORACLES
