@@ -122,8 +122,9 @@ def mixed_documents(docs: DataFrame, m: Mix, id_col: str = "doc_id", text_col: s
     own = own.dropDuplicates([f"{work}key"])  # equal rows come back below, as many as the mix takes
     spans = spans.withColumnRenamed("rows", f"{work}rows").withColumnRenamed("key", f"{work}k")
     out = own.join(spans, own[f"{work}key"] == spans[f"{work}k"]).withColumn(f"{work}row", F.explode(f"{work}rows"))
-    out = out.withColumn(f"{work}words", F.expr(f"regexp_extract_all(`{text_col}`, '[\\\\x20\\\\x09-\\\\x0D]*{_NOT_SPACE}+', 0)"))
-    text = F.expr(f"array_join(transform({work}row, s -> array_join(slice({work}words, cast(s.from_word AS int) + 1, cast(s.words AS int)), '')), '')")
+    # the words are bound to w once a row: inlined into the inner lambda they would be found again for each span
+    words = f"regexp_extract_all(`{text_col}`, '[\\\\x20\\\\x09-\\\\x0D]*{_NOT_SPACE}+', 0)"
+    text = F.expr(f"transform(array({words}), w -> array_join(transform({work}row, s -> array_join(slice(w, cast(s.from_word AS int) + 1, cast(s.words AS int)), '')), ''))[0]")
     out = out.withColumn(text_col, text)
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
