@@ -190,7 +190,7 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, sample_docs: int
     inputs = [_columns(v[:every], w) for v, w in sample]
     weights = []
     for part, prior, rate in models:
-        v = np.array([[int(votes[i]) for i in part] for votes, _ in sample]).reshape(len(sample), -1)
+        v = np.array([[int(votes[i]) for i in part] for votes, _ in sample], int).reshape(len(sample), len(part))
         weights.append(fit(inputs, posterior(v, prior, rate) if len(sample) else np.zeros(0), size))
     shared = spark.sparkContext.broadcast(np.stack(weights))
     out_schema = pa.schema([(id_col, pa.int64()), ("p_quality", pa.float64()), ("p_toxic", pa.float64()), ("votes", pa.string())])
