@@ -123,10 +123,13 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, limit: int = 1024,
     schema = pa.schema([("digest", pa.binary()), ("n_tokens", pa.int64())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()  # equal rows of one id come to one task
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.binary()), pa.array(counts(tokenizer, batch.column(1).to_pylist()), pa.int64())], schema=schema)
+            new = {d: t for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if d not in seen}
+            seen.update(new)
+            yield pa.RecordBatch.from_arrays([pa.array(list(new), pa.binary()), pa.array(counts(tokenizer, list(new.values())), pa.int64())], schema=schema)
 
-    texts.mapInArrow(encode, "digest binary, n_tokens long").write.mode("append").parquet(path)
+    texts.mapInArrow(encode, "digest binary, n_tokens long").dropDuplicates(["digest"]).write.mode("append").parquet(path)
     out = slim.join(_stored(spark, path), "digest")
     return out.select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
