@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
-from test_operators import ORDER, low, rows
+from test_corpus_operators import ORDER, low, rows
 
 from quillmill.llm import common, decontamination, id_coder, mixing, near_dedup, quality_model, token_output
 from quillmill.llm.common import new_path
