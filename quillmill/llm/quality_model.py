@@ -26,7 +26,7 @@ HASHED = 1 << 18
 #: Word beginnings, in bytes, that are features besides whole words.
 PREFIXES = (4, 5, 6, 7, 8)
 #: Features kept of a document when the scorers are fitted; all are used when they score.
-FIT_FEATURES = 8192
+FIT_FEATURES = 4096
 _IN_WORD = np.zeros(256, np.uint8)
 _IN_WORD[48:58] = _IN_WORD[97:123] = _IN_WORD[128:] = 1
 
@@ -117,7 +117,7 @@ def posterior(v: np.ndarray, share: float, rate: np.ndarray) -> np.ndarray:
 def _columns(votes: str, words: np.ndarray) -> np.ndarray:
     """The features of a document, each present once: its words and beginnings, the votes cast, and a bias."""
     cast = [HASHED + 2 * k + int(c) - 1 for k, c in enumerate(votes) if c != "0"]
-    return np.concatenate([words.astype(np.int64), np.array([*cast, HASHED + 2 * len(votes)], np.int64)])
+    return np.concatenate([words.astype(np.int32), np.array([*cast, HASHED + 2 * len(votes)], np.int32)])
 
 
 def fit(sample: list[np.ndarray], target: np.ndarray, size: int, rounds: int = 150, step: float = 0.3, keep: float = 1e-4) -> np.ndarray:
@@ -128,7 +128,7 @@ def fit(sample: list[np.ndarray], target: np.ndarray, size: int, rounds: int = 1
     weights, seen = np.zeros(size), np.full(size, 1e-8)
     if not sample:
         return weights
-    column, row = np.concatenate(sample), np.repeat(np.arange(len(sample)), [len(x) for x in sample])
+    column, row = np.concatenate(sample), np.repeat(np.arange(len(sample), dtype=np.int32), [len(x) for x in sample])
     bad = np.bincount(column, target[row], size)
     good = np.bincount(column, 1 - target[row], size)
     tells = (bad >= LEAST) & ((bad + 0.5) / (target.sum() + 1) >= TELLS * (good + 0.5) / (len(sample) - target.sum() + 1))
@@ -143,7 +143,7 @@ def fit(sample: list[np.ndarray], target: np.ndarray, size: int, rounds: int = 1
     return weights
 
 
-def classify(docs: DataFrame, labels: DataFrame | None = None, sample_docs: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame | None = None, sample_docs: int = 8_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, p_quality, p_toxic, score (p_quality less what p_toxic takes) and kept (both judge it clean).
 
     labels: id, quality and toxic (0 or 1, or null) of some documents. sample_docs: about how many documents, chosen by a hash of the id, the scorers are fitted
@@ -188,6 +188,7 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, sample_docs: int
     sample = [(r["votes"], np.frombuffer(zlib.decompress(r["words"]), np.uint32)) for r in seen.filter("words IS NOT NULL").toLocalIterator()]
     size = HASHED + 2 * every + 1
     inputs = [_columns(v[:every], w) for v, w in sample]
+    sample = [(v, None) for v, _ in sample]  # the features are held once
     weights = []
     for part, prior, rate in models:
         v = np.array([[int(votes[i]) for i in part] for votes, _ in sample], int).reshape(len(sample), len(part))
