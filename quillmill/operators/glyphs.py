@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quillmill.functions.detect import facts, needs_spacing_fix, needs_table_cell_repair, prefers
 from quillmill.functions.text import compact_numeric_spacing
+from quillmill.sources.io import staged
 
 GAP_RATIO, LINE_RATIO, SPACE_RATIO, PAD, IOS = 0.35, 0.6, 0.6, 1.0, 0.2
 
@@ -132,6 +133,7 @@ def repair(boxes: DataFrame, words: DataFrame, glyphs: DataFrame, table_mode: bo
     """
     own = F.coalesce(F.col("text"), F.lit(""))
     wanted = boxes.filter(needs_table_cell_repair(own) if table_mode else needs_spacing_fix(own)).filter("box IS NOT NULL AND page_no IS NOT NULL")
+    wanted = staged(wanted.select("doc_id", "item_no", "page_no", "box", "text"), "to-repair")  # it meets words and glyphs several times
     c = wanted.join(_candidates(wanted, words, glyphs, pad, "n"), ["doc_id", "item_no"], "left")
     if table_mode:
         c = c.join(_candidates(wanted, words, glyphs, 3 * pad, "f"), ["doc_id", "item_no"], "left")
@@ -159,7 +161,7 @@ def repair(boxes: DataFrame, words: DataFrame, glyphs: DataFrame, table_mode: bo
 def repair_by_cells(boxes: DataFrame, words: DataFrame, glyphs: DataFrame, table_mode: bool, ios: float = IOS) -> DataFrame:
     """The simpler repair: words (cells only), else glyphs, that lie in the box by the share `ios` of their own area; taken if they read well."""
     own = F.coalesce(F.col("text"), F.lit(""))
-    wanted = boxes.filter(needs_spacing_fix(own)).filter("box IS NOT NULL AND page_no IS NOT NULL")
+    wanted = staged(boxes.filter(needs_spacing_fix(own)).filter("box IS NOT NULL AND page_no IS NOT NULL").select("doc_id", "item_no", "page_no", "box", "text"), "to-repair")
     as_glyphs = words.select("doc_id", "page_no", F.row_number().over(_in_order()).alias("glyph_no"), F.col("text").alias("ch"), "x0", "y0", "x1", "y1")
     w = glyphs_in(wanted, as_glyphs, _mostly_in(ios)).select("doc_id", "item_no", read_words(F.col("pieces")).alias("_w"))
     g = glyphs_in(wanted, glyphs, _mostly_in(ios)).select("doc_id", "item_no", read_glyphs(F.col("pieces")).alias("_g"))

@@ -11,6 +11,7 @@ from quillmill.functions.geometry import to_top_left
 from quillmill.functions.text import normalize_item
 from quillmill.operators import glyphs, markdown, pictures, select, tables
 from quillmill.sources.config import EXPORT_LABELS, Options
+from quillmill.sources.io import staged
 
 
 @dataclass(frozen=True)
@@ -35,7 +36,7 @@ def repair_spacing(c: Corpus, how: str = "pymupdf") -> Corpus:
     """Texts and cells that are spaced or cut are read again from words and glyphs, on the pages where any is."""
     if how == "off" or c.words is None or c.glyphs is None:
         return c
-    chosen = select.spacing_pages(c.items, c.cells, c.tables)
+    chosen = staged(select.spacing_pages(c.items, c.cells, c.tables), "pages-to-repair")
     on_page = lambda df: df.join(chosen, "doc_id", "left").withColumn("page_no", F.when(F.col("pages").isNull() | (F.size("pages") == 0) | F.array_contains("pages", F.col("page_no")), F.col("page_no"))).drop("pages")
     # documents without any page to repair keep their texts
     any_page = chosen.filter("pages IS NULL OR size(pages) > 0").select("doc_id")
@@ -46,7 +47,7 @@ def repair_spacing(c: Corpus, how: str = "pymupdf") -> Corpus:
     new_cells = again(cell_boxes, c.words, c.glyphs, True).filter("fixed").select("doc_id", F.col("item_no.table_no").alias("table_no"), F.col("item_no.cell_no").alias("cell_no"), F.col("text").alias("_new"))
     new_items = again(text_boxes, c.words, c.glyphs, False).filter("fixed").select("doc_id", "item_no", F.col("text").alias("_new"))
     put = lambda df, new, keys: df.join(new, keys, "left").withColumn("text", F.coalesce("_new", "text")).select(*df.columns)
-    return replace(c, cells=put(c.cells, new_cells, ["doc_id", "table_no", "cell_no"]), items=put(c.items, new_items, ["doc_id", "item_no"]))
+    return replace(c, cells=staged(put(c.cells, new_cells, ["doc_id", "table_no", "cell_no"]), "cells"), items=staged(put(c.items, new_items, ["doc_id", "item_no"]), "items"))
 
 
 def repair(c: Corpus, options: Options = Options()) -> Corpus:
@@ -57,12 +58,14 @@ def repair(c: Corpus, options: Options = Options()) -> Corpus:
     if c.ocr_cells is not None:
         c = replace(c, cells=tables.merge_suspect(c.tables, c.cells, c.ocr_tables, c.ocr_cells).select(*c.cells.columns))
     new_tables, new_cells = tables.collapse_header_groups(c.tables, c.cells)
-    new_cells = tables.vote_currencies(tables.clean_cells(tables.normalize_headers(new_cells)))
+    # staged, as pushing filters through the cleaning would copy its expressions over and over
+    new_cells = staged(tables.normalize_headers(new_cells), "headers")
+    new_cells = tables.vote_currencies(staged(tables.clean_cells(new_cells), "clean-cells"))
     items = pictures.remove_axis_texts_inside_pictures(pictures.remove_dates_inside_pictures(c.items, c.pages), c.pages)
     if c.words is not None:
         items = add_captions(items, c.pages, c.words)
     items = items.withColumn("text", F.when((F.col("kind") == "table") | F.col("text").isNull(), F.col("text")).otherwise(normalize_item(F.col("text"))))
-    return replace(c, tables=new_tables, cells=new_cells, items=items)
+    return replace(c, tables=new_tables, cells=staged(new_cells, "voted-cells"), items=staged(items, "normal-items"))
 
 
 def add_captions(items: DataFrame, pages: DataFrame, words: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ must be decoded first go through an extractor, a function from a file's bytes to
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
@@ -33,6 +34,16 @@ def read_table(spark: SparkSession, path: str, name: str, fmt: str = "parquet",
     return df.filter(F.col("page_no").between(*page_range)) if page_range and "page_no" in df.columns else df
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the folder that spark.checkpoint.dir names, or kept where that is unset: what is read from it plans, and starts again, from there."""
+    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        return df.persist()
+    path = f"{folder.rstrip('/')}/quillmill/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_markdown(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: path, markdown."""
     return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("markdown"))
