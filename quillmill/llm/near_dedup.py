@@ -11,7 +11,8 @@ with all members, block against block: a task holds two blocks of at most CHUNK
 classes. No pair is ever a row. Classes are the connected components of the links.
 
 Defined cases: a text without words, also a null one, is a class of its own. A text of one to four words is one run. Rows of one id and equal text are copies; a null id
-counts as the smallest. Classes are named by their smallest id. An empty table gives an empty result.
+counts as the smallest. Different texts of one id, or without ids, are compared and classed each by its own. Classes are named by their smallest id, so two may have one name. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -86,24 +87,24 @@ def _digest(items: np.ndarray) -> tuple[int, int]:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("id", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bands", pa.list_(pa.int64()))])
+    schema = pa.schema([("id", pa.int64()), ("row", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bands", pa.list_(pa.int64()))])
     for batch in batches:
         rows = []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for doc, text, row in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
             items = regions(text)
             a, b = _digest(items)
-            rows.append((doc, a, b, _band_keys(signature(items, BANDS * ROWS)) if len(items) else None))
+            rows.append((doc, row, a, b, _band_keys(signature(items, BANDS * ROWS)) if len(items) else None))
         yield pa.RecordBatch.from_pydict(dict(zip(schema.names, map(list, zip(*rows, strict=True)), strict=True)) if rows else {n: [] for n in schema.names}, schema=schema)
 
 
 def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("id", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("items", pa.list_(pa.int64()))])
+    schema = pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("items", pa.list_(pa.int64()))])
     for batch in batches:
-        ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for i in range(0, len(ids), 64):
+        texts = batch.column(0).to_pylist()
+        for i in range(0, len(texts), 64):
             items = [regions(t) for t in texts[i : i + 64]]
             d = [_digest(x) for x in items]
-            yield pa.RecordBatch.from_pydict({"id": ids[i : i + 64], "d1": [x[0] for x in d], "d2": [x[1] for x in d], "items": [x.view(np.int64) for x in items]}, schema=schema)
+            yield pa.RecordBatch.from_pydict({"d1": [x[0] for x in d], "d2": [x[1] for x in d], "items": [x.view(np.int64) for x in items]}, schema=schema)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -131,10 +132,11 @@ def _similar(pairs: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
 
 
 def _items_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The regions of the wanted (id, d1, d2), computed again from their texts."""
-    texts = docs.join(wanted.select("id").distinct(), "id", "left_semi")
-    found = texts.mapInArrow(_regions, "id long, d1 long, d2 long, items array<long>")
-    return found.join(wanted, ["id", "d1", "d2"]).dropDuplicates(["id"]).select("id", "items")
+    """The regions of the wanted (rep, low, d1, d2), computed again from their texts. Those without an id are all read: one key would hold them all."""
+    texts = docs.filter(F.col("id") != NO_ID).join(wanted.select(F.col("low").alias("id")).distinct(), "id", "left_semi")
+    texts = texts.select("text").union(docs.filter(F.col("id") == NO_ID).select("text"))
+    found = texts.mapInArrow(_regions, "d1 long, d2 long, items array<long>").dropDuplicates(["d1", "d2"])
+    return found.join(wanted, ["d1", "d2"]).select(F.col("rep").alias("id"), "items")
 
 
 def _blocks(threshold: float):
@@ -180,16 +182,30 @@ def _blocks(threshold: float):
 
 def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, class_id (the smallest id of its class) and kept (whether it is that one)."""
-    own = only(docs, id_col, text_col).toDF("id", "text").withColumn("id", F.coalesce("id", F.lit(NO_ID)))
-    signed = materialize(own.mapInArrow(_sign, "id long, d1 long, d2 long, bands array<long>"), "signatures")
+    own = only(docs, id_col, text_col).toDF("id", "text").withColumn("row", F.lit(0).cast("long"))
+    signed, by_text = _classed(own, threshold)
+    lowest = by_text.groupBy("class").agg(F.min("low").alias("lowest"))
+    out = signed.filter("bands IS NOT NULL").select("id", "d1", "d2").join(by_text.join(lowest, "class").select("d1", "d2", F.col("lowest").alias("class")), ["d1", "d2"]).select("id", "class")
+    out = out.union(signed.filter("bands IS NULL").select("id", F.col("id").alias("class")))
+    real = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
+    return out.select(real("id").alias(id_col), real("class").alias("class_id"), (F.col("id") == F.col("class")).alias("kept"))
+
+
+def _classed(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The signatures of docs (id, text, row), and the class of each distinct text: d1, d2, low (its smallest id) and class, a number without meaning.
+
+    Texts are told apart by their digests and numbered; ids only say where to find a text again.
+    """
+    own = docs.withColumn("id", F.coalesce("id", F.lit(NO_ID)))
+    signed = materialize(own.mapInArrow(_sign, "id long, row long, d1 long, d2 long, bands array<long>"), "signatures")
     some = signed.filter("bands IS NOT NULL")
-    reps = materialize(some.groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.first("bands").alias("bands")), "texts")
+    reps = some.groupBy("d1", "d2").agg(F.min("id").alias("low"), F.first("bands").alias("bands"))
+    reps = materialize(reps.withColumn("rep", F.monotonically_increasing_id()), "texts")
 
     members = reps.select("rep", F.posexplode("bands").alias("band", "key"))
     buckets = members.groupBy("band", "key").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).filter("n > 1").drop("n")
     members = materialize(members.join(buckets, ["band", "key"]), "buckets")
-    named = reps.select(F.col("rep").alias("id"), "d1", "d2")
-    wanted = named.join(members.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
+    wanted = reps.select("rep", "low", "d1", "d2").join(members.select("rep").distinct(), "rep", "left_semi")
     items = materialize(_items_of(own, wanted), "regions")
 
     pairs = members.filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
@@ -214,9 +230,5 @@ def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", tex
     if not more.isEmpty():
         labels = components(links.union(more).distinct())
 
-    by_text = reps.select("d1", "d2", "rep").join(labels, F.col("rep") == F.col("node"), "left")
-    by_text = by_text.select("d1", "d2", F.coalesce("label", "rep").alias("class"))
-    out = some.select("id", "d1", "d2").join(by_text, ["d1", "d2"]).select("id", "class")
-    out = out.union(signed.filter("bands IS NULL").select("id", F.col("id").alias("class")))
-    real = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
-    return out.select(real("id").alias(id_col), real("class").alias("class_id"), (F.col("id") == F.col("class")).alias("kept"))
+    by_text = reps.select("d1", "d2", "low", "rep").join(labels, F.col("rep") == F.col("node"), "left")
+    return signed, by_text.select("d1", "d2", "low", F.coalesce("label", "rep").alias("class"))

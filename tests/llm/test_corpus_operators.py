@@ -202,6 +202,16 @@ def test_near_dedup_large_group_and_chain(spark):
     assert {got[i] for i in range(200)} == {0} and {got[1000 + i] for i in range(12)} == {1000}
 
 
+def test_near_dedup_tells_texts_of_one_id_apart(spark):
+    text = lambda k, end="": " ".join(f"{k}{i}" for i in range(120)) + end
+    data = [(None, text("a")), (None, text("b")), (None, text("c")), (10, text("a", " x")), (11, text("b", " x")), (12, text("c", " x"))]
+    data += [(5, text("d")), (5, text("e")), (3, text("d", " x")), (7, text("e", " x"))]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    got = rows(near_dedup.classes(docs))
+    assert ORDER((g["doc_id"], g["class_id"]) for g in got) == classes_by_force(rows(docs))
+    assert Counter((g["doc_id"], g["class_id"]) for g in got if g["doc_id"] == 5) == Counter([(5, 3), (5, 5)])
+
+
 def test_dart_signatures_estimate_weighted_similarity():
     import numpy as np
 
