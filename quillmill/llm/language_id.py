@@ -24,6 +24,8 @@ from quillmill.llm.common import only
 DIM = 512
 GRAM = 3
 _SEED = 20_11
+#: Letters from which on a text's cosine tells whether it is in a learned language; the floor of that cosine, as a share of what all learning documents but a tail reach.
+LONG, FLOOR_SHARE, FLOOR_TAIL = 100, 0.4, 0.005
 _CHUNK_CHARS, _CHUNK_DOCS = 1 << 20, 256
 
 
@@ -99,14 +101,21 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def learn(docs: DataFrame, per_language: int = 4000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
-    """Languages and their prototypes, from a sample of about per_language labelled documents of each language, chosen by a hash of the id."""
+def _sample(docs: DataFrame, per_language: int, id_col: str, text_col: str, lang_col: str) -> DataFrame | None:
+    """(lang, text) of the learning documents; None if there are none."""
     own = only(docs, id_col, lang_col, text_col).toDF("id", "lang", "text").filter("id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").filter(~held_out(F.col("id")))
     sizes = {r["lang"]: r["count"] for r in own.groupBy("lang").count().collect()}  # one row per language
     if not sizes:
-        return [], np.zeros((0, DIM))
+        return None
     share = own.sparkSession.createDataFrame([(k, min(1.0, per_language / n)) for k, n in sizes.items()], "lang string, share double")
-    sample = own.join(F.broadcast(share), "lang").filter(F.pmod(F.xxhash64("id", F.lit(_SEED)), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("lang", "text")
+    return own.join(F.broadcast(share), "lang").filter(F.pmod(F.xxhash64("id", F.lit(_SEED)), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("lang", "text")
+
+
+def learn(docs: DataFrame, per_language: int = 4000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
+    """Languages and their prototypes, from a sample of about per_language labelled documents of each language, chosen by a hash of the id."""
+    sample = _sample(docs, per_language, id_col, text_col, lang_col)
+    if sample is None:
+        return [], np.zeros((0, DIM))
     schema = pa.schema([("lang", pa.string()), ("total", pa.binary())])
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,12 +158,33 @@ def identify(docs: DataFrame, per_language: int = 4000, id_col: str = "doc_id",
     return predict(docs, *learn(docs, per_language, id_col, text_col, lang_col), id_col, text_col)
 
 
-def keep_known(docs: DataFrame, names: list[str], prototypes: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs, all columns, less the rows predicted `und`. Only the rejected ids are joined, so texts move only if those are many."""
-    return _less(docs, predict(docs, names, prototypes, id_col, text_col).filter("lang_pred = 'und'").select(id_col), id_col, text_col)
+def least_score(docs: DataFrame, names: list[str], prototypes: np.ndarray, per_language: int = 4000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> float:
+    """The cosine under which a text of LONG letters is in none of the languages: FLOOR_SHARE of what all but FLOOR_TAIL of the learning documents of that length reach; 0 without such."""
+    sample = _sample(docs, per_language, id_col, text_col, lang_col)
+    if sample is None or not names:
+        return 0.0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t for t in batch.column(0).to_pylist() if _is_long(t)]
+            yield pa.RecordBatch.from_pydict({"score": pa.array((profiles(texts) @ prototypes.T).max(axis=1) if texts else [], pa.float64())})
+
+    reached = sample.select("text").mapInArrow(run, "score double").agg(F.percentile_approx("score", FLOOR_TAIL, 10_000)).first()[0]
+    return FLOOR_SHARE * max(reached or 0.0, 0.0)
+
+
+def _is_long(text: str) -> bool:
+    return np.count_nonzero(_symbols()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]) >= LONG
 
 
-def _less(docs: DataFrame, rejected: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    # a rejected text has no letter; rows of the same id that have one stay, and a null id is judged by its text alone
-    letter = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
-    return docs.filter(letter | F.col(id_col).isNotNull()).join(rejected.withColumnRenamed(id_col, "_rejected").distinct(), (F.col(id_col) == F.col("_rejected")) & ~letter, "left_anti")
+def keep_known(docs: DataFrame, names: list[str], prototypes: np.ndarray, least: float = 0.0, text_col: str = "text") -> DataFrame:
+    """docs, all columns, less the rows without a letter and the texts of LONG letters or more whose best cosine is under `least`. Each row is judged by itself, in place; shorter texts hold too few runs to tell."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            score = (profiles(texts) @ prototypes.T).max(axis=1) if names and texts else np.zeros(len(texts))
+            yield batch.filter(pa.array([bool(names) and any(map(str.isalpha, t or "")) and (x >= least or not _is_long(t)) for t, x in zip(texts, score, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

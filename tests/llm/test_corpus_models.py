@@ -167,6 +167,18 @@ def test_pipeline_stages_on_edges(spark, sf, name, request):
     assert Counter(ids) == Counter(r["doc_id"] for r in rows(docs)) and (name == "empty_docs" or 1 in ids and 5 not in ids)
 
 
+def test_language_stage_rejects_by_profile(spark):
+    import corpus_pipeline
+
+    rnd = random.Random(6)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    noise = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz   ", k=400)), "".join(rnd.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=800))]
+    noise += ["Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в отношении друг друга в духе братства. " * 3]
+    more = spark.createDataFrame([(10**9 + i if i else None, t, None, "noise", len(t)) for i, t in enumerate(noise)], docs.schema)
+    kept = rows(corpus_pipeline.language_stage(spark, docs.unionByName(more), "").select("doc_id", "source"))
+    assert not [r for r in kept if r["source"] == "noise"] and len(kept) == len([r for r in rows(docs) if any(map(str.isalpha, r["text"] or ""))])
+
+
 def test_word_hashes():
     w = common.word_hashes("Ab ab x  ab\n\x0bé")
     assert len(w) == 4 and w[0] == w[2] and len(set(w.tolist())) == 3 and len(common.word_hashes(None)) == len(common.word_hashes(" \n")) == 0
