@@ -124,6 +124,20 @@ def blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[Items
         yield Items(ids, texts)
 
 
+def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """docs, all columns, less the rows whose text covers the threshold of an item's words. Each row is judged by itself, in place, so ids may be null or shared."""
+    at, out = docs.columns.index(text_col), docs
+    for block in blocks(benchmark, item_col, item_text_col):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+
+        def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array([next(shared.value.found(t, threshold), None) is None for t in batch.column(at).to_pylist()], pa.bool_()))
+
+        out = out.mapInArrow(clean, docs.schema)
+    return out
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row for each document and item of whose words the document covers the threshold: id, item id, coverage, n_tiles, first_word and last_word (of the tiles in the document, words from 0)."""
     spark = docs.sparkSession

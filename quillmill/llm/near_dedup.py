@@ -191,6 +191,14 @@ def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", tex
     return out.select(real("id").alias(id_col), real("class").alias("class_id"), (F.col("id") == F.col("class")).alias("kept"))
 
 
+def copies(docs: DataFrame, row_col: str, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """row_col of all rows but one of each class: that of the smallest id stays (one without an id only if none has one), and of equal ids that of the smallest row_col, a unique long."""
+    signed, by_text = _classed(only(docs, id_col, text_col, row_col).toDF("id", "text", "row"), threshold)
+    rows = signed.filter("bands IS NOT NULL").join(by_text.select("d1", "d2", "class"), ["d1", "d2"]).select("class", "row", F.struct(F.col("id") == NO_ID, "id", "row").alias("order"))
+    stay = rows.groupBy("class").agg(F.min("order").alias("o")).select(F.col("o.row").alias("row"))
+    return rows.select("row").join(stay, "row", "left_anti").withColumnRenamed("row", row_col)
+
+
 def _classed(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """The signatures of docs (id, text, row), and the class of each distinct text: d1, d2, low (its smallest id) and class, a number without meaning.
 

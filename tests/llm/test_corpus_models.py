@@ -167,6 +167,20 @@ def test_pipeline_stages_on_edges(spark, sf, name, request):
     assert Counter(ids) == Counter(r["doc_id"] for r in rows(docs)) and (name == "empty_docs" or 1 in ids and 5 not in ids)
 
 
+def test_pipeline_verdicts_hold_for_rows_without_or_of_one_id(spark):
+    import corpus_pipeline
+
+    item = " ".join(f"item{i}" for i in range(30))
+    own = lambda k: " ".join(f"{k}{i}" for i in range(60))
+    data = [(None, f"before {item} after"), (None, own("a")), (1, own("a")), (2, own("b")), (2, own("b")), (3, f"{item} again"), (3, own("c")), (None, own("d")), (None, own("d"))]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in data], "doc_id long, text string, lang string, source string, n_chars long")
+    path = new_path(spark, "test-benchmark")
+    spark.createDataFrame([(1, item)], ITEM).write.parquet(f"{path}/benchmark.parquet")
+    unique = corpus_pipeline.near_dedup_stage(spark, docs, path)
+    left = rows(corpus_pipeline.decontamination_stage(spark, unique, path))
+    assert ORDER((r["doc_id"], r["text"][:2]) for r in left) == ORDER([(1, "a0"), (2, "b0"), (3, "c0"), (None, "d0")])
+
+
 def test_language_stage_rejects_by_profile(spark):
     import corpus_pipeline
 

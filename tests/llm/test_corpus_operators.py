@@ -212,6 +212,13 @@ def test_near_dedup_tells_texts_of_one_id_apart(spark):
     assert Counter((g["doc_id"], g["class_id"]) for g in got if g["doc_id"] == 5) == Counter([(5, 3), (5, 5)])
 
 
+def test_near_dedup_leaves_one_row_of_each_class(spark):
+    text = lambda k: " ".join(f"{k}{i}" for i in range(120))
+    data = [(None, text("a"), 0), (4, text("a"), 1), (4, text("a"), 2), (4, text("b"), 3), (None, text("c"), 4), (None, text("c"), 5), (6, "", 6)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, at long")
+    assert sorted(r["at"] for r in rows(near_dedup.copies(docs, "at"))) == [0, 2, 5]
+
+
 def test_dart_signatures_estimate_weighted_similarity():
     import numpy as np
 
