@@ -13,7 +13,8 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,6 @@ from quillmill.llm.common import materialize, mix64, only, prefix_hashes, word_h
 HASHED = 1 << 18
 #: Word beginnings, in bytes, that are features besides whole words.
 PREFIXES = (4, 5, 6, 7, 8)
-#: Features kept of a document when the scorers are fitted; all are used when they score.
-FIT_FEATURES = 4096
 _IN_WORD = np.zeros(256, np.uint8)
 _IN_WORD[48:58] = _IN_WORD[97:123] = _IN_WORD[128:] = 1
 
@@ -40,6 +39,8 @@ QUALITY_VOTES = ("symbols", "shouting", "exclaims", "repeats", "lines", "sentenc
 ABUSE_VOTES = ("stupidity", "worth", "disgust")
 #: What a word must show to be a feature with a weight.
 TELLS, LEAST = 6.0, 4.0
+#: One document in the counts of features, which are whole numbers, so that no order of adding changes them.
+_ONE = 1 << 30
 #: How often a label says bad of a bad document, and of a good one.
 LABEL_RATES = (0.98, 0.0001)
 _SYMBOLS, _ENDS = [ord(c) for c in "#*$%&|<>"], [ord(c) for c in ".!?"]
@@ -120,19 +121,12 @@ def _columns(votes: str, words: np.ndarray) -> np.ndarray:
     return np.concatenate([words.astype(np.int32), np.array([*cast, HASHED + 2 * len(votes)], np.int32)])
 
 
-def fit(sample: list[np.ndarray], target: np.ndarray, size: int, rounds: int = 150, step: float = 0.3, keep: float = 1e-4) -> np.ndarray:
-    """Weights of a logistic model for soft labels, by full-gradient Adagrad.
-
-    Only words that clearly tell the classes apart have a weight: in bad documents by TELLS times as frequent as in good ones, and in at least LEAST of them.
-    """
+def fit(sample: list[np.ndarray], target: np.ndarray, size: int, tells: np.ndarray, rounds: int = 150, step: float = 0.3, keep: float = 1e-4) -> np.ndarray:
+    """Weights of a logistic model for soft labels, by full-gradient Adagrad. Only the columns of `tells` have one."""
     weights, seen = np.zeros(size), np.full(size, 1e-8)
     if not sample:
         return weights
     column, row = np.concatenate(sample), np.repeat(np.arange(len(sample), dtype=np.int32), [len(x) for x in sample])
-    bad = np.bincount(column, target[row], size)
-    good = np.bincount(column, 1 - target[row], size)
-    tells = (bad >= LEAST) & ((bad + 0.5) / (target.sum() + 1) >= TELLS * (good + 0.5) / (len(sample) - target.sum() + 1))
-    tells[HASHED:] = True
     column, row = column[tells[column]], row[tells[column]]
     for _ in range(rounds):
         z = np.bincount(row, weights[column], len(sample))
@@ -143,6 +137,46 @@ def fit(sample: list[np.ndarray], target: np.ndarray, size: int, rounds: int = 1
     return weights
 
 
+def _telling(sampled: DataFrame, models: list[tuple], totals: list[float], n: int) -> DataFrame:
+    """(column, tells: a flag for each model) of the words that clearly tell a model's classes apart: in bad documents by TELLS times as frequent as in good ones, and in at least LEAST of them.
+
+    All words of the sampled documents are counted, where they lie; the driver sees only those that tell.
+    """
+    names = [f"bad{m}" for m in range(len(models))]
+    schema = pa.schema([(c, pa.int64()) for c in ("column", "n", *names)])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            votes, words = batch.column(0).to_pylist(), [_unpack(w) for w in batch.column(1).to_pylist()]
+            if not votes:
+                continue
+            column, place = np.unique(np.concatenate(words), return_inverse=True)
+            row = np.repeat(np.arange(len(words)), [len(w) for w in words])
+            out = {"column": column.astype(np.int64), "n": np.bincount(place, minlength=len(column)).astype(np.int64)}
+            for name, model in zip(names, models, strict=True):
+                shares = np.rint(_targets(votes, *model) * _ONE).astype(np.int64)
+                out[name] = np.zeros(len(column), np.int64)
+                np.add.at(out[name], place, shares[row])
+            yield pa.RecordBatch.from_pydict(out, schema=schema)
+
+    counts = sampled.select("votes", "words").mapInArrow(count, ", ".join(f"`{c}` long" for c in schema.names)).groupBy("column").agg(*[F.sum(c).alias(c) for c in ("n", *names)])
+    flags = []
+    for name, total in zip(names, totals, strict=True):
+        bad = F.col(name) / _ONE
+        flags.append((bad >= LEAST) & ((bad + 0.5) / (total + 1) >= TELLS * (F.col("n") - bad + 0.5) / (n - total + 1)))
+    return counts.select("column", F.array(*flags).alias("tells")).filter(reduce(or_, flags))
+
+
+def _targets(votes: list[str], part: list[int], share: float, rate: np.ndarray) -> np.ndarray:
+    """P(bad) of documents by the votes of a model's part."""
+    v = np.array([[int(x[i]) for i in part] for x in votes], int).reshape(len(votes), len(part))
+    return posterior(v, share, rate) if len(votes) else np.zeros(0)
+
+
+def _unpack(words: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(words), np.uint32)
+
+
 def classify(docs: DataFrame, labels: DataFrame | None = None, sample_docs: int = 8_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, p_quality, p_toxic, score (p_quality less what p_toxic takes) and kept (both judge it clean).
 
@@ -170,7 +204,7 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, sample_docs: int
             for text, wanted in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 v, w = look(text)
                 votes.append(v)
-                words.append(zlib.compress(w[:FIT_FEATURES].tobytes(), 1) if wanted and v else None)
+                words.append(zlib.compress(w.tobytes(), 1) if wanted and v else None)
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(votes, pa.string()), pa.array(words, pa.binary())], schema=schema)
 
     seen = materialize(source.mapInArrow(watch, "id long, votes string, words binary"), "votes").filter("votes <> ''")
@@ -185,14 +219,25 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, sample_docs: int
             of[key] = of.get(key, 0) + n
         models.append((part, *estimate(of, *start, LABEL_RATES)))
 
-    sample = [(r["votes"], np.frombuffer(zlib.decompress(r["words"]), np.uint32)) for r in seen.filter("words IS NOT NULL").toLocalIterator()]
+    sampled = seen.filter("words IS NOT NULL")
+    known = {r["votes"]: r["count"] for r in sampled.groupBy("votes").count().collect()}
+    n = sum(known.values())
+    totals = [float(_targets(list(known), *m) @ np.array(list(known.values()), float)) for m in models]
     size = HASHED + 2 * every + 1
+    tells = np.zeros((len(models), size), bool)
+    tells[:, HASHED:] = True
+    for r in _telling(sampled, models, totals, n).collect():
+        tells[:, r["column"]] = r["tells"]
+    wanted = spark.sparkContext.broadcast(tells.any(axis=0))
+
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [_unpack(w) for w in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([w[wanted.value[w]].tobytes() for w in words], pa.binary())], names=["votes", "words"])
+
+    sample = [(r["votes"], np.frombuffer(r["words"], np.uint32)) for r in sampled.select("votes", "words").mapInArrow(narrow, "votes string, words binary").toLocalIterator()]
     inputs = [_columns(v[:every], w) for v, w in sample]
-    sample = [(v, None) for v, _ in sample]  # the features are held once
-    weights = []
-    for part, prior, rate in models:
-        v = np.array([[int(votes[i]) for i in part] for votes, _ in sample], int).reshape(len(sample), len(part))
-        weights.append(fit(inputs, posterior(v, prior, rate) if len(sample) else np.zeros(0), size))
+    weights = [fit(inputs, _targets([v for v, _ in sample], *model), size, tells[m]) for m, model in enumerate(models)]
     shared = spark.sparkContext.broadcast(np.stack(weights))
     out_schema = pa.schema([(id_col, pa.int64()), ("p_quality", pa.float64()), ("p_toxic", pa.float64()), ("votes", pa.string())])
 

@@ -125,6 +125,22 @@ def test_quality_model_edges(spark, name, request):
         assert all(0 <= g["score"] <= 1 for g in got) and not any(g["kept"] for g in got if g["doc_id"] in (4, 5, 6, 12) and not g["votes"])
 
 
+def test_quality_model_learns_from_all_words_of_long_documents(spark):
+    rnd = random.Random(8)
+    name = lambda k: "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=k))
+    column = lambda w: int(quality_model.look(w)[1][-1])
+    tell = max((name(4) for _ in range(3000)), key=column)  # among the last of a document's features
+    filler = [name(9) for _ in range(1500)]
+    text = lambda words: ". ".join(" ".join(words[i : i + 12]) for i in range(0, len(words), 12)) + "."
+    data = [(i, text(rnd.sample(filler, 1400) + [tell] * (i % 2))) for i in range(40)]
+    assert all(len(quality_model.look(t)[1]) > 5000 for _, t in data)
+    short = rnd.sample(filler, 50)
+    data += [(100, text([*short, tell])), (101, text([*short, name(4)]))]
+    labels = spark.createDataFrame([(i, 1 - i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in rows(quality_model.classify(spark.createDataFrame(data, DOC), labels))}
+    assert not got[100]["kept"] and got[101]["kept"] and got[100]["p_quality"] < got[101]["p_quality"] - 0.3
+
+
 def test_quality_model_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
