@@ -6,6 +6,9 @@ text) can reach the threshold for a template only if it holds enough of its toke
 matter to a containment, so a block is narrowed to those before anything is joined, and the template side is a parameter of at most
 MAX_TEMPLATE_TOKENS rows whatever the corpus.
 
+A passage may be wrapped: besides lines, every window of a template's words and a quarter more that holds words of it in several lines is counted, in those texts that
+as a whole hold enough of the template. Of windows that overlap the fullest is reported, by the line where it begins, unless one of its lines reaches the threshold alone.
+
 Defined cases: a null or empty text has no words, no labels and score 0. Repeated rows each have their own result, even with one id. An empty table gives an
 empty result. Columns besides the named ones are ignored.
 """
@@ -15,7 +18,7 @@ from __future__ import annotations
 import math
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmill.llm.common import ascii_lower, materialize, only
@@ -47,6 +50,7 @@ TEMPLATES = (
 )
 THRESHOLD = 0.8
 MAX_TEMPLATE_TOKENS = 20_000
+_WINDOW = "struct<template:int,block:int,last:int,common:int,start:int,stop:int>"
 _GAP = "[\\\\x00-\\\\x2F\\\\x3A-\\\\x60\\\\x7B-\\\\x7F]+"
 
 
@@ -58,9 +62,13 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, th
     need = [math.ceil(threshold * len(w) - 1e-9) for _, w in sets]
     vocabulary = sorted({w for _, ws in sets for w in ws})
     code = {w: i for i, w in enumerate(vocabulary)}
-    own = materialize(_measured(docs, vocabulary, min(need, default=1), id_col, text_col), "licenses")
+    spans = [len(w) + -(-len(w) // 4) for w in (re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", words) for _, words in templates)]
+    wanted = [(t, words, least, span) for t, ((_, words), least, span) in enumerate(zip(sets, need, spans, strict=True))]
+    own = materialize(_measured(docs, vocabulary, min(need, default=1), wanted, id_col, text_col), "licenses")
     spark = docs.sparkSession
 
+    wrapped = own.select("row", F.explode("wrapped").alias("w")).select("row", "w.block", "w.last", "w.template", "w.common")
+
     blocks = own.select("row", F.explode("blocks").alias("b")).select("row", "b.block", "b.tokens")
     commonness = blocks.select(F.explode("tokens").alias("token")).groupBy("token").count()  # one row per template token at most
     seen = {r["token"]: r["count"] for r in commonness.collect()}
@@ -81,9 +89,13 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, th
     )
     probes = probes.groupBy("row", "block", "template").agg(F.first("own").alias("own"))
     hits = probes.join(F.broadcast(full), "template").withColumn("common", F.size(F.array_intersect("own", "ranks"))).filter("common >= least")
+    lines = hits.select("row", "template", F.col("block").alias("line"))
+    wrapped = wrapped.join(lines, ["row", "template"], "left").groupBy("row", "template", "block", "last", "common").agg(F.coalesce(F.max(F.col("line").between(F.col("block"), F.col("last"))), F.lit(False)).alias("alone"))
+    wrapped = wrapped.filter("NOT alone").join(F.broadcast(full), "template").select("row", "block", "label", "common", "size")
+    hits = hits.select("row", "block", "label", "common", "size").unionByName(wrapped)
     hits = hits.select("row", "block", "label", (F.col("common") / F.col("size")).alias("containment"))
     best = hits.groupBy("row").agg(F.collect_set("label").alias("found"), F.max("containment").alias("best"), F.array_sort(F.collect_list(F.struct("block", "label", "containment"))).alias("spans"))
-    out = own.drop("blocks").join(best, "row", "left")
+    out = own.drop("blocks", "wrapped").join(best, "row", "left")
     every = F.array_sort(F.array_union("base", F.coalesce("found", F.array().cast("array<string>"))))
     return out.select(
         F.col("id").alias(id_col),
@@ -98,8 +110,39 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, th
     )
 
 
-def _measured(docs: DataFrame, vocabulary: list[str], fewest: int, id_col: str, text_col: str) -> DataFrame:
-    """row (its own key), id, the base columns, and blocks: those lines that hold at least `fewest` of the vocabulary, with the codes they hold."""
+def _wrapped(found: Column, near: Column) -> Column:
+    """Of each template in `near`, the fullest windows that hold words of it in several lines: template, block (the first line), last (the last one), common.
+
+    found: (place, line, word) of all words of the vocabulary in a text, in order.
+    """
+
+    def of(template: Column) -> Column:
+        own = F.filter(found, lambda x: F.array_contains(template["words"], x["word"]))
+
+        def window(own: Column, x: Column, k: Column) -> Column:
+            inside = F.filter(F.slice(own, k + 1, template["span"]), lambda y: y["place"] < x["place"] + template["span"])
+            words = F.array_distinct(F.transform(inside, lambda y: y["word"]))
+            last = F.filter(inside, lambda y: y["word"] == F.element_at(words, -1))[0]  # the first place of the last new word
+            return F.struct(template["template"].alias("template"), x["line"].alias("block"), last["line"].alias("last"), F.size(words).alias("common"), x["place"].alias("start"), last["place"].alias("stop"))
+
+        windows = F.flatten(F.transform(F.array(own), lambda o: F.transform(o, lambda x, k: window(o, x, k))))
+        windows = F.filter(windows, lambda w: w["common"] >= template["least"])
+        none = F.expr(f"cast(array() AS array<{_WINDOW}>)")
+
+        def add(kept: Column, w: Column) -> Column:
+            before = F.try_element_at(kept, F.lit(-1))
+            over = F.coalesce(w["start"] <= before["stop"], F.lit(False))
+            # of equal ones the later is the tighter
+            return F.when(~over, F.concat(kept, F.array(w))).when(w["common"] >= before["common"], F.concat(F.slice(kept, F.lit(1), F.size(kept) - 1), F.array(w))).otherwise(kept)
+
+        return F.aggregate(windows, none, add)
+
+    every = F.filter(F.flatten(F.transform(near, of)), lambda w: w["block"] < w["last"])
+    return F.transform(every, lambda w: F.struct(*[w[n].alias(n) for n in ("template", "block", "last", "common")]))
+
+
+def _measured(docs: DataFrame, vocabulary: list[str], fewest: int, wanted: list[tuple[int, list[str], int, int]], id_col: str, text_col: str) -> DataFrame:
+    """row (its own key), id, the base columns, blocks: those lines that hold at least `fewest` of the vocabulary, with the codes they hold, and the `wanted` templates' windows over several lines."""
     t = only(docs, id_col, text_col).toDF("id", "text").withColumn("text", ascii_lower(F.coalesce("text", F.lit(""))))
     # each word stands between two spaces of its own, so that neighbouring places never share one
     flat = F.expr(f"regexp_replace(regexp_replace(text, '{_GAP}', '  '), '^  |  $', '')")
@@ -119,9 +162,21 @@ def _measured(docs: DataFrame, vocabulary: list[str], fewest: int, id_col: str,
     t = t.withColumn("n_words", (spaces("flat") / 2).cast("long"))
     base = F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.when(F.instr("flat", " " + p.replace(" ", "  ") + " ") > 0, F.lit(label)) for p, label in PHRASES.items()]))))
     blocks = F.expr("array()").cast("array<struct<block:int,tokens:array<int>>>")
+    wrapped = F.expr("array()").cast("array<struct<template:int,block:int,last:int,common:int>>")
     if vocabulary:
         words = F.array(*[F.lit(w) for w in vocabulary])
         held = F.transform("lines", lambda line, i: F.struct(i.alias("block"), F.array_intersect(F.split(line, _GAP.replace("\\\\", "\\")), words).alias("words")))
+        t = t.withColumn("held", held)
+        held = F.col("held")
         kept = F.filter(held, lambda b: F.size(b["words"]) >= fewest)
         blocks = F.transform(kept, lambda b: F.struct(b["block"].alias("block"), F.transform(b["words"], lambda w: (F.array_position(words, w) - 1).cast("int")).alias("tokens")))
-    return t.select("row", "id", "n_words", sum(count[1:], count[0]).alias("n_base"), F.least(*first).alias("first_word"), F.greatest(*last).alias("last_word"), base.alias("base"), blocks.alias("blocks"))
+        templates = F.array(*[F.struct(F.lit(k).alias("template"), F.array(*[F.lit(w) for w in ws]).alias("words"), F.lit(least).alias("least"), F.lit(span).alias("span")) for k, ws, least, span in wanted])
+        t = t.withColumn("all_held", F.array_distinct(F.flatten(F.transform("held", lambda b: b["words"]))))
+        near = F.filter(templates, lambda x: F.size(F.array_intersect("all_held", x["words"])) >= x["least"])
+        t = t.withColumn("near", F.when((F.size("lines") > 1) & (F.size("all_held") >= fewest), near))
+        placed = F.flatten(F.transform("lines", lambda line, i: F.transform(F.filter(F.split(line, _GAP.replace("\\\\", "\\")), lambda w: w != ""), lambda w: F.struct(i.alias("line"), w.alias("word")))))
+        placed = F.transform(placed, lambda x, k: F.struct(k.alias("place"), x["line"].alias("line"), x["word"].alias("word")))
+        found = F.filter(placed, lambda x: F.array_contains("all_held", x["word"]))
+        t = t.withColumn("wrapped", F.when(F.size("near") > 0, F.transform(F.array(found), lambda f: _wrapped(f, F.col("near")))[0]))
+        wrapped = F.col("wrapped")
+    return t.select("row", "id", "n_words", sum(count[1:], count[0]).alias("n_base"), F.least(*first).alias("first_word"), F.greatest(*last).alias("last_word"), base.alias("base"), blocks.alias("blocks"), wrapped.alias("wrapped"))

@@ -90,6 +90,24 @@ def test_license_containment_join_is_exact(spark, small_docs):
         assert found[i] == want
 
 
+def test_license_passages_over_line_breaks(spark):
+    mit = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction."""
+    warranty = """# THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+# IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,"""
+    bsd = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:"""
+    isc = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that"""
+    words = bsd.replace("\n", " ").split()
+    data = [(1, "a line\n" + mit), (2, warranty), (3, "x\n\n" + bsd), (4, isc), (5, "\n".join(words)), (6, "\n".join(w + " far away from it" * 8 for w in words)), (7, f"with the\n{' '.join(words)}\nin the"), (8, bsd + "\nx y z\n" * 30 + bsd)]
+    got = {r["doc_id"]: r for r in rows(license_scan.scan(spark.createDataFrame(data, "doc_id long, text string")))}
+    assert [got[i]["labels"] for i in range(1, 9)] == ["mit", "mit", "bsd", "isc", "bsd", "", "bsd", "bsd"]
+    assert [(s["block"], s["containment"]) for s in got[1]["spans"]] == [(1, 1.0)] and got[3]["score"] == 1.0 and got[6]["score"] == 0
+    assert [s["block"] for s in got[7]["spans"]] == [1] and [s["block"] for s in got[8]["spans"]] == [0, 61]
+
+
 def test_language_id(docs):
     got = rows(language_id.identify(docs))
     assert len(got) == docs.count()
