@@ -15,13 +15,15 @@ _ONE = rf"{B0}{W}{B1}"
 
 
 def is_spaced(text: Column) -> Column:
-    """Letters or digits set apart: single digits in a row, blanks inside numbers, runs of single letters, a lone letter between words."""
-    quick = (
-        text.rlike(rf"(?:{B0}{D}{B1}{S}+){{3,}}{B0}{D}{B1}")
-        | text.rlike(rf"{D}[.,/]{S}+{D}|{D}{S}+[.,/]{S}*{D}")
-        # a run of single characters with a rare letter: one of its neighbours is single, too
-        | text.rlike(rf"{B0}{_RARE}{B1}{S}+{_ONE}|{_ONE}{S}+{B0}{_RARE}{B1}")
-    )
+    """Letters or digits set apart: single digits in a row, blanks inside numbers, runs of single letters, a lone letter between words.
+
+    Every sign but a blank inside a number needs a single letter or digit; every other one but a line of at least half single ones needs one besides the common
+    ones, or single digits. What most lines lack is looked for first.
+    """
+    split_number = text.rlike(rf"{D}[.,/]{S}+{D}|{D}{S}+[.,/]{S}*{D}")
+    digits_apart = text.rlike(rf"(?:{B0}{D}{B1}{S}+){{3,}}{B0}{D}{B1}")
+    # a run of single characters with a rare letter: one of its neighbours is single, too
+    letters_apart = text.rlike(rf"{B0}{_RARE}{B1}{S}+{_ONE}|{_ONE}{S}+{B0}{_RARE}{B1}")
     middles = find_all(text, rf"{B0}{W}{{2,}}{S}+({W}){S}+{W}{{2,}}{B1}", 1)
     rare = lambda t: t.rlike(rf"^{_RARE}\z")
 
@@ -33,7 +35,10 @@ def is_spaced(text: Column) -> Column:
         )
 
     slow = let(middles, lambda mid: F.exists(mid, rare) | by_share(words(text), mid))
-    return F.when(quick, True).when(F.length(text) < 6, False).otherwise(slow)
+    two_alone = text.rlike(rf"(?s)(?:^|{S})[\p{{L}}\p{{N}}]{S}(?:.*{S})??[\p{{L}}\p{{N}}](?:{S}|\z)")
+    common = F.when(digits_apart, True).when((F.length(text) < 6) | ~two_alone, False).otherwise(by_share(words(text), F.array().cast("array<string>")))
+    full = F.when(digits_apart | letters_apart, True).when(F.length(text) < 6, False).otherwise(slow)
+    return F.when(split_number, True).when(~text.rlike(_ONE), False).when(~text.rlike(rf"{B0}{_RARE}{B1}"), common).otherwise(full)
 
 
 def is_multi_space(text: Column) -> Column:
@@ -54,7 +59,9 @@ def is_collapsed(text: Column) -> Column:
         few_blanks = (F.length(text) > 120) & (count_of(text, " ") / F.length(text) < 0.05)
         return (F.size(t) >= 8) & ((total >= 9 * F.size(t)) | (long >= 2) | few_blanks)
 
-    return F.when(text.rlike(RUN_ON) | text.rlike(MERGED), True).when(F.length(text) < 60, False).otherwise(let(tokens(text), long_words))
+    # one scan for what the two patterns have in common: six letters in a row with more letters or digits beside them
+    quick = text.rlike(rf"{LETTER}{{6}}(?:{LETTER}{{14}}|{D})|{D}{LETTER}{{6}}") & (text.rlike(RUN_ON) | text.rlike(MERGED))
+    return F.when(quick, True).when(F.length(text) < 60, False).otherwise(let(tokens(text), long_words))
 
 
 def needs_spacing_fix(text: Column) -> Column:

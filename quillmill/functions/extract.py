@@ -5,12 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillmill.functions.regex import B0, B1, D, casefold, count_of, find_all, strip, tokens
+from quillmill.functions.regex import B0, B1, D, casefold, count_of, find_all, let, strip, tokens
 
 
 def audit_tokens(text: Column) -> Column:
     """All words in order, case folded and without underscores at their ends; a word of underscores is an empty one."""
-    return F.transform(tokens(text), lambda t: F.btrim(casefold(t), F.lit("_")))
+
+    def fold(found: Column) -> Column:
+        # all words at once, and one by one only where there are underscores
+        folded = F.split(casefold(F.array_join(found, " ")), " ")
+        bare = F.when(F.contains(text, F.lit("_")), F.transform(folded, lambda t: F.btrim(t, F.lit("_")))).otherwise(folded)
+        return F.when(F.size(found) == 0, found).otherwise(bare)
+
+    return let(tokens(text), fold)
 
 
 def normalize_number(token: Column) -> Column:
@@ -33,8 +40,3 @@ def dates(text: Column) -> Column:
     """The distinct dates, as written."""
     return F.array_distinct(find_all(text, rf"{B0}{D}{{1,2}}[./-]{D}{{1,2}}[./-]{D}{{2,4}}{B1}"))
 
-
-def coverage(reference: Column, candidate: Column) -> Column:
-    """The share of the reference's entries, repeats counted, that the candidate has; 1 for none."""
-    found = F.filter(reference, lambda x: F.array_contains(candidate, x))
-    return F.when(F.size(reference) == 0, F.lit(1.0)).otherwise(F.size(found) / F.size(reference))

@@ -84,6 +84,3 @@ def count_of(c: Column, char_class: str) -> Column:
 def digits(c: Column) -> Column:
     return F.regexp_replace(c, rf"[^{D}]", "")
 
-
-def starts_with(c: Column, prefix: Column) -> Column:
-    return F.startswith(c, prefix)

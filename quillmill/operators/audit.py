@@ -4,31 +4,47 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmill.functions import extract
 from quillmill.functions.detect import is_multi_space, is_spaced, needs_spacing_fix
+from quillmill.functions.regex import let
 from quillmill.operators.markdown import PAGE_BREAK, heading_count, split_pages, table_count
 from quillmill.operators.tables import table_stats, toc_like
 
-_KINDS = {"token_coverage": extract.audit_tokens, "numeric_recall": extract.numbers, "date_recall": extract.dates}
+def token_share(reference: Column, candidate: Column) -> Column:
+    """The share of the reference's words, repeats counted, that the candidate has; 1 for none.
+
+    Both sides' words are sorted together, the candidate's before the reference's, so that one pass over them sees whether a word was just met.
+    """
+
+    def share(words: Column) -> Column:
+        start = F.struct(F.lit(None).cast("string").alias("met"), F.lit(0).alias("n"), F.lit(0).alias("held"))
+
+        def add(a: Column, x: Column) -> Column:
+            ref = x["side"] == 1
+            met = F.when(ref, a["met"]).otherwise(x["word"])
+            return F.struct(met.alias("met"), F.when(ref, a["n"] + 1).otherwise(a["n"]).alias("n"), F.when(ref & (a["met"] == x["word"]), a["held"] + 1).otherwise(a["held"]).alias("held"))
+
+        return let(F.aggregate(words, start, add), lambda a: F.when(a["n"] == 0, 1.0).otherwise(a["held"] / a["n"]))
+
+    tag = lambda words, side: F.transform(words, lambda w: F.struct(w.alias("word"), F.lit(side).alias("side")))
+    return let(F.sort_array(F.concat(tag(F.array_distinct(extract.audit_tokens(candidate)), 0), tag(extract.audit_tokens(reference), 1))), share)
+
+
+def _set_share(reference: Column, candidate: Column) -> Column:
+    """The same of distinct entries."""
+    return let(reference, lambda r: F.when(F.size(r) == 0, 1.0).otherwise(F.size(F.array_intersect(r, candidate)) / F.size(r)))
 
 
 def recall(pairs: DataFrame, *keys: str, reference: str = "reference", candidate: str = "candidate") -> DataFrame:
-    """For each key the three shares of the reference's entries that the candidate has; 1 where the reference has none.
+    """For each row its keys and the three shares of the reference's entries that the candidate has; 1 where the reference has none. Null counts as empty.
 
-    Entries of both sides are counted together by (key, entry), one aggregation with partial sums and no join.
+    Both texts are in one row and are compared there.
     """
-    own = pairs.select(*keys, F.coalesce(reference, F.lit("")).alias("ref"), F.coalesce(candidate, F.lit("")).alias("cand"))
-    entry = lambda side, kind, f: F.transform(f(F.col(side)), lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("entry"), F.lit(int(side == "ref")).alias("n"), F.lit(int(side == "cand")).alias("held")))
-    every = F.concat(*[entry(side, kind, f) for kind, f in _KINDS.items() for side in ("ref", "cand")])
-    long = own.select(*keys, F.explode(every).alias("e")).select(*keys, "e.*").groupBy(*keys, "kind", "entry").agg(F.sum("n").alias("n"), F.max("held").alias("held"))
-    shares = [(F.sum(F.when(F.col("kind") == k, F.col("n") * F.col("held"))) / F.sum(F.when((F.col("kind") == k) & (F.col("n") > 0), F.col("n")))).alias(k) for k in _KINDS]
-    found = long.groupBy(*keys).agg(*shares)
-    base = own.select(*keys).distinct()
-    on = reduce(lambda a, b: a & b, [base[k].eqNullSafe(found[k]) for k in keys])
-    return base.join(found, on, "left").select(*[base[k] for k in keys], *[F.coalesce(found[k], F.lit(1.0)).alias(k) for k in _KINDS])
+    ref, cand = F.coalesce(reference, F.lit("")), F.coalesce(candidate, F.lit(""))
+    return pairs.select(*keys, token_share(ref, cand).alias("token_coverage"), _set_share(extract.numbers(ref), extract.numbers(cand)).alias("numeric_recall"), _set_share(extract.dates(ref), extract.dates(cand)).alias("date_recall"))
 
 
 def per_page(doc_pages: DataFrame, docs: DataFrame, page_break: str = PAGE_BREAK) -> DataFrame:
@@ -39,8 +55,9 @@ def per_page(doc_pages: DataFrame, docs: DataFrame, page_break: str = PAGE_BREAK
     nth = doc_pages.withColumn("chunk_no", F.row_number().over(Window.partitionBy("doc_id").orderBy("page_no")) - 1)
     md = split_pages(docs, page_break).withColumnRenamed("text", "candidate")
     pairs = nth.join(md, ["doc_id", "chunk_no"], "left").select("doc_id", "page_no", F.coalesce("text", F.lit("")).alias("reference"), F.coalesce("candidate", F.lit("")).alias("candidate"))
-    sizes = pairs.select("doc_id", "page_no", F.length("reference").cast("long").alias("pdf_text_length"), F.length("candidate").cast("long").alias("md_text_length"))
-    return recall(pairs, "doc_id", "page_no").join(sizes, ["doc_id", "page_no"])
+    pairs = pairs.withColumn("pdf_text_length", F.length("reference").cast("long")).withColumn("md_text_length", F.length("candidate").cast("long"))
+    shares = ["token_coverage", "numeric_recall", "date_recall"]
+    return recall(pairs, "doc_id", "page_no", "pdf_text_length", "md_text_length").select("doc_id", "page_no", *shares, "pdf_text_length", "md_text_length")
 
 
 def worst_pages(audits: DataFrame, n: int = 5) -> DataFrame:
@@ -48,6 +65,11 @@ def worst_pages(audits: DataFrame, n: int = 5) -> DataFrame:
     return audits.orderBy("token_coverage", "doc_id", "page_no").limit(n)
 
 
+def heading_counts(items: DataFrame) -> DataFrame:
+    """(doc_id, heading_count_pdf): the titles and section headers of documents that have items."""
+    return items.groupBy("doc_id").agg(F.sum(F.col("label").isin("title", "section_header").cast("long")).alias("heading_count_pdf"))
+
+
 def document_metrics(docs: DataFrame, items: DataFrame, tables: DataFrame, cells: DataFrame) -> DataFrame:
     """One row of the 15 audit metrics per document. docs: doc_id, text, markdown; items: doc_id, kind, label, text; tables and cells as in operators.tables."""
     ref = recall(docs.select("doc_id", F.col("text").alias("reference"), F.col("markdown").alias("candidate")), "doc_id")
@@ -56,7 +78,7 @@ def document_metrics(docs: DataFrame, items: DataFrame, tables: DataFrame, cells
     said = items.filter((F.col("kind") != "table") & (F.coalesce("text", F.lit("")) != ""))
     n = lambda cond: F.sum(cond.cast("long"))
     text_items = said.groupBy("doc_id").agg(F.count("*").alias("total_text_items"), n(is_multi_space(F.col("text"))).alias("multi_space_text_items"), n(needs_spacing_fix(F.col("text"))).alias("spaced_text_items"))
-    headings = items.groupBy("doc_id").agg(n(F.col("label").isin("title", "section_header")).alias("heading_count_pdf"))
+    headings = heading_counts(items)
     real = cells.join(toc_like(tables, cells).filter("toc_like").select("doc_id", "table_no"), ["doc_id", "table_no"], "left_anti")
     spaced = real.groupBy("doc_id").agg(F.count("*").alias("total_table_cells"), n(is_spaced(F.coalesce("text", F.lit("")))).alias("spaced_table_cells"))
     out = reduce(lambda a, b: a.join(b, "doc_id", "left"), [table_stats(tables, cells), headings, text_items, spaced], ref.join(own, "doc_id"))

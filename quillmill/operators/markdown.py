@@ -1,14 +1,14 @@
 """Markdown by page, block and line.
 
-A document is a row (doc_id, markdown). What needs one page only is a Column function of its text; what looks across pages works on
-one row per page, with windows over the document, and puts the pages together again.
+A document is a row with its Markdown; every pass is a function of that text alone. What looks across pages does so over the array of a document's pages,
+inside the row, so nothing is shuffled, rows may share an id or have none, and all other columns stay. Null stays null.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmill.functions.detect import is_axis
@@ -107,43 +107,48 @@ def merge_kpi_blocks(markdown: Column, page_break: str = PAGE_BREAK) -> Column:
 # --- passes across pages ---------------------------------------------------------------------------
 
 
-def _raw_pages(docs: DataFrame, page_break: str) -> DataFrame:
-    return docs.select("doc_id", F.posexplode(_parts(F.col("markdown"), page_break)).alias("no", "part"))
+def _meaningful(lines: Column) -> Column:
+    """The lines of a page, stripped, that aren't blank, an image or a page marker."""
+    return F.filter(F.transform(lines, strip), lambda x: (x != "") & ~x.rlike(IMAGE) & ~_is_marker(x))
 
 
-def _joined(pages: DataFrame, docs: DataFrame, page_break: str) -> DataFrame:
-    """Pages (doc_id, no, part) as documents; a blank one is returned as it was."""
-    whole = F.transform(F.array_sort(F.collect_list(F.struct("no", "part"))), lambda p: p["part"])
-    out = pages.groupBy("doc_id").agg(F.array_join(whole, f"\n\n{page_break}\n\n").alias("made"))
-    return docs.join(out, "doc_id", "left").select("doc_id", F.when(is_blank(F.col("markdown")) | F.col("made").isNull(), F.col("markdown")).otherwise(F.col("made")).alias("markdown"))
+def _heading_key(line: Column) -> Column:
+    return F.when(line.rlike(HEADING), casefold(squeeze(F.regexp_extract(line, HEADING, 2))))
 
 
-def _meaningful(part: Column) -> Column:
-    """The stripped lines of a page that aren't blank, an image or a page marker."""
-    return F.filter(F.transform(split_lines(part), strip), lambda x: (x != "") & ~x.rlike(IMAGE) & ~_is_marker(x))
+def without_noise(markdown: Column, page_break: str = PAGE_BREAK, remove_images: bool = False, ratio: float = 0.3, least: int = 3) -> Column:
+    """Headings that open many pages stay on the first of these only; image placeholders can go."""
 
+    def cleaned(lines: Column, heading: Column, out: Column) -> Column:
+        at = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: _heading_key(strip(F.get(lines, i))).eqNullSafe(heading))
+        gone = F.when((out >= 0) & (F.size(lines) > 0), F.get(at, out))
+        said = F.filter(lines, lambda x: ~strip(x).rlike(IMAGE)) if remove_images else lines
+        marked = let(gone, lambda g: F.filter(lines, lambda x, i: F.coalesce(i != g, F.lit(True)) & ~(F.lit(remove_images) & strip(x).rlike(IMAGE))))
+        return F.array_join(F.when(out < 0, said).otherwise(marked), "\n")
 
-def _heading_key(line: Column) -> Column:
-    return F.when(line.rlike(HEADING), casefold(squeeze(F.regexp_extract(line, HEADING, 2))))
+    def pages(page: Column) -> Column:
+        keys = F.transform(page, lambda p: p["heading"])
+        times = F.greatest(F.lit(least), F.floor(F.size(page) * ratio + 0.999).cast("int"))
+        # in the sorted keys one that is there so often meets itself again that far on; there can be few of them
+        often = let(F.sort_array(F.array_compact(keys)), lambda s: F.array_distinct(F.filter(s, lambda x, i: F.coalesce(F.get(s, i + times - 1) == x, F.lit(False)))))
+        first = let(F.when(F.size(page) > 1, often).otherwise(F.array().cast("array<string>")), lambda found: F.transform(found, lambda h: F.struct(h.alias("heading"), F.array_position(keys, h).alias("page"))))
 
+        def one(first: Column) -> Column:
+            def of(p: Column, i: Column) -> Column:
+                own = F.get(F.filter(first, lambda f: f["heading"].eqNullSafe(p["heading"])), F.lit(0))
+                # the heading stays once: of the first page the second match goes, of the others the first
+                return cleaned(p["lines"], p["heading"], F.when(own.isNull(), -1).when(own["page"] == i + 1, 1).otherwise(0))
 
-def reduce_noise(docs: DataFrame, page_break: str = PAGE_BREAK, remove_images: bool = False, ratio: float = 0.3, least: int = 3) -> DataFrame:
-    """Headings that open many pages stay on the first of these only; image placeholders can go. doc_id must be unique."""
-    pages = _raw_pages(docs, page_break)
-    pages = pages.withColumn("heading", _heading_key(F.get(_meaningful(F.col("part")), F.lit(0))))
-    by_key = Window.partitionBy("doc_id", "heading")
-    pages = pages.withColumn("pages", F.count("*").over(Window.partitionBy("doc_id"))).withColumn("times", F.count("heading").over(by_key)).withColumn("nth", F.row_number().over(by_key.orderBy("no")))
-    often = F.col("heading").isNotNull() & (F.col("pages") > 1) & (F.col("times") >= F.greatest(F.lit(least), F.floor(F.col("pages") * ratio + 0.999)))
-    # the heading stays once: of the first page the second match goes, of the others the first
-    pages = pages.withColumn("out", F.when(often, F.when(F.col("nth") == 1, 1).otherwise(0)).otherwise(-1))
+            return F.transform(page, of)
+
+        return F.array_join(let(first, one), f"\n\n{page_break}\n\n")
 
-    def cleaned(lines: Column) -> Column:
-        at = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: _heading_key(strip(F.get(lines, i))).eqNullSafe(F.col("heading")))
-        gone = F.when((F.col("out") >= 0) & (F.size(lines) > 0), F.get(at, F.col("out")))
-        keep = lambda x, i: F.coalesce(i != gone, F.lit(True)) & ~(F.lit(remove_images) & strip(x).rlike(IMAGE))
-        return F.array_join(F.filter(lines, keep), "\n")
+    page = F.transform(_parts(markdown, page_break), lambda p: let(split_lines(p), lambda x: F.struct(x.alias("lines"), _heading_key(F.get(_meaningful(x), F.lit(0))).alias("heading"))))
+    return F.when(is_blank(markdown), markdown).otherwise(let(page, pages))
 
-    return _joined(pages.select("doc_id", "no", let(split_lines(F.col("part")), cleaned).alias("part")), docs, page_break)
+
+def reduce_noise(docs: DataFrame, page_break: str = PAGE_BREAK, remove_images: bool = False, ratio: float = 0.3, least: int = 3) -> DataFrame:
+    return docs.withColumn("markdown", without_noise(F.col("markdown"), page_break, remove_images, ratio, least))
 
 
 def is_heading_like(line: Column) -> Column:
@@ -153,21 +158,33 @@ def is_heading_like(line: Column) -> Column:
     return plain & (F.length(s) <= 120) & ~s.rlike(r"[.!?;:]\z") & (F.size(words(s)) >= 3) & F.regexp_extract(s, r"(\p{L})", 1).rlike(r"^\p{Lu}\z")
 
 
-def remove_orphan_headings(docs: DataFrame, page_break: str = PAGE_BREAK) -> DataFrame:
-    """A heading at the end of a page goes if nothing of its own follows on the pages after. doc_id must be unique."""
-    pages = _raw_pages(docs, page_break).withColumn("first", F.get(_meaningful(F.col("part")), F.lit(0)))
-    later = Window.partitionBy("doc_id").orderBy("no").rowsBetween(1, Window.unboundedFollowing)
-    pages = pages.withColumn("next", F.first("first", ignorenulls=True).over(later))
+def without_orphan_headings(markdown: Column, page_break: str = PAGE_BREAK) -> Column:
+    """A heading at the end of a page goes if nothing of its own follows on the pages after."""
     level = lambda x: F.length(F.regexp_extract(x, HEADING, 1))
 
-    def page(lines: Column) -> Column:
-        last = F.get(F.reverse(F.filter(F.transform(lines, strip), lambda x: x != "")), F.lit(0))
-        nothing = F.col("next").isNull() | (F.col("next").rlike(HEADING) & (level(F.col("next")) <= level(last))) | is_heading_like(F.col("next"))
-        n = F.array_max(F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: ~is_blank(F.get(lines, i))))
-        without = rstrip(F.array_join(F.slice(lines, 1, F.coalesce(n, F.lit(0))), "\n"))
-        return F.when((F.size(lines) > 0) & F.coalesce(last.rlike(HEADING) & nothing, F.lit(False)), without).otherwise(F.col("part"))
+    def orphan(last: Column, after: Column) -> Column:
+        nothing = after.isNull() | (after.rlike(HEADING) & (level(after) <= level(last))) | is_heading_like(after)
+        return F.coalesce(last.rlike(HEADING) & nothing, F.lit(False))
+
+    def without(part: Column) -> Column:
+        n = lambda lines: F.array_max(F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: ~is_blank(F.get(lines, i))))
+        return let(split_lines(part), lambda lines: rstrip(F.array_join(F.slice(lines, F.lit(1), F.coalesce(n(lines), F.lit(0))), "\n")))
+
+    def pages(parts: Column) -> Column:
+        def ends(part: Column, i: Column) -> Column:
+            lines = F.filter(F.transform(split_lines(part), strip), lambda x: x != "")
+            return let(lines, lambda x: F.struct(i.alias("page"), F.get(_meaningful(x), F.lit(0)).alias("first"), F.element_at(F.concat(F.array(F.lit("")), x), -1).alias("last")))
+
+        # a page without a line of its own ends in no heading
+        told = F.filter(F.transform(parts, ends), lambda e: e["first"].isNotNull())
+        gone = let(told, lambda t: F.transform(F.filter(F.transform(t, lambda e, k: F.struct(e["page"].alias("page"), orphan(e["last"], F.get(t, k + 1)["first"]).alias("orphan"))), lambda e: e["orphan"]), lambda e: e["page"]))
+        return let(gone, lambda g: F.array_join(F.transform(parts, lambda p, i: F.when(F.array_contains(g, i), without(p)).otherwise(p)), f"\n\n{page_break}\n\n"))
 
-    return _joined(pages.select("doc_id", "no", let(split_lines(F.col("part")), page).alias("part")), docs, page_break)
+    return F.when(is_blank(markdown), markdown).otherwise(let(_parts(markdown, page_break), pages))
+
+
+def remove_orphan_headings(docs: DataFrame, page_break: str = PAGE_BREAK) -> DataFrame:
+    return docs.withColumn("markdown", without_orphan_headings(F.col("markdown"), page_break))
 
 
 def clean(docs: DataFrame, page_break: str = PAGE_BREAK, remove_images: bool = False) -> DataFrame:

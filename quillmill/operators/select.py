@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillmill.functions.detect import needs_spacing_fix, needs_table_spacing_fix
 from quillmill.operators.quality import report
+from quillmill.sources.config import EXPORT_LABELS
 
 #: Backends in order of preference among equals.
 BACKENDS = ("docling-parse-v4", "pypdfium2")
@@ -14,8 +15,13 @@ SPACED_SHARE = 0.04
 FEW_CHARS = 200
 
 
+def exported(items: DataFrame, labels: tuple[str, ...] = EXPORT_LABELS) -> DataFrame:
+    """The items whose labels are exported."""
+    return items.filter(F.col("label").isin(*labels))
+
+
 def best_backend(readings: DataFrame, order: tuple[str, ...] = BACKENDS) -> DataFrame:
-    """readings: doc_id, backend, markdown of the first page. (doc_id, backend, score) of the best, the first in order among equals."""
+    """readings: doc_id, backend, markdown of the probed pages. (doc_id, backend, score) of the best, the first in order among equals."""
     rank = F.array_position(F.array(*[F.lit(b) for b in order]), F.col("backend"))
     scored = readings.select("doc_id", "backend", rank.alias("rank"), report(F.coalesce("markdown", F.lit("")))["score"].alias("score"))
     nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("score"), "rank"))
