@@ -93,7 +93,8 @@ def table_markdown(t: DataFrame, cells: DataFrame) -> DataFrame:
 def export(c: Corpus, labels: tuple[str, ...] = EXPORT_LABELS, page_break: str = markdown.PAGE_BREAK) -> DataFrame:
     """(doc_id, markdown): the exported items in reading order, pages apart. The k-th table item of a document is its table k."""
     nth = F.row_number().over(Window.partitionBy("doc_id", "kind").orderBy("item_no")) - 1
-    own = c.items.withColumn("table_no", F.when(F.col("kind") == "table", nth)).filter(F.col("label").isin(*labels))
+    own = c.items.withColumn("table_no", F.when(F.col("kind") == "table", nth))
+    own = select.exported(own, labels)
     own = own.join(table_markdown(c.tables, c.cells).withColumnRenamed("text", "grid"), ["doc_id", "table_no"], "left")
     hashes = F.repeat(F.lit("#"), F.when(F.col("label") == "title", 1).otherwise(F.least(F.coalesce("level", F.lit(1)) + 1, F.lit(6))))
     text = F.when(F.col("kind") == "table", F.col("grid")).when(F.col("kind") == "picture", F.lit("<!-- image -->"))

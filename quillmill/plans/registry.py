@@ -37,13 +37,18 @@ def _docs(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFram
 # --- quality, detectors ----------------------------------------------------------------------------
 
 
-@query("""
-WITH l AS (SELECT doc_id, trim(unnest(string_split(text, chr(10)))) AS x FROM documents),
+def _score(texts: str) -> str:
+    """SQL for the report of texts (doc_id, text)."""
+    return f"""
+WITH d AS ({texts}), l AS (SELECT doc_id, trim(unnest(string_split(text, chr(10)))) AS x FROM d),
 r AS (SELECT doc_id, count(*) AS n FROM (SELECT doc_id, lower(x) AS y FROM l WHERE length(x) >= 6 AND NOT starts_with(x, '#') AND NOT starts_with(x, '<!-- image') AND NOT starts_with(x, '<!-- page break') GROUP BY doc_id, y HAVING count(*) >= 3) GROUP BY doc_id),
-s AS (SELECT doc_id, count(*) AS n FROM l WHERE length(replace(x, ' ', '')) <= 4 AND regexp_matches(x, '\\p{L}') GROUP BY doc_id)
+s AS (SELECT doc_id, count(*) AS n FROM l WHERE length(replace(x, ' ', '')) <= 4 AND regexp_matches(x, '\\p{{L}}') GROUP BY doc_id)
 SELECT d.doc_id, greatest(100 - 5 * coalesce(s.n, 0) - 2 * coalesce(r.n, 0) - c.n, 0)::BIGINT AS score, coalesce(s.n, 0)::BIGINT AS short_line_count, coalesce(r.n, 0)::BIGINT AS repeated_line_count, c.n::BIGINT AS control_char_count
-FROM documents d JOIN (SELECT doc_id, len(regexp_extract_all(text, '[\\x00-\\x08\\x0b-\\x1f]')) AS n FROM documents) c USING (doc_id) LEFT JOIN r USING (doc_id) LEFT JOIN s USING (doc_id)
-""")
+FROM d JOIN (SELECT doc_id, len(regexp_extract_all(text, '[\\x00-\\x08\\x0b-\\x1f]')) AS n FROM d) c USING (doc_id) LEFT JOIN r USING (doc_id) LEFT JOIN s USING (doc_id)
+"""
+
+
+@query(_score("SELECT doc_id, text FROM documents"))
 def quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(_docs(spark, sf_dir).select("doc_id", "text"))
 
@@ -55,7 +60,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _docs(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).withColumn("line_no", F.col("line_no").cast("long"))
 
 
-@query(rf"""
+_SPACED = rf"""
 WITH t AS (SELECT doc_id, line_no, line, regexp_extract_all(line, '{_W}+|\s+|[^\p{{L}}\p{{N}}_\s]+') AS k, regexp_extract_all(line, '\S+') AS w FROM ({_LINES})),
 p AS (SELECT *, list_transform(generate_series(1, len(k)), lambda i: regexp_full_match(k[i], '{_W}')) AS one, list_transform(generate_series(1, len(k)), lambda i: regexp_full_match(k[i], '\s+')) AS gap,
   list_transform(generate_series(1, len(k)), lambda i: regexp_full_match(k[i], '\p{{L}}') AND k[i] NOT IN ('a', 'A', 'I', 'i', 'o', 'O')) AS rare,
@@ -63,13 +68,16 @@ p AS (SELECT *, list_transform(generate_series(1, len(k)), lambda i: regexp_full
 q AS (SELECT *, list_bool_or(list_transform(generate_series(1, len(k) - 6), lambda i: regexp_full_match(k[i], '\d') AND regexp_full_match(k[i + 2], '\d') AND regexp_full_match(k[i + 4], '\d') AND regexp_full_match(k[i + 6], '\d') AND gap[i + 1] AND gap[i + 3] AND gap[i + 5])) AS r1,
   regexp_matches(line, '\d[.,/]\s+\d|\d\s+[.,/]\s*\d') AS r2, list_bool_or(list_transform(generate_series(1, len(k) - 2), lambda i: one[i] AND one[i + 2] AND gap[i + 1] AND (rare[i] OR rare[i + 2]))) AS r3,
   list_filter(generate_series(1, len(k) - 4), lambda i: word[i] AND one[i + 2] AND word[i + 4] AND gap[i + 1] AND gap[i + 3]) AS mid,
-  len(list_filter(w, lambda x: regexp_full_match(x, '[\p{{L}}\p{{N}}]'))) AS n1, len(list_filter(w, lambda x: regexp_full_match(x, '\p{{L}}') AND x NOT IN ('a', 'A', 'I', 'i', 'o', 'O'))) AS nr FROM p)
-SELECT doc_id, count(*) FILTER (coalesce(r1, false) OR r2 OR coalesce(r3, false) OR length(line) >= 6 AND (len(list_filter(mid, lambda i: rare[i + 2])) > 0 OR len(w) >= 4 AND (2 * n1 >= len(w) OR len(mid) > 0 AND (nr >= 2 OR n1 > 0 AND 2 * nr >= n1))))::BIGINT AS spaced,
-  count(*) FILTER (regexp_matches(line, '\S[ \t][ \t]+\S'))::BIGINT AS multi_space, count(*)::BIGINT AS n FROM q GROUP BY doc_id
-""")
+  len(list_filter(w, lambda x: regexp_full_match(x, '[\p{{L}}\p{{N}}]'))) AS n1, len(list_filter(w, lambda x: regexp_full_match(x, '\p{{L}}') AND x NOT IN ('a', 'A', 'I', 'i', 'o', 'O'))) AS nr FROM p),
+z AS (SELECT doc_id, line_no, line, coalesce(r1, false) OR r2 OR coalesce(r3, false) OR length(line) >= 6 AND (len(list_filter(mid, lambda i: rare[i + 2])) > 0 OR len(w) >= 4 AND (2 * n1 >= len(w) OR len(mid) > 0 AND (nr >= 2 OR n1 > 0 AND 2 * nr >= n1))) AS spaced FROM q)
+"""
+
+
+@query(_SPACED + r"""SELECT doc_id, count(*) FILTER (spaced)::BIGINT AS spaced, count(*) FILTER (regexp_matches(line, '\S[ \t][ \t]+\S'))::BIGINT AS multi_space, count(*)::BIGINT AS n FROM z GROUP BY doc_id""")
 def spacing_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = lambda c: F.sum(c.cast("long"))
-    return _lines(spark, sf_dir).groupBy("doc_id").agg(n(is_spaced(F.col("line"))).alias("spaced"), n(is_multi_space(F.col("line"))).alias("multi_space"), F.count("*").alias("n"))
+    flags = F.transform(F.split("text", "\n"), lambda x: F.struct(is_spaced(x).alias("spaced"), is_multi_space(x).alias("multi_space")))
+    n = lambda flag: F.size(F.filter("flags", lambda x: x[flag])).cast("long").alias(flag)
+    return _docs(spark, sf_dir).select("doc_id", flags.alias("flags")).select("doc_id", n("spaced"), n("multi_space"), F.size("flags").cast("long").alias("n"))
 
 
 @query(rf"""
@@ -82,9 +90,17 @@ def collapsed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lines(spark, sf_dir).select("doc_id", "line_no", is_collapsed(F.col("line")).alias("collapsed"))
 
 
-@query(None)
+@query(
+    _SPACED
+    + rf"""
+, b AS (SELECT doc_id, line, spaced, list_transform(regexp_extract_all(line, '{_W}+'), lambda x: length(x)) AS n FROM z)
+SELECT doc_id, round(sum(CASE WHEN len(n) = 0 THEN 0 ELSE greatest(list_sum(n)::DOUBLE / len(n) - 6, 0) + 1.5::DOUBLE * len(list_filter(n, lambda x: x >= 18)) + CASE WHEN regexp_matches(line, '[\p{{L}}\p{{Nl}}\p{{No}}]{{20}}') THEN 4 ELSE 0 END
+  + CASE WHEN regexp_matches(line, '[\p{{L}}\p{{Nl}}\p{{No}}]{{6}}\p{{Nd}}{{2,}}[\p{{L}}\p{{Nl}}\p{{No}}]{{2}}|\p{{Nd}}{{2}}[\p{{L}}\p{{Nl}}\p{{No}}]{{6}}') THEN 3 ELSE 0 END + CASE WHEN spaced THEN 4 ELSE 0 END END), 6) AS badness FROM b GROUP BY doc_id
+"""
+)
 def spacing_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lines(spark, sf_dir).groupBy("doc_id").agg(F.sum(spacing_badness(F.col("line"))).alias("badness"))
+    each = F.transform(F.split("text", "\n"), spacing_badness)
+    return _docs(spark, sf_dir).select("doc_id", F.round(F.aggregate(each, F.lit(0.0), lambda a, x: a + x), 6).alias("badness"))
 
 
 # --- texts -----------------------------------------------------------------------------------------
@@ -102,10 +118,10 @@ def ligature_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _docs(spark, sf_dir).select("doc_id", text_functions.normalize_ligatures(noisy).alias("text"))
 
 
-@query("SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'Subvenții și creanțe ' || doc_id WHEN 1 THEN 'Datorii curente ' || doc_id ELSE 'SubvenÈ›ii și Ã ' || doc_id END AS text FROM documents")
+@query(f"SELECT doc_id, CASE WHEN regexp_matches(good, '[^\\x00-\\x7făâîșțĂÂÎȘȚ]') OR length(good) < greatest(4, floor(length(broken) * 0.9::DOUBLE)) THEN broken ELSE good END AS text FROM ({views.BROKEN_TEXTS})")
 def mojibake_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    broken = F.when(F.col("doc_id") % 3 == 0, F.lit("SubvenÈ›ii È™i creanÈ›e ")).when(F.col("doc_id") % 3 == 1, F.lit("Datorii curente ")).otherwise(F.lit("SubvenÈ›ii și Ã "))
-    return _docs(spark, sf_dir).select("doc_id", text_functions.normalize_mojibake(F.concat(broken, F.col("doc_id").cast("string"))).alias("text"))
+    """Whole texts; one with a character that Windows-1252 lacks, or that makes no valid UTF-8, or that would lose a tenth of its length, stays broken."""
+    return views.of(spark, sf_dir, views.BROKEN_TEXTS).select("doc_id", text_functions.normalize_mojibake(F.col("broken")).alias("text"))
 
 
 # --- audits ----------------------------------------------------------------------------------------
@@ -133,7 +149,7 @@ def audit_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH m AS (SELECT doc_id, list_filter(list_transform(string_split(markdown, '{views.BREAK}'), lambda x: trim(x, {_STRIP})), lambda x: x <> '') AS p FROM ({views.RENDERED})),
+WITH m AS (SELECT doc_id, CASE WHEN contains(markdown, '{views.BREAK}') THEN list_filter(list_transform(string_split(markdown, '{views.BREAK}'), lambda x: trim(x, {_STRIP})), lambda x: x <> '') ELSE [markdown] END AS p FROM ({views.RENDERED})),
 r AS (SELECT doc_id, page_no, text, row_number() OVER (PARTITION BY doc_id ORDER BY page_no) AS k FROM ({views.PAGES})),
 z AS (SELECT r.doc_id, r.page_no, r.text, coalesce(m.p[r.k], '') AS md FROM r JOIN m USING (doc_id)),
 s AS (SELECT doc_id, page_no, 'r' AS side, text FROM z UNION ALL SELECT doc_id, page_no, 'c', md FROM z), e AS ({_ENTRIES})
@@ -178,17 +194,28 @@ def page_markers_comment(spark: SparkSession, sf_dir: str) -> DataFrame:
 _JOIN = f"chr(10) || chr(10) || '{views.BREAK}' || chr(10) || chr(10)"
 
 
+_SPLIT = "string_split(regexp_replace(p, chr(10) || '$', ''), chr(10))"
+
+
 @query(f"""
-SELECT doc_id, array_to_string(list_transform({_PARTS}, lambda p, i: array_to_string(CASE WHEN doc_id % 3 <> 0 AND i IN (2, 3) THEN list_filter(string_split(regexp_replace(p, chr(10) || '$', ''), chr(10)), lambda x: x <> '## ' || source) ELSE string_split(regexp_replace(p, chr(10) || '$', ''), chr(10)) END, chr(10))), {_JOIN}) AS markdown FROM ({views.MD})
+WITH m AS (SELECT doc_id, '## ' || source AS h, {_PARTS} AS parts FROM ({views.MD})),
+o AS (SELECT *, list_transform(parts, lambda p: list_contains(string_split(p, chr(10)), h)) AS has FROM m),
+t AS (SELECT *, len(parts) > 1 AND len(list_filter(has, lambda x: x)) >= greatest(3, floor(len(parts) * 0.3::DOUBLE + 0.999::DOUBLE)) AS often, list_position(has, true) AS first FROM o)
+SELECT doc_id, array_to_string(list_transform(parts, lambda p, i: array_to_string(CASE WHEN often AND i <> first THEN list_filter({_SPLIT}, lambda x: x <> h) ELSE {_SPLIT} END, chr(10))), {_JOIN}) AS markdown FROM t
 """)
 def repeated_heading_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markdown.reduce_noise(views.of(spark, sf_dir, views.MD).select("doc_id", "markdown"))
 
 
-@query(f"""
-SELECT doc_id, CASE WHEN doc_id % 2 = 1 OR doc_id % 4 = 2 THEN replace(markdown, '{views.BREAK}', {_JOIN}) ELSE replace(replace(markdown, chr(10) || '### Orphan heading', '#~'), '{views.BREAK}', {_JOIN}) END AS md0,
-  CASE WHEN contains(md0, '#~') THEN array_to_string(list_transform(string_split(md0, '#~'), lambda x, i: CASE WHEN i = 1 THEN rtrim(x, {_STRIP}) ELSE x END), '') ELSE md0 END AS markdown FROM ({views.MD})
-""".replace("SELECT doc_id, CASE WHEN", "SELECT doc_id, markdown FROM (SELECT doc_id, CASE WHEN", 1).rstrip() + ")")
+@query(rf"""
+WITH p AS (SELECT doc_id, unnest({_PARTS}) AS x, generate_subscripts({_PARTS}, 1) AS i FROM ({views.MD})),
+y AS (SELECT *, list_filter(list_transform(string_split(x, chr(10)), lambda l: trim(l, {_STRIP})), lambda l: l <> '') AS l FROM p),
+e AS (SELECT *, list_filter(l, lambda z: z <> '<!-- image -->')[1] AS first, l[-1] AS last FROM y),
+n AS (SELECT *, first_value(first IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nxt FROM e),
+o AS (SELECT *, coalesce(regexp_matches(last, '^#{{1,6}}\s+\S'), false) AND (nxt IS NULL OR regexp_matches(nxt, '^#{{1,6}}\s+\S') AND length(regexp_extract(nxt, '^#+')) <= length(regexp_extract(last, '^#+'))
+    OR NOT starts_with(nxt, '#') AND NOT regexp_matches(nxt, '\d') AND length(nxt) <= 120 AND NOT regexp_matches(nxt, '[.!?;:]$') AND len(regexp_extract_all(nxt, '\S+')) >= 3 AND regexp_matches(regexp_extract(nxt, '\p{{L}}'), '\p{{Lu}}')) AS orphan FROM n)
+SELECT doc_id, string_agg(CASE WHEN orphan THEN rtrim(regexp_replace(x, '[^\n]*\S[^\n]*\s*$', ''), {_STRIP}) ELSE x END, {_JOIN} ORDER BY i) AS markdown FROM o GROUP BY doc_id
+""")
 def orphan_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markdown.remove_orphan_headings(views.of(spark, sf_dir, views.MD).select("doc_id", "markdown"))
 
@@ -201,8 +228,18 @@ def kpi_block_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.of(spark, sf_dir, views.MD).select("doc_id", markdown.merge_kpi_blocks(F.col("markdown")).alias("markdown"))
 
 
+_TICKS = "regexp_extract_all(x, '[A-Za-z0-9%]+')"
+_WITH_DIGIT = f"len(list_filter({_TICKS}, lambda t: regexp_matches(t, '[0-9]')))"
+#: Whether a stripped line x is of axis ticks.
+_AXIS = rf"""(length(x) BETWEEN 1 AND 40 AND regexp_full_match(x, '[0-9A-Za-z%./+\-\s]+') AND len({_TICKS}) BETWEEN 1 AND 6 AND {_WITH_DIGIT} > 0
+  AND (len(list_filter({_TICKS}, lambda t: NOT regexp_full_match(t, '(?i)[0-9]{{1,4}}%?|Q[1-4]|9L|L9|mil|RON|EUR|USD|LEI'))) = 0 OR {_WITH_DIGIT} >= len({_TICKS}) - 1 AND length(x) <= 20))"""
+
+
 @query(f"""
-SELECT doc_id, array_to_string(list_transform({_PARTS}, lambda p: array_to_string(list_filter(string_split(regexp_replace(p, chr(10) || '$', ''), chr(10)), lambda x: x NOT IN ('74% 9L 2025', CASE WHEN n_chars < 10000 THEN 'RON ' || n_chars || ' MIL.' ELSE '~' END, '+' || doc_id % 90 || '%')), chr(10))), {_JOIN}) AS markdown FROM ({views.MD})
+WITH l AS (SELECT doc_id, i, unnest({_SPLIT}) AS line, generate_subscripts({_SPLIT}, 1) AS j FROM (SELECT doc_id, unnest({_PARTS}) AS p, generate_subscripts({_PARTS}, 1) AS i FROM ({views.MD}))),
+k AS (SELECT doc_id, i, j, line, {_AXIS} AS axis FROM (SELECT *, trim(line, {_STRIP}) AS x FROM l)),
+p AS (SELECT doc_id, i, coalesce(string_agg(line, chr(10) ORDER BY j) FILTER (NOT axis), '') AS p FROM k GROUP BY doc_id, i)
+SELECT doc_id, string_agg(p, {_JOIN} ORDER BY i) AS markdown FROM p GROUP BY doc_id
 """)
 def axis_line_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.of(spark, sf_dir, views.MD).select("doc_id", markdown.remove_axis_lines(F.col("markdown")).alias("markdown"))
@@ -281,34 +318,40 @@ def _two_readings(spark: SparkSession, sf_dir: str, other: str, shift: float) ->
     return t, v.select(*keys, "text", box(0.0)), there, v.select(*keys, F.col(other).alias("text"), box(shift))
 
 
-_MERGED = f"""
-WITH v AS (SELECT r.*, CASE WHEN o_lost THEN NULL ELSE 1 END AS shaped FROM (SELECT *, doc_id % 5 = 0 AND table_no = 2 AS o_lost FROM ({views.READING})) r)
+_LOST = "(doc_id % 5 = 0 AND table_no = 2)"
+#: Of the other reading's cells, whose boxes are 2 to the right, the one that covers a cell best.
+_BEST = """
+m AS (SELECT b.doc_id, b.table_no, b.cell_no, o.other, o.number, o.table_no AS t, o.cell_no AS c, greatest(least(b.l + 20, o.l + 22) - greatest(b.l, o.l + 2), 0) * greatest(least(b.t, o.t) + 10 - greatest(b.t, o.t), 0) / 200 AS a FROM v b JOIN v o ON b.doc_id = o.doc_id),
+best AS (SELECT doc_id, table_no, cell_no, other, number FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, table_no, cell_no ORDER BY a * 0.7::DOUBLE + a * 0.3::DOUBLE DESC, t, c) AS k FROM m WHERE a >= 0.5) WHERE k = 1)
 """
 
 
-@query(f"SELECT doc_id, table_no, cell_no, CASE WHEN cell_no % 3 = 0 THEN other ELSE text END AS text, cell_no % 3 = 0 AS was_spaced, CASE WHEN cell_no % 3 = 0 THEN 1 ELSE 0 END::BIGINT AS replaced FROM ({views.READING}) WHERE NOT (doc_id % 5 = 0 AND table_no = 2)")
+@query(f"""
+SELECT doc_id, table_no, cell_no, CASE WHEN cell_no % 3 = 0 AND NOT {_LOST} THEN other ELSE text END AS text, cell_no % 3 = 0 AS was_spaced, CASE WHEN cell_no % 3 = 0 AND NOT {_LOST} THEN 1 ELSE 0 END::BIGINT AS replaced FROM ({views.READING})
+""")
 def merge_cells_by_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = tables.merge_spaced(*_two_readings(spark, sf_dir, "other", 500.0)).filter(~((F.col("doc_id") % 5 == 0) & (F.col("table_no") == 2)))
-    return out.select("doc_id", "table_no", "cell_no", "text", "was_spaced", "replaced")
+    return tables.merge_spaced(*_two_readings(spark, sf_dir, "other", 500.0)).select("doc_id", "table_no", "cell_no", "text", "was_spaced", "replaced")
 
 
 @query(f"""
-WITH v AS ({views.READING}), b AS (SELECT * FROM v WHERE doc_id % 5 = 0 AND table_no = 2 AND cell_no % 3 = 0),
-m AS (SELECT b.doc_id, b.cell_no, o.other, o.table_no AS t, o.cell_no AS c, greatest(least(b.l + 20, o.l + 22) - greatest(b.l, o.l + 2), 0) * greatest(least(b.t, o.t) + 10 - greatest(b.t, o.t), 0) / 200 AS a FROM b JOIN v o ON b.doc_id = o.doc_id),
-best AS (SELECT doc_id, cell_no, other, row_number() OVER (PARTITION BY doc_id, cell_no ORDER BY a * 0.7::DOUBLE + a * 0.3::DOUBLE DESC, t, c) AS k FROM m WHERE a >= 0.5)
-SELECT b.doc_id, b.cell_no, coalesce(best.other, b.text) AS text FROM b LEFT JOIN best ON b.doc_id = best.doc_id AND b.cell_no = best.cell_no AND k = 1
+WITH v AS ({views.READING}), {_BEST}
+SELECT v.doc_id, v.table_no, v.cell_no, CASE WHEN v.cell_no % 3 <> 0 THEN v.text WHEN v.doc_id % 5 = 0 AND v.table_no = 2 THEN coalesce(best.other, v.text) ELSE v.other END AS text
+FROM v LEFT JOIN best ON v.doc_id = best.doc_id AND v.table_no = best.table_no AND v.cell_no = best.cell_no
 """)
 def merge_cells_spatial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = tables.merge_spaced(*_two_readings(spark, sf_dir, "other", 2.0)).filter("doc_id % 5 = 0 AND table_no = 2 AND cell_no % 3 = 0")
-    return out.select("doc_id", "cell_no", "text")
+    return tables.merge_spaced(*_two_readings(spark, sf_dir, "other", 2.0)).select("doc_id", "table_no", "cell_no", "text")
 
 
 @query(f"""
-SELECT doc_id, table_no, cell_no, CASE WHEN cell_no % 3 <> 0 AND cell_no % 4 = 0 THEN number ELSE text END AS text FROM ({views.READING}) WHERE NOT (doc_id % 5 = 0 AND table_no = 2)
+WITH v AS ({views.READING}), {_BEST},
+s AS (SELECT v.doc_id, v.table_no, v.cell_no, CASE WHEN v.cell_no % 3 <> 0 AND v.cell_no % 4 = 0 AND NOT (v.doc_id % 5 = 0 AND v.table_no = 2) THEN v.number ELSE v.text END AS one, v.text <> CASE WHEN v.cell_no % 3 <> 0 AND v.cell_no % 4 = 0 AND NOT (v.doc_id % 5 = 0 AND v.table_no = 2) THEN v.number ELSE v.text END AS hit, best.number AS two
+  FROM v LEFT JOIN best ON v.doc_id = best.doc_id AND v.table_no = best.table_no AND v.cell_no = best.cell_no),
+d AS (SELECT *, regexp_replace(one, '[^0-9]', '', 'g') AS d1, regexp_replace(two, '[^0-9]', '', 'g') AS d2 FROM s),
+r AS (SELECT *, coalesce(starts_with(one, 'RON') AND ends_with(d2, d1) AND length(d2) - length(d1) BETWEEN 1 AND 2, false) AS again FROM d)
+SELECT doc_id, table_no, cell_no, CASE WHEN again THEN two ELSE one END AS text, (hit::INT + again::INT)::BIGINT AS replaced FROM r
 """)
 def suspect_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = tables.merge_suspect(*_two_readings(spark, sf_dir, "number", 500.0)).filter(~((F.col("doc_id") % 5 == 0) & (F.col("table_no") == 2)))
-    return out.select("doc_id", "table_no", "cell_no", "text")
+    return tables.merge_suspect(*_two_readings(spark, sf_dir, "number", 2.0)).select("doc_id", "table_no", "cell_no", "text", "replaced")
 
 
 # --- pictures, glyphs, choices -----------------------------------------------------------------------
@@ -361,15 +404,18 @@ def kpi_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pictures.kpi_captions(c.withColumn("n_captions", F.lit(0)), c.withColumn("text", raw), docs)
 
 
-@query("""
-WITH q AS (SELECT doc_id, text, len(list_filter(string_split(text, chr(10)), lambda x: length(replace(trim(x), ' ', '')) <= 4 AND regexp_matches(x, '\\p{L}'))) AS s FROM documents)
-SELECT doc_id, CASE WHEN doc_id % 3 = 0 AND a < 100 THEN 'pypdfium2' ELSE 'docling-parse-v4' END AS backend, CASE WHEN doc_id % 3 = 0 AND a < 100 THEN 100 ELSE a END::BIGINT AS score
-FROM (SELECT doc_id, greatest(100 - 5 * (s + 1), 0) AS a FROM (SELECT doc_id, len(list_filter(string_split(substr(text, 1, 200), chr(10)), lambda x: length(replace(trim(x), ' ', '')) <= 4 AND regexp_matches(x, '\\p{L}'))) AS s FROM documents))
+_TWO = "SELECT doc_id, text || chr(10) || 'x y' AS text FROM documents"
+_ONE = "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'A clean page.' ELSE text || chr(10) || 'x z' END AS text FROM documents"
+
+
+@query(f"""
+WITH a AS ({_score(_TWO)}), b AS ({_score(_ONE)})
+SELECT doc_id, CASE WHEN b.score > a.score THEN 'pypdfium2' ELSE 'docling-parse-v4' END AS backend, greatest(a.score, b.score) AS score FROM a JOIN b USING (doc_id)
 """)
 def backend_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _docs(spark, sf_dir).select("doc_id", F.expr("substr(text, 1, 200)").alias("t"))
-    one = d.select("doc_id", F.lit("docling-parse-v4").alias("backend"), F.concat("t", F.lit("\nx y")).alias("markdown"))
-    two = d.select("doc_id", F.lit("pypdfium2").alias("backend"), F.when(F.col("doc_id") % 3 == 0, F.lit("A clean page.")).otherwise(F.concat("t", F.lit("\nx z"))).alias("markdown"))
+    d = _docs(spark, sf_dir)
+    one = d.select("doc_id", F.lit("docling-parse-v4").alias("backend"), F.concat("text", F.lit("\nx y")).alias("markdown"))
+    two = d.select("doc_id", F.lit("pypdfium2").alias("backend"), F.when(F.col("doc_id") % 3 == 0, F.lit("A clean page.")).otherwise(F.concat("text", F.lit("\nx z"))).alias("markdown"))
     return select.best_backend(two.union(one))
 
 
@@ -385,15 +431,19 @@ def ocr_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT c_custkey % 200 AS doc_id, CASE WHEN bool_or(c_custkey % 50 = 0 AND c_custkey % 2 = 0) THEN NULL ELSE array_to_string(list_sort(list(DISTINCT c_custkey % 7) FILTER (c_custkey % 2 = 0)), ',') END AS pages
-FROM customer WHERE c_custkey % 2 = 0 GROUP BY c_custkey % 200
+WITH i AS (SELECT c_custkey % 200 AS doc_id, CASE WHEN c_custkey % 50 <> 0 THEN c_custkey % 7 END AS page_no, true AS hit FROM customer WHERE c_custkey % 2 = 0),
+t AS (SELECT o_custkey % 300 AS doc_id, o_custkey % 3 AS table_no, bool_or(o_orderkey % 20 = 0 OR o_orderkey % 29 = 0) AS hit FROM orders GROUP BY ALL),
+e AS (SELECT * FROM i UNION ALL SELECT doc_id, CASE WHEN doc_id <> 299 THEN table_no + 10 END, hit FROM t)
+SELECT doc_id, CASE WHEN NOT bool_or(page_no IS NULL) THEN coalesce(array_to_string(list_sort(list(DISTINCT page_no) FILTER (hit)), ','), '') END AS pages FROM e GROUP BY doc_id
 """)
 def spacing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
+    """Texts and cells on pages; those of a table are spaced, or end in a lone letter, by their key."""
+    k, o = F.col("c_custkey"), F.col("o_orderkey")
     items = _docs(spark, sf_dir, "customer").select((k % 200).alias("doc_id"), F.lit("text").alias("kind"), F.when(k % 2 == 0, "finan c iar").otherwise("financiar").alias("text"), F.when(k % 50 != 0, k % 7).alias("page_no"))
-    none = items.limit(0)
-    cells = none.select("doc_id", F.lit(0).alias("table_no"), "text")
-    out = select.spacing_pages(items, cells, none.select("doc_id", F.lit(0).alias("table_no"), "page_no"))
+    text = F.when(o % 20 == 0, "va l o are").when(o % 29 == 0, "Total b").when(o % 3 == 0, "SOLD C").otherwise("RON 5")
+    cells = _docs(spark, sf_dir, "orders").select((F.col("o_custkey") % 300).alias("doc_id"), (F.col("o_custkey") % 3).alias("table_no"), text.alias("text"))
+    on_page = cells.select("doc_id", "table_no", F.when(F.col("doc_id") != 299, F.col("table_no") + 10).alias("page_no")).distinct()
+    out = select.spacing_pages(items, cells, on_page)
     return out.select("doc_id", F.when(F.col("pages").isNotNull(), F.array_join(F.col("pages").cast("array<string>"), ",")).alias("pages"))
 
 
@@ -402,10 +452,10 @@ SELECT page_id AS doc_id, len(regexp_extract_all(html, '<h1'))::BIGINT AS headin
 """)
 def label_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Headings, and items whose labels are exported, of web pages' elements."""
-    from quillmill.sources.config import EXPORT_LABELS
-
     kinds = F.regexp_extract_all("html", F.lit("<(h1|p|nav|footer)[ >]"), F.lit(1))
     label = F.element_at(F.create_map(*[F.lit(x) for x in ("h1", "section_header", "p", "text", "nav", "page_header", "footer", "page_footer")]), F.col("tag"))
-    items = _docs(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), F.explode_outer(kinds).alias("tag")).withColumn("label", label)
-    n = lambda c: F.sum(F.coalesce(c, F.lit(False)).cast("long"))
-    return items.groupBy("doc_id").agg(n(F.col("label").isin("title", "section_header")).alias("headings"), n(F.col("label").isin(*EXPORT_LABELS)).alias("exported"))
+    docs = _docs(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), kinds.alias("tags"))
+    items = docs.select("doc_id", F.explode("tags").alias("tag")).withColumn("label", label)
+    exported = select.exported(items).groupBy("doc_id").agg(F.count("*").alias("exported"))
+    out = docs.select("doc_id").join(audit.heading_counts(items), "doc_id", "left").join(exported, "doc_id", "left")
+    return out.select("doc_id", F.coalesce("heading_count_pdf", F.lit(0).cast("long")).alias("headings"), F.coalesce("exported", F.lit(0).cast("long")).alias("exported"))

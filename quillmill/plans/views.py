@@ -1,7 +1,8 @@
-"""Deterministic inputs of the registered queries, made of the test tables.
+"""Deterministic inputs of the registered queries, made of whole test tables.
 
 The raw tables hold no headings, page breaks, currencies or boxes. These views add them by integer arithmetic on keys. Each is one SELECT that Spark and DuckDB both run,
-with table names in braces; what the noise was made from is kept in a column, so that the expected repair is known without repairing anything.
+with table names in braces and, where the two differ, both forms as ⟦Spark¦DuckDB⟧; what the noise was made from is kept in a column, so that the expected repair is known without
+repairing anything.
 """
 
 from __future__ import annotations
@@ -13,36 +14,59 @@ from pyspark.sql import DataFrame, SparkSession
 BREAK = "<!-- page break -->"
 NL = "chr(10)"
 
+#: Each whole text in pages of eight lines.
+CHUNKS = """
+SELECT doc_id, source, n_chars, ⟦transform(array(split(coalesce(text, ''), chr(10))), s -> transform(sequence(0, (size(s) - 1) div 8), k -> array_join(slice(s, 8 * k + 1, 8), chr(10))))[0]¦
+  list_transform([string_split(coalesce(text, ''), chr(10))], lambda s: list_transform(generate_series(0, (len(s) - 1) // 8), lambda k: array_to_string(s[8 * k + 1 : 8 * k + 8], chr(10))))[1]⟧ AS chunks
+FROM {documents}
+"""
+_K = "⟦i¦(i - 1)⟧"
+#: Pages with headings, key figures, axis lines, images, tables and headings that lead to nothing.
 MD = f"""
-SELECT doc_id, source, n_chars,
-  '## ' || source || {NL} || {NL} || substr(text, 1, 150) || {NL} || '{BREAK}'
-  || CASE WHEN doc_id % 3 = 0 THEN '' ELSE {NL} || '## ' || source || {NL} || {NL} || 'ACTIVE CIRCULANTE' || {NL} || {NL} || 'RON ' || cast(n_chars AS string) || ' MIL.' || {NL} || {NL}
-       || '+' || cast(doc_id % 90 AS string) || '%' || {NL} || {NL} || substr(text, 151, 150) || {NL} || '74% 9L 2025' END || '{BREAK}'
-  || {NL} || '## ' || source || {NL} || '<!-- image -->' || {NL} || substr(text, 301, 150) || {NL}
-  || CASE WHEN doc_id % 2 = 0 THEN '### Orphan heading' ELSE '| a | b |' || {NL} || '|---|---|' || {NL} || '| 1 | 2 |' END || '{BREAK}'
-  || {NL} || CASE doc_id % 4 WHEN 0 THEN '## Next part' WHEN 2 THEN 'In 2025 there was more.' ELSE 'Text follows here and' END || {NL} || substr(text, 451, 100) || {NL} || 'The end.' AS markdown
-FROM {{documents}}
+SELECT doc_id, source, n_chars, ⟦array_join(transform(chunks, (c, i) -> ¦array_to_string(list_transform(chunks, lambda c, i: ⟧
+  CASE WHEN {_K} = 0 THEN '## ' || source || {NL} || {NL} || c || {NL}
+  WHEN {_K} % 4 = 1 AND doc_id % 3 = 0 THEN '{BREAK}' || {NL} || c
+  WHEN {_K} % 4 = 1 THEN {NL} || '## ' || source || {NL} || {NL} || 'ACTIVE CIRCULANTE' || {NL} || {NL} || 'RON ' || cast(n_chars AS string) || ' MIL.' || {NL} || {NL}
+    || '+' || cast(doc_id % 90 AS string) || '%' || {NL} || {NL} || c || {NL} || '74% 9L 2025'
+  WHEN {_K} % 4 = 2 THEN {NL} || '## ' || source || {NL} || '<!-- image -->' || {NL} || c || {NL} || CASE WHEN doc_id % 2 = 0 THEN '### Orphan heading' ELSE '| a | b |' || {NL} || '|---|---|' || {NL} || '| 1 | 2 |' END
+  WHEN {_K} % 4 = 3 THEN {NL} || CASE doc_id % 4 WHEN 0 THEN '## Next part' WHEN 2 THEN 'In 2025 there was more.' ELSE 'Text follows here and' END || {NL} || c || {NL} || 'The end.'
+  ELSE {NL} || c END), '{BREAK}') AS markdown
+FROM ({CHUNKS})
 """
 
-#: A document in three pages against a rendering that lost something on each.
-PAGES = """
-SELECT doc_id, 1 AS page_no, substr(text, 1, 300) AS text FROM {documents}
-UNION ALL SELECT doc_id, 3, substr(text, 301, 300) || ' 1.234,5 and 12% on 31.12.2024' FROM {documents}
-UNION ALL SELECT doc_id, 7, substr(text, 601, 300) || ' 7,5 and 2024 on 1/2/20' FROM {documents}
+#: A document's pages against a rendering that lost something on most.
+PAGES = f"""
+SELECT doc_id, cast(2 * k + 1 AS int) AS page_no, c || CASE k % 3 WHEN 1 THEN ' 1.234,5 and 12% on 31.12.2024' WHEN 2 THEN ' 7,5 and 2024 on 1/2/20' ELSE '' END AS text
+FROM (SELECT doc_id, ⟦posexplode(chunks) AS (k, c)¦unnest(chunks) AS c, generate_subscripts(chunks, 1) - 1 AS k⟧ FROM ({CHUNKS}))
 """
 RENDERED = f"""
-SELECT doc_id, substr(text, 1, 250) || '{BREAK}' || CASE WHEN doc_id % 5 = 0 THEN ' ' ELSE substr(text, 301, 150) || ' 1234.5 and 31.12.2024' END || '{BREAK}' || {NL} || substr(text, 601, 300) || ' 7.5 on 2/2/20' AS markdown FROM {{documents}}
+SELECT doc_id, ⟦array_join(transform(chunks, (c, i) -> ¦array_to_string(list_transform(chunks, lambda c, i: ⟧
+  CASE {_K} % 3 WHEN 0 THEN substr(c, 1, cast(floor(length(c) * 0.8) AS int)) WHEN 1 THEN CASE WHEN doc_id % 5 = 0 THEN ' ' ELSE substr(c, 1, cast(floor(length(c) * 0.5) AS int)) || ' 1234.5 and 31.12.2024' END
+  ELSE {NL} || c || ' 7.5 on 2/2/20' END), '{BREAK}') AS markdown
+FROM ({CHUNKS})
 """
+#: Whole texts with Romanian letters for accented ones, and the same as UTF-8 looks when read as Windows-1252; every third text isn't broken.
+_ACCENTS = ("éèêëáàåäãóòôöõúùûüíìïñçßÉÈÁÀÄÓÖÚÜ", "ăăăăâââââșșșșșțțțțîîîîțșĂĂÂÂÂȘȘȚȚ")
+_BROKEN = (("ă", "Äƒ"), ("â", "Ã¢"), ("î", "Ã®"), ("ș", "È™"), ("ț", "È›"), ("Ă", "Ä‚"), ("Â", "Ã‚"), ("Î", "ÃŽ"), ("Ș", "È˜"), ("Ț", "Èš"))
+
+
+def _replaced(column: str) -> str:
+    for letter, broken in _BROKEN:
+        column = f"replace({column}, '{letter}', '{broken}')"
+    return column
+
+
+BROKEN_TEXTS = f"SELECT doc_id, good, CASE WHEN doc_id % 3 = 1 THEN good ELSE {_replaced('good')} END AS broken FROM (SELECT doc_id, translate(text, '{_ACCENTS[0]}', '{_ACCENTS[1]}') AS good FROM {{documents}})"
 
 _N = "(1000 + cast(floor(o_totalprice) AS bigint) % 899000)"
 _A = f"(cast(cast(floor({_N} / 1000) AS bigint) AS string) || '.' || lpad(cast({_N} % 1000 AS string), 3, '0'))"
-_K = "cast(10 + o_orderkey % 90 AS string)"
+_P = "cast(10 + o_orderkey % 90 AS string)"
 #: One cell for each order: its text, and what cleaning should make of it.
 CELLS = f"""
 SELECT o_custkey AS doc_id, 0 AS table_no, o_orderkey AS cell_no, o_orderkey % 12 AS kind, {_A} AS amount,
   CASE o_orderkey % 12 WHEN 0 THEN 'RON ' || {_A} WHEN 1 THEN {_A} || ' RON' WHEN 2 THEN 'RON ' || {_A} || ' N' WHEN 3 THEN {_A} || ' EUR ' || {_A} || ' EUR' WHEN 4 THEN {_A} || ' ON'
-    WHEN 5 THEN {_K} || ' % ' || {_K} || ' %' WHEN 6 THEN '- ' || {_K} || ',40%' WHEN 7 THEN {_A} || ' EUR 7' WHEN 8 THEN 'RON ' || {_A} || ']' WHEN 9 THEN '31/12/20 31/12/2024' WHEN 10 THEN 'EUR ( ' || {_K} || ' )' ELSE 'Total active ' || {_K} END AS text,
-  CASE o_orderkey % 12 WHEN 3 THEN 'EUR ' || {_A} WHEN 5 THEN {_K} || '%' WHEN 6 THEN '-' || {_K} || ',40%' WHEN 7 THEN 'EUR ' || {_A} WHEN 9 THEN '31/12/2024' WHEN 10 THEN 'EUR (' || {_K} || ')' WHEN 11 THEN 'Total active ' || {_K} ELSE 'RON ' || {_A} END AS clean
+    WHEN 5 THEN {_P} || ' % ' || {_P} || ' %' WHEN 6 THEN '- ' || {_P} || ',40%' WHEN 7 THEN {_A} || ' EUR 7' WHEN 8 THEN 'RON ' || {_A} || ']' WHEN 9 THEN '31/12/20 31/12/2024' WHEN 10 THEN 'EUR ( ' || {_P} || ' )' ELSE 'Total active ' || {_P} END AS text,
+  CASE o_orderkey % 12 WHEN 3 THEN 'EUR ' || {_A} WHEN 5 THEN {_P} || '%' WHEN 6 THEN '-' || {_P} || ',40%' WHEN 7 THEN 'EUR ' || {_A} WHEN 9 THEN '31/12/2024' WHEN 10 THEN 'EUR (' || {_P} || ')' WHEN 11 THEN 'Total active ' || {_P} ELSE 'RON ' || {_A} END AS clean
 FROM {{orders}}
 """
 _D = "(lpad(cast(1 + o_orderkey % 28 AS string), 2, '0') || '/' || lpad(cast(1 + o_orderkey % 12 AS string), 2, '0') || '/')"
@@ -99,13 +123,14 @@ SELECT DISTINCT cast(floor(o_custkey / 3) AS bigint) AS doc_id, cast(o_custkey %
 """
 
 _WORDS = re.compile(r"\{([a-z]+)\}")
+_FORMS = re.compile(r"⟦([^¦⟧]*)¦([^⟧]*)⟧")
 
 
 def of(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """The view on Spark, reading the tables under sf_dir."""
-    return spark.sql(_WORDS.sub(lambda m: f"parquet.`{sf_dir}/{m[1]}.parquet`", sql))
+    return spark.sql(_WORDS.sub(lambda m: f"parquet.`{sf_dir}/{m[1]}.parquet`", _FORMS.sub(r"\1", sql)))
 
 
 def duck(sql: str) -> str:
     """The view for DuckDB, where the tables are views of the same names."""
-    return _WORDS.sub(lambda m: m[1], sql)
+    return _WORDS.sub(lambda m: m[1], _FORMS.sub(lambda m: m[2], sql))
