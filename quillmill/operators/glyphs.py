@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmill.functions.detect import facts, needs_spacing_fix, needs_table_cell_repair, prefers
+from quillmill.functions.regex import let
 from quillmill.functions.text import compact_numeric_spacing
 from quillmill.sources.io import staged
 
@@ -126,6 +127,33 @@ def _candidates(boxes: DataFrame, words: DataFrame, glyphs: DataFrame, pad: floa
     return both.select("doc_id", "item_no", tidy(F.col("w")).alias(f"{name}_w"), tidy(F.col("g")).alias(f"{name}_g"))
 
 
+def _chosen(read: Column, table_mode: bool) -> Column:
+    """The text to take, or null: read holds the facts of the text itself and of its readings by words and by glyphs, in the box and in a wider one.
+
+    All are compared with all first, so that what follows only looks up numbers of readings.
+    """
+    said, words, glyphs, wide_words, wide_glyphs = (F.lit(i) for i in range(5))
+
+    def choose(better: Column) -> Column:
+        at = lambda i: F.get(read, i)
+        takes = lambda i, j: (at(j)["text"] != "") & F.get(F.get(better, i), j)
+
+        def longer(i: Column) -> Column:
+            if not table_mode:
+                return i
+            return F.when(~at(i)["cut"], i).when(takes(i, wide_words), wide_words).when(takes(i, wide_glyphs), wide_glyphs).otherwise(i)
+
+        w = F.when((at(words)["text"] != "") & ~at(words)["fix"], longer(words))
+        if table_mode:
+            tries = [(w, F.lit(True)), (longer(glyphs), F.lit(True)), (longer(said), at(said)["cut"])]
+            picks = F.array(*[F.when(ok & takes(said, i), at(i)["text"]) for i, ok in tries])
+        else:  # words that read well settle the matter, taken or not
+            picks = F.array(F.when(w.isNotNull(), F.when(takes(said, w), at(w)["text"])).when(takes(said, glyphs), at(glyphs)["text"]))
+        return F.get(F.filter(picks, lambda t: t.isNotNull()), F.lit(0))
+
+    return let(F.transform(read, lambda a: F.transform(read, lambda b: prefers(a, b, table_mode))), choose)
+
+
 def repair(boxes: DataFrame, words: DataFrame, glyphs: DataFrame, table_mode: bool, pad: float = PAD) -> DataFrame:
     """boxes (with text) plus fixed: the words or glyphs of the box, where they read better than the text, which is then replaced.
 
@@ -137,22 +165,8 @@ def repair(boxes: DataFrame, words: DataFrame, glyphs: DataFrame, table_mode: bo
     c = wanted.join(_candidates(wanted, words, glyphs, pad, "n"), ["doc_id", "item_no"], "left")
     if table_mode:
         c = c.join(_candidates(wanted, words, glyphs, 3 * pad, "f"), ["doc_id", "item_no"], "left")
-    names = [n for n in ("n_w", "n_g", "f_w", "f_g") if n in c.columns]
-    c = c.select("doc_id", "item_no", facts(own).alias("old"), *[facts(F.coalesce(n, F.lit(""))).alias(n) for n in names])
-    some = lambda x: x["text"] != ""
-
-    def longer(base: Column) -> Column:
-        if not table_mode:
-            return base
-        ok = lambda x: some(F.col(x)) & prefers(base, F.col(x), True)
-        return F.when(~base["cut"], base).when(ok("f_w"), F.col("f_w")).when(ok("f_g"), F.col("f_g")).otherwise(base)
-
-    c = c.withColumn("w", F.when(some(F.col("n_w")) & ~F.col("n_w.fix"), longer(F.col("n_w")))).withColumn("g", longer(F.col("n_g"))).withColumn("t", longer(F.col("old")))
-    take = lambda x: F.coalesce(some(F.col(x)) & prefers(F.col("old"), F.col(x), table_mode), F.lit(False))
-    if table_mode:
-        best = F.when(take("w"), F.col("w.text")).when(take("g"), F.col("g.text")).when(F.col("old.cut") & take("t"), F.col("t.text"))
-    else:  # words that read well settle the matter, taken or not
-        best = F.when(F.col("w").isNotNull(), F.when(take("w"), F.col("w.text"))).when(take("g"), F.col("g.text"))
+    readings = [F.coalesce(n, F.lit("")) if n in c.columns else F.lit("") for n in ("n_w", "n_g", "f_w", "f_g")]
+    best = let(F.transform(F.array(own, *readings), facts), lambda read: _chosen(read, table_mode))
     fixes = c.select("doc_id", "item_no", best.alias("_best"))
     out = boxes.join(fixes, ["doc_id", "item_no"], "left")
     return out.withColumn("fixed", F.col("_best").isNotNull()).withColumn("text", F.coalesce("_best", "text")).select(*boxes.columns, "fixed")

@@ -1,7 +1,5 @@
 """The DataFrame operators on small inputs with known results."""
 
-import os
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,8 +9,6 @@ from quillmill.plans import convert
 from quillmill.sources import config, io
 
 B = markdown.PAGE_BREAK
-#: Planning all repairs of cells by glyphs takes minutes; RUN_SLOW=1 runs these tests, too.
-slow = pytest.mark.skipif(os.environ.get("RUN_SLOW") != "1", reason="planning takes minutes; RUN_SLOW=1 runs it")
 
 
 def md(spark, f, text, whole=False):
@@ -143,7 +139,6 @@ def corpus(spark):
     return convert.Corpus(make(items, "items"), make([(1, 1, 300.0), (1, 2, 300.0)], "pages"), make([(1, 0, 1, 2, 2)], "tables"), make(cells, "cells"), make(words, "words"), make(glyph, "glyphs"))
 
 
-@slow
 def test_convert(spark):
     got = convert.convert(corpus(spark)).first()["markdown"]
     assert pages(got) == ["**[Page 1]**\n\n## Raport\n\nfinanciar bun\n\n| Indicatori | 30/09/2025 |\n| --- | --- |\n| Venit | RON 168.506.901 |", "**[Page 2]**\n\nUrmeaza text."]
@@ -151,7 +146,6 @@ def test_convert(spark):
     assert again["text"] == "financiar"
 
 
-@slow
 def test_cell_repair(spark):
     box = (0.0, 0.0, 62.0, 10.0, "TOPLEFT")
     cells = spark.createDataFrame([(1, 0, 1, box, "ve n i t"), (1, 1, 1, (0.0, 50.0, 62.0, 60.0, "TOPLEFT"), "cheltuiel"), (1, 2, 1, box, "Venit")], f"doc_id long, item_no int, page_no int, box {io.BOX}, text string")
@@ -192,7 +186,6 @@ def test_config(tmp_path):
     assert (cli.options_of(args).ocr_mode, cli.options_of(args).spacing_fix, cli.options_of(args).page_range) == ("on", "pymupdf", (1, 4))
 
 
-@slow
 def test_command_line(spark, tmp_path):
     c = corpus(spark)
     for name in ("items", "pages", "tables", "cells", "words", "glyphs"):
