@@ -1,226 +1,62 @@
-"""An adaptive context-mixing range coder of token ids below 65,536, in blocks that are reset and checked on their own.
+"""An adaptive context-mixing range coder of token ids, in blocks that are reset and checked on their own.
 
-Each step predicts the next id three times: the id last seen after the same two ids (order 2), after the same one id (order 1), and the
-commonest of late (order 0), each with a confidence. The boldest is the candidate; the chances that predictions of such confidence came true, mixed by weights that are
-learned on the way, give the probability with which a range coder codes whether the candidate is right. If not, the id's high and low bytes are coded by
-adaptive order-0 frequencies. All arithmetic is of integers, so every machine decodes alike.
+The next id is predicted by the id last seen after the same two ids (order 2) and after the same one id (order 1), each with a record of how often in a row it was right.
+Whether a prediction holds is coded by a binary range coder, at a chance mixed in the logistic domain from what such records have been worth. An id that neither predicts
+is spelled bit by bit, its length first, at the chances of an adaptive order-0 model. The mixing weights are learned on the way.
+All arithmetic is of integers, and a block's bytes don't depend on its neighbours. Any id of 32 bits can be coded.
 
-Many blocks are coded in step with each other, one lane each, by array operations; a block's bytes don't depend on its neighbours.
+Coding takes one step after another, some hundred instructions for each id, which neither column expressions nor array operations can do at a fair price. It is therefore two functions
+of binaries on the JVM, in IdCoder.java. Their classes are compiled by the compiler that Spark itself uses for generated code, once for each application, and sent
+to the executors as a jar.
 """
 
 from __future__ import annotations
 
-import zlib
-
-import numpy as np
-
-BLOCK = 8192
-LANES = 1024
-_BITS1, _BITS2 = 12, 13
-_TOTAL_BITS = 12
-_TOTAL = 1 << _TOTAL_BITS
-_TOP, _BOTTOM = np.uint64(1 << 48), np.uint64(1 << 40)
-_U12, _U16, _U48 = np.uint64(12), np.uint64(16), np.uint64(48)
-_REBUILD = {32, 64, 128, 256, *range(512, BLOCK, 512)}
-
-
-def _squash_table() -> np.ndarray:
-    """Log odds in 1/256 from -2047 to 2047 -> probability in 1/4096."""
-    out = []
-    base = [1 << 40]  # e ** (i / 256) in 2 ** -40 by exact steps, so that no machine's exp matters
-    step = (1 << 40) + sum((1 << 40) // (256**k * f) for k, f in ((1, 1), (2, 2), (3, 6), (4, 24), (5, 120)))
-    for _ in range(2047):
-        base.append(base[-1] * step >> 40)
-    for x in range(-2047, 2048):
-        p = base[abs(x)] * _TOTAL // (base[abs(x)] + (1 << 40))
-        out.append(min(max(p if x >= 0 else _TOTAL - p, 1), _TOTAL - 1))
-    return np.array(out, np.int64)
-
-
-_SQUASH = _squash_table()
-#: Probability -> log odds.
-_STRETCH = np.searchsorted(_SQUASH, np.arange(_TOTAL)).clip(0, 4094) - 2047
-
-
-class _Lanes:
-    """The models of n blocks, advanced together."""
-
-    def __init__(self, n: int):
-        self.n = n
-        lane = np.arange(n, dtype=np.int64)
-        self.at1, self.at2, self.at_p, self.at_f = lane << _BITS1, lane << _BITS2, lane * 48, lane << 8
-        self.t1, self.t2 = np.zeros(n << _BITS1, np.int64), np.zeros(n << _BITS2, np.int64)
-        self.x0, self.c0 = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        self.a, self.b = np.zeros(n, np.int64), np.zeros(n, np.int64)  # the id before, and the one before that
-        self.chance = np.full(n * 48, _TOTAL // 4, np.int64)
-        self.w = np.full((3, n), 1 << 15, np.int64)
-        self.count = [np.zeros(n << 8, np.int64) for _ in range(2)]
-        self.low, self.range = np.zeros(n, np.uint64), np.full(n, 0xFFFFFFFFFFFFFFFF, np.uint64)
-        self.rebuild()
-
-    def rebuild(self) -> None:
-        """Byte frequencies from the counts so far, of sum _TOTAL, none 0."""
-        self.freq, self.cum = [], []
-        for count in self.count:
-            c = count.reshape(self.n, 256)
-            f = 1 + c * (_TOTAL - 256) // np.maximum(c.sum(axis=1, keepdims=True), 1)
-            left = _TOTAL - f.sum(axis=1)
-            f += (left >> 8)[:, None]
-            f[np.arange(self.n), f.argmax(axis=1)] += left & 255
-            self.freq.append(f.ravel())
-            self.cum.append((np.cumsum(f, axis=1) - f).ravel())
-        self.byte_of = None
-
-    def inverse(self, which: int) -> np.ndarray:
-        if self.byte_of is None:
-            byte = np.tile(np.arange(256, dtype=np.uint8), self.n)
-            self.byte_of = [np.repeat(byte, f) for f in self.freq]
-        return self.byte_of[which]
-
-    def predict(self) -> np.ndarray:
-        """Sets the candidate; returns the probability that it is right, in 1/_TOTAL."""
-        self.i1 = self.at1 + ((self.a * 40503 >> 4) & ((1 << _BITS1) - 1))
-        self.i2 = self.at2 + (((self.a * 40503 + self.b * 60493) >> 3) & ((1 << _BITS2) - 1))
-        e1, e2 = self.t1[self.i1], self.t2[self.i2]
-        self.x1, self.c1, self.x2, self.c2 = e1 >> 4, e1 & 15, e2 >> 4, e2 & 15
-        known1, known2 = self.c1 > 0, self.c2 > 0
-        self.guess = np.where(known2, self.x2, np.where(known1, self.x1, self.x0))
-        self.says = np.stack([self.x0 == self.guess, known1 & (self.x1 == self.guess), known2])
-        self.ip = np.stack([self.at_p + np.minimum(self.c0, 15), self.at_p + 16 + self.c1, self.at_p + 32 + self.c2])
-        self.odds = _STRETCH[self.chance[self.ip]] * self.says
-        z = (self.w * self.odds).sum(axis=0) >> 16
-        self.p = _SQUASH[np.clip(z, -2047, 2047) + 2047]
-        return self.p
-
-    def learn(self, x: np.ndarray) -> None:
-        hit = x == self.guess
-        bit = hit.astype(np.int64) << _TOTAL_BITS
-        self.w += self.odds * (bit - self.p) >> 9
-        np.clip(self.w, -(1 << 18), 1 << 18, out=self.w)
-        old = self.chance[self.ip]
-        self.chance[self.ip] = np.clip(old + ((bit - old) * self.says >> 4), 16, _TOTAL - 16)
-        for t, i, seen, c in ((self.t1, self.i1, self.x1, self.c1), (self.t2, self.i2, self.x2, self.c2)):
-            weak = c < 2
-            t[i] = np.where(seen == x, (x << 4) | np.minimum(c + 1, 15), np.where(weak, (x << 4) | 1, (seen << 4) | (c >> 1)))
-        same, out = self.x0 == x, self.c0 == 0
-        self.x0 = np.where(out, x, self.x0)
-        self.c0 = np.where(same | out, np.minimum(self.c0 + 1, 63), self.c0 - 1)
-        miss = np.flatnonzero(~hit)
-        self.count[0][self.at_f[miss] + (x[miss] >> 8)] += 1
-        self.count[1][self.at_f[miss] + (x[miss] & 255)] += 1
-        self.b, self.a = self.a, x
-
-    def narrow(self, lanes: np.ndarray | slice, start: np.ndarray, size: np.ndarray) -> None:
-        r = self.range[lanes] >> _U12
-        self.low[lanes] += r * start.astype(np.uint64)
-        self.range[lanes] = r * size.astype(np.uint64)
-
-    def settled(self) -> np.ndarray:
-        """Lanes whose first 16 bits can go; where the range is too small to wait, it is cut so that they can."""
-        same = (self.low ^ (self.low + self.range)) < _TOP
-        small = self.range < _BOTTOM
-        cut = small & ~same
-        if cut.any():
-            self.range[cut] = (~self.low[cut] + np.uint64(1)) & (_BOTTOM - np.uint64(1))
-            # a cut that leaves nothing means that low is itself a boundary
-            self.range[cut & (self.range == 0)] = _BOTTOM - np.uint64(1)
-        return np.flatnonzero(same | small)
-
-    def shift(self, lanes: np.ndarray) -> None:
-        self.low[lanes] <<= _U16
-        self.range[lanes] <<= _U16
-
-
-def encode(blocks: list[np.ndarray]) -> list[bytes]:
-    """The coded bytes of each block of at most BLOCK ids."""
-    out: list[bytes] = []
-    for i in range(0, len(blocks), LANES):
-        out += _encode(blocks[i : i + LANES])
-    return out
-
-
-def _encode(blocks: list[np.ndarray]) -> list[bytes]:
-    order = sorted(range(len(blocks)), key=lambda k: -len(blocks[k]))  # lanes end from the last to the first
-    size = np.array([len(blocks[k]) for k in order])
-    ids = np.zeros((max(size.max(initial=0), 1), len(blocks)), np.int64)
-    for lane, k in enumerate(order):
-        ids[: size[lane], lane] = blocks[k]
-    if ids.max(initial=0) >= 65536:
-        raise ValueError("ids of 65,536 and more can't be coded")
-    m, n = _Lanes(len(blocks)), len(blocks)
-    words, used = np.zeros((n, 4 * ids.shape[0] + 8), np.uint16), np.zeros(n, np.int64)
-    for t in range(ids.shape[0]):
-        if t in _REBUILD:
-            m.rebuild()
-        x, p = ids[t], m.predict()
-        hit = x == m.guess
-        m.narrow(slice(None), np.where(hit, 0, p), np.where(hit, p, _TOTAL - p))
-        miss = np.flatnonzero(~hit)
-        for k, byte in ((0, x[miss] >> 8), (1, x[miss] & 255)):
-            at = m.at_f[miss] + byte
-            m.narrow(miss, m.cum[k][at], m.freq[k][at])
-        while len(go := m.settled()):
-            words[go, used[go]] = (m.low[go] >> _U48).astype(np.uint16)
-            used[go] += t < size[go]
-            m.shift(go)
-        m.learn(x)
-        done = np.flatnonzero(size == t + 1)  # the state that tells the last id; what follows in a lane is not kept
-        for k in range(4):
-            words[done, used[done] + k] = (m.low[done] >> np.uint64(48 - 16 * k)).astype(np.uint16)
-        used[done] += 4
-    out = [b""] * n
-    for lane, k in enumerate(order):
-        out[k] = words[lane, : used[lane]].astype(">u2").tobytes() if size[lane] else b""
-    return out
-
-
-def decode(coded: list[bytes], sizes: list[int], crcs: list[int] | None = None) -> list[np.ndarray]:
-    """The blocks' ids; raises ValueError if a block's checksum doesn't agree."""
-    out: list[np.ndarray] = []
-    for i in range(0, len(coded), LANES):
-        out += _decode(coded[i : i + LANES], sizes[i : i + LANES])
-    for k, crc in enumerate(crcs or ()):
-        if checksum(out[k]) != crc:
-            raise ValueError(f"block {k} is damaged: its checksum doesn't agree")
-    return out
-
-
-def _decode(coded: list[bytes], sizes: list[int]) -> list[np.ndarray]:
-    n, most = len(coded), max(max(sizes, default=0), 1)
-    words = np.zeros((n, max(len(c) for c in coded) // 2 + 4 * most + 16), np.uint16)
-    for lane, c in enumerate(coded):
-        words[lane, : len(c) // 2] = np.frombuffer(c, ">u2")
-    m, used = _Lanes(n), np.full(n, 4, np.int64)
-    code = np.zeros(n, np.uint64)
-    for k in range(4):
-        code = (code << _U16) | words[:, k].astype(np.uint64)
-    ids = np.zeros((most, n), np.int64)
-
-    def value(lanes: np.ndarray | slice) -> np.ndarray:
-        return np.minimum((code[lanes] - m.low[lanes]) // (m.range[lanes] >> _U12), np.uint64(_TOTAL - 1)).astype(np.int64)
-
-    for t in range(most):
-        if t in _REBUILD:
-            m.rebuild()
-        p = m.predict()
-        hit = value(slice(None)) < p
-        m.narrow(slice(None), np.where(hit, 0, p), np.where(hit, p, _TOTAL - p))
-        x, miss = m.guess.copy(), np.flatnonzero(~hit)
-        parts = []
-        for k in (0, 1):
-            byte = m.inverse(k)[(miss << _TOTAL_BITS) + value(miss)].astype(np.int64)
-            at = m.at_f[miss] + byte
-            m.narrow(miss, m.cum[k][at], m.freq[k][at])
-            parts.append(byte)
-        x[miss] = (parts[0] << 8) | parts[1]
-        while len(go := m.settled()):
-            m.shift(go)
-            code[go] = (code[go] << _U16) | words[go, np.minimum(used[go], words.shape[1] - 1)].astype(np.uint64)
-            used[go] += 1
-        m.learn(x)
-        ids[t] = x
-    return [ids[: sizes[lane], lane].astype(np.uint32) for lane in range(n)]
-
-
-def checksum(ids: np.ndarray) -> int:
-    return zlib.crc32(ids.astype("<u4").tobytes())
+import tempfile
+import zipfile
+from importlib.resources import files
+from pathlib import Path
+
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
+
+#: Ids in a block.
+BLOCK = 1 << 15
+_NAMES = {"quillmill_encode_ids": "quillmill.EncodeIds", "quillmill_decode_ids": "quillmill.DecodeIds"}
+_loaders: dict[str, object] = {}
+
+
+def _classes(spark: SparkSession):
+    """The class loader of the compiled functions, which the executors have, too."""
+    application = spark.sparkContext.applicationId
+    if application not in _loaders:
+        compiler = spark._jvm.org.codehaus.janino.SimpleCompiler()
+        compiler.setParentClassLoader(spark._jvm.org.apache.spark.util.Utils.getContextOrSparkClassLoader())
+        compiler.cook(files("quillmill.llm").joinpath("IdCoder.java").read_text())
+        jar = Path(tempfile.mkdtemp(prefix="quillmill-")) / "quillmill-id-coder.jar"
+        with zipfile.ZipFile(jar, "w") as z:
+            for name, code in dict(compiler.getBytecodes()).items():
+                z.writestr(name.replace(".", "/") + ".class", bytes(code))
+        spark.sparkContext._jsc.addJar(str(jar))
+        _loaders[application] = compiler.getClassLoader()
+    return _loaders[application]
+
+
+def register(spark: SparkSession) -> None:
+    """Make the functions known to this session."""
+    loader = _classes(spark)
+    binary = spark._jvm.org.apache.spark.sql.types.DataTypes.BinaryType
+    for name, of in _NAMES.items():
+        spark._jsparkSession.udf().register(name, loader.loadClass(of).newInstance(), binary)
+
+
+def encoded(spark: SparkSession, ids: str | Column) -> Column:
+    """Framed blocks of a binary of little-endian unsigned 32-bit integers; null for null."""
+    register(spark)
+    return F.call_function("quillmill_encode_ids", ids)
+
+
+def decoded(spark: SparkSession, blocks: str | Column) -> Column:
+    """The way back. A damaged block raises an error that names it."""
+    register(spark)
+    return F.call_function("quillmill_decode_ids", blocks)

@@ -1,18 +1,20 @@
 """Token ids of a corpus as binary files, written by the adaptive range coder and read back.
 
 The texts are put in ascending order of id by range partitioning, so that each task writes one part of the output, of about equal size whatever one id holds. A part is a Parquet file of
-segments. A segment holds whole documents: their ids and lengths, and their token ids, coded in blocks of BLOCK ids that are
-reset and checksummed on their own. The starts of parts are sums over a table of one row per part. Reading decodes each segment where it lies; nothing is shuffled.
+segments. A segment holds whole documents: their ids, where their token ids start in it, how many they are, and the token ids themselves, coded in blocks that are
+reset and checksummed on their own. The starts of parts are sums over a table of one row per part. Reading decodes each segment where it lies; nothing is shuffled but that table.
 
-Layout of a segment: part, segment, start (ids before it in its part), doc_ids, lengths, blocks (n, crc32 of the ids as little-endian unsigned 32-bit integers, data).
+Layout of a segment: part, segment, start (ids before it in its part), n (its ids), doc_ids, starts, lengths, blocks (framed: number of ids, crc32 of the ids as little-endian
+unsigned 32-bit integers, number of coded bytes, each as such an integer, and the coded bytes).
 
 Defined cases: a null text is empty and gives the end id alone. A null doc_id comes before all others. Rows of one id are documents of their own, in the order of their texts.
-An empty table writes no segments and reads back as an empty result. A damaged block raises an error that names it.
+An empty table writes no segments and reads back as an empty result. A damaged block raises an error that names it. A very long text makes a segment of its size. ids must be
+integers. Columns besides the named ones are ignored.
 """
 
 from __future__ import annotations
 
-import zlib
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,16 +28,17 @@ from quillmill.llm.common import only
 from quillmill.llm.tokens import Vocabulary
 
 #: Ids after which a segment is closed.
-SEGMENT_IDS = 4 << 20
+SEGMENT_IDS = 1 << 20
 END_ID = 1
-_SEGMENT = "part int, segment int, start long, doc_ids array<long>, lengths array<long>, blocks array<struct<n:int,crc32:long,data:binary>>"
-_BLOCK = pa.struct([("n", pa.int32()), ("crc32", pa.int64()), ("data", pa.binary())])
-_ARROW = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("start", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("blocks", pa.list_(_BLOCK))])
+_HEAD = "part int, segment int, start long, n long, doc_ids array<long>, starts array<long>, lengths array<long>"
+_SEGMENT = f"{_HEAD}, blocks binary"
+_LONGS = pa.list_(pa.int64())
+_ARROW = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("start", pa.int64()), ("n", pa.int64()), ("doc_ids", _LONGS), ("starts", _LONGS), ("lengths", _LONGS), ("ids", pa.binary())])
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def encoder(path: str) -> Vocabulary:
-    return Vocabulary(path, lambda ids: np.array(ids, "<u4").tobytes(), b"".join)
+    return Vocabulary(path, lambda ids: struct.pack(f"<{len(ids)}I", *ids), b"".join)
 
 
 def write(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -45,26 +48,25 @@ def write(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_id", te
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # the hash parts rows of one id, should very many have it; order among them is by the hash, then the text
     own = own.withColumn("h", F.xxhash64("text")).repartitionByRange(parts, F.col("id").asc_nulls_first(), "h").sortWithinPartitions(F.col("id").asc_nulls_first(), "h", "text")
-    own.select("id", "text").mapInArrow(_writer(tokenizer), _SEGMENT).write.parquet(path)
+    segments = own.select("id", "text").mapInArrow(_segments(tokenizer), f"{_HEAD}, ids binary")
+    segments.withColumn("blocks", id_coder.encoded(spark, "ids")).drop("ids").write.parquet(path)
 
 
-def _writer(tokenizer: str):
+def _segments(tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, segment, start, model = TaskContext.get().partitionId(), 0, 0, encoder(tokenizer)
+        end = np.array([END_ID], "<u4").tobytes()
         doc_ids: list = []
         held: list[bytes] = []
         size = 0
 
         def close() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(held), "<u4")
-            blocks = [ids[i : i + id_coder.BLOCK] for i in range(0, len(ids), id_coder.BLOCK)]
-            coded = [{"n": len(b), "crc32": id_coder.checksum(b), "data": c} for b, c in zip(blocks, id_coder.encode(blocks), strict=True)]
-            row = {"part": part, "segment": segment, "start": start, "doc_ids": doc_ids, "lengths": [len(h) // 4 for h in held], "blocks": coded}
-            return pa.RecordBatch.from_pylist([row], schema=_ARROW)
+            lengths = np.fromiter((len(h) // 4 for h in held), np.int64, len(held))
+            row = [[part], [segment], [start], [size], [doc_ids], [np.cumsum(lengths) - lengths], [lengths], [b"".join(held)]]
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, _ARROW.types, strict=True)], schema=_ARROW)
 
-        end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 rows = batch.slice(i, 256)
@@ -82,24 +84,19 @@ def _writer(tokenizer: str):
 
 
 def read(spark, path: str, id_col: str = "doc_id", keep_ids: bool = False) -> DataFrame:
-    """One row per document: id, start, n_tokens, ids_crc32 and, if keep_ids, the ids."""
+    """One row per document: id, start, n_tokens, ids_crc32 and, if keep_ids, the ids as a binary of little-endian unsigned 32-bit integers."""
     segments = spark.read.schema(_SEGMENT).parquet(path)
-    sizes = segments.select("part", F.aggregate("lengths", F.lit(0).cast("long"), lambda a, b: a + b).alias("n")).groupBy("part").agg(F.sum("n").alias("n"))
+    sizes = segments.groupBy("part").agg(F.sum("n").alias("n"))
     bases = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))  # one row per part
-    names = [("part", pa.int32()), ("id", pa.int64()), ("at", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())]
-    schema = pa.schema(names + [("ids", pa.list_(pa.int64()))] * keep_ids)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                r = batch.slice(i, 1).to_pylist()[0]
-                b = r["blocks"]
-                ids = np.concatenate(id_coder.decode([x["data"] for x in b], [x["n"] for x in b], [x["crc32"] for x in b])).astype("<u4")
-                ends = np.cumsum(r["lengths"])
-                starts = ends - r["lengths"]
-                own = [ids[a:z] for a, z in zip(starts, ends, strict=True)]
-                columns = [np.full(len(own), r["part"], np.int32), r["doc_ids"], starts + r["start"], r["lengths"], [zlib.crc32(x.tobytes()) for x in own]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns + [own] * keep_ids, schema.types, strict=True)], schema=schema)
-
-    out = segments.mapInArrow(run, "part int, id long, at long, n_tokens long, ids_crc32 long" + ", ids array<long>" * keep_ids).join(bases, "part")
-    return out.select(F.col("id").alias(id_col), (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * keep_ids)
+    def document(ids):
+        def one(x):
+            own = F.substring(ids, (x["starts"] * 4 + 1).cast("int"), (x["lengths"] * 4).cast("int"))
+            return F.struct(x["doc_ids"].alias("id"), x["starts"].alias("at"), x["lengths"].alias("n_tokens"), F.crc32(own).alias("ids_crc32"), *[own.alias("ids")] * keep_ids)
+
+        return F.transform(F.arrays_zip("doc_ids", "starts", "lengths"), one)
+
+    # the array of one binds what is decoded, so that it is decoded once for all its documents
+    own = F.transform(F.array(id_coder.decoded(spark, "blocks")), document)[0]
+    out = segments.select("part", "start", F.explode(own).alias("d")).join(F.broadcast(bases), "part")
+    return out.select(F.col("d.id").alias(id_col), (F.col("base") + F.col("start") + F.col("d.at")).alias("start"), "d.n_tokens", "d.ids_crc32", *["d.ids"] * keep_ids)

@@ -72,17 +72,24 @@ def test_leaks_over_blocks_and_edges(spark, small_docs, sf, edge_docs, wide_docs
     assert decontamination.leaks(empty_docs, bench).count() == 0 and decontamination.leaks(small_docs, bench.limit(0)).count() == 0
 
 
-def test_coder_round_trip():
+def test_coder_round_trip(spark):
     rng = np.random.default_rng(4)
-    blocks = [rng.integers(0, 65536, n) for n in (0, 1, 2, 3, 700)] + [np.zeros(900, int), np.arange(2000) % 7, rng.zipf(1.3, 1500) % 49000, np.full(5, 65535)]
-    coded, sizes, crcs = id_coder.encode(blocks), [len(b) for b in blocks], [id_coder.checksum(b) for b in blocks]
-    assert all((a == b).all() for a, b in zip(blocks, id_coder.decode(coded, sizes, crcs), strict=True))
-    assert [id_coder.encode([b])[0] for b in blocks] == coded  # a block doesn't depend on its neighbours
-    assert len(coded[5]) < 60 and len(coded[7]) < 2 * 1500
-    with pytest.raises(ValueError):
-        id_coder.decode([coded[4][:50] + b"\x00\x01" + coded[4][52:]], [700], [crcs[4]])
-    with pytest.raises(ValueError):
-        id_coder.encode([np.array([65536])])
+    n = id_coder.BLOCK
+    blocks = [rng.integers(0, 1 << 32, k) for k in (0, 1, 2, 3, 700)] + [np.zeros(900, int), np.arange(2000) % 7, rng.zipf(1.3, n) % 49000, np.full(5, (1 << 32) - 1), rng.integers(0, 65536, 2 * n + 1)]
+    blocks += [np.concatenate([blocks[7], blocks[6]]), np.arange(n), 1 << np.arange(32)]
+    raw = [b.astype("<u4").tobytes() for b in blocks]
+    data = spark.createDataFrame([*enumerate(map(bytearray, raw)), (99, None)], "k int, ids binary").withColumn("coded", id_coder.encoded(spark, "ids"))
+    got = {r["k"]: r for r in data.withColumn("back", id_coder.decoded(spark, "coded")).collect()}
+    assert got.pop(99)["coded"] is None and all(bytes(got[k]["back"]) == r for k, r in enumerate(raw))
+    assert got[10]["coded"] == got[7]["coded"] + got[6]["coded"]  # a block doesn't depend on its neighbours
+    assert len(got[5]["coded"]) < 60 and len(got[7]["coded"]) < 1.5 * n and len(got[9]["coded"]) < 1.15 * len(raw[9]) / 2
+    head = np.frombuffer(bytes(got[4]["coded"][:12]), "<u4")
+    assert head.tolist() == [700, zlib.crc32(raw[4]), len(got[4]["coded"]) - 12]
+    damaged = bytearray(got[4]["coded"])
+    damaged[50] ^= 1
+    for bad in (damaged, got[4]["coded"][:-1], got[4]["coded"][:9]):
+        with pytest.raises(Exception, match="block 0 is damaged"):
+            spark.createDataFrame([(bytearray(bad),)], "coded binary").select(id_coder.decoded(spark, "coded")).collect()
 
 
 @pytest.mark.parametrize("name", ["small_docs", "edge_docs", "wide_docs", "empty_docs"])
@@ -95,12 +102,12 @@ def test_token_output(spark, name, request, monkeypatch):
     got = rows(token_output.read(spark, path, keep_ids=True))
     model = Tokenizer.from_file(tokenizer)
     want = Counter((r["doc_id"], tuple([*model.encode(r["text"] or "", add_special_tokens=False).ids, 1])) for r in rows(docs))
-    assert Counter((g["doc_id"], tuple(g["ids"])) for g in got) == want
+    assert Counter((g["doc_id"], tuple(np.frombuffer(g["ids"], "<u4").tolist())) for g in got) == want
     order = sorted(got, key=lambda g: g["start"])
     assert [g["doc_id"] for g in order] == sorted((g["doc_id"] for g in got), key=lambda i: (i is not None, i or 0))
     at = 0
     for g in order:
-        assert g["start"] == at and g["n_tokens"] == len(g["ids"]) and g["ids_crc32"] == zlib.crc32(np.array(g["ids"], "<u4").tobytes())
+        assert g["start"] == at and g["n_tokens"] == len(g["ids"]) // 4 and g["ids_crc32"] == zlib.crc32(g["ids"])
         at += g["n_tokens"]
 
 
