@@ -1,9 +1,9 @@
 """Encoding with a public tokenizer file, and the cache of token counts.
 
-Encoding whole texts costs about a second a megabyte, nearly all of it for words met before. A Vocabulary therefore splits a text as the tokenizer's own
-pre-tokenizer does and lets the library encode each distinct piece once per worker. It does so only for texts of plain
-characters (tab, newline, printable ASCII, printable Latin-1 letters), for which Python's splitting equals the library's, and without "<|", which may begin a special token; any other text
-goes to the library whole. So every id comes from the library.
+Encoding whole texts costs about a second a megabyte, nearly all of it for words met before. A Vocabulary therefore splits a text into chunks, at places where
+the tokenizer's own pre-tokenizer always splits too, chunks not met before into that pre-tokenizer's pieces, and lets the library encode each distinct piece once per worker. It does so only for tokenizers whose normalizer, pre-tokenizer
+and added tokens are exactly those it knows, and for texts of plain characters (tab, newline, printable ASCII, printable Latin-1 letters) without "<|", which begins
+the added tokens. Any other text, and any text of another tokenizer, goes to the library whole. So every id comes from the library: pieces go, as the byte-level pre-tokenizers write them, straight to its model.
 
 Defined cases of count_tokens: a null text is the empty text. Rows of one text are encoded once; each row gets its count. Null ids are kept. An empty
 table gives an empty result, and nothing is appended to the cache.
@@ -12,10 +12,12 @@ table gives an empty result, and nothing is appended to the cache.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -24,20 +26,46 @@ from pyspark.sql import functions as F
 
 from quillmill.llm.common import materialize, only
 
+_PLAIN = re.compile(r"[\t\n -~À-ÖØ-öø-ÿ]*")
+#: The serialised parts of the tokenizers whose splitting is known.
+_LETTERS_AND_MARKS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+_WORDS = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": _LETTERS_AND_MARKS}, "behavior": "Removed", "invert": True}, _BYTES | {"use_regex": False}]}
+_LOWER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+#: (normalizer, pre-tokenizer, the chunks of a plain text, the pieces of a chunk). A run of marks and letters, with the one space before it, is never joined to what is around it; where
+#: white space is dropped and letters are lower-cased, chunks are lower-cased words. Pieces are what the pre-tokenizer makes.
 _L, _N = "A-Za-zÀ-ÖØ-öø-ÿ", "0-9"
-_PLAIN = re.compile(rf"[\t\n -~À-ÖØ-öø-ÿ]*")
-#: For each pre-tokenizer that is known: what tells it in the tokenizer's file, how it splits plain text, and whether text is lower-cased first.
 _SPLITS = (
-    ("ByteLevel", re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+"), False),
-    ("Sequence", re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\s{_L}{_N}]+"), True),
+    (None, _BYTES, re.compile(r" ?\S+|\s+(?!\S)|\s+").findall, re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+").findall),
+    (_LOWER, _WORDS, lambda text: text.lower().split(), re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\s{_L}{_N}]+").findall),
 )
-#: Most pieces remembered by a worker, about 150 MB.
-REMEMBERED = 600_000
+#: Most chunks and pieces remembered by a worker, about 60 MB; how many of them, the first met, outlast a clearing, as common words are met early; and their longest.
+REMEMBERED, FIRST = 250_000, 50_000
 MOST_PIECE = 64
 
 
+def _byte_signs() -> dict[int, str]:
+    """Plain character -> how byte-level tokenizers write its UTF-8 bytes: printable Latin-1 characters stand for themselves, the other bytes, in order, for those from U+0100 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    sign = [chr(b if b in printable else next(others)) for b in range(256)]
+    return {ord(c): "".join(sign[b] for b in c.encode()) for c in map(chr, range(256)) if _PLAIN.fullmatch(c)}
+
+
+_SIGNS = _byte_signs()
+
+
+def _splitting(model) -> tuple[Callable, Callable] | tuple[None, None]:
+    """How plain texts and chunks are split for this tokenizer; None if that isn't known."""
+    part = lambda p: json.loads(p.__getstate__()) if p else None
+    own = (part(model.normalizer), part(model.pre_tokenizer))
+    if any("<|" not in t.content for t in model.get_added_tokens_decoder().values()) or model.model.dropout:
+        return None, None
+    return next(((chunks, pieces) for normalizer, pre, chunks, pieces in _SPLITS if own == (normalizer, pre)), (None, None))
+
+
 class Vocabulary:
-    """Values of texts by piece: `value` makes a value of a list of ids, and `total` joins the values of a text."""
+    """Values of texts by chunk: `value` makes a value of a list of ids, and `total` joins the values of a text."""
 
     def __init__(self, path: str, value: Callable, total: Callable):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -47,33 +75,45 @@ class Vocabulary:
         self.model = Tokenizer.from_file(path)
         self.model.no_truncation()
         self.model.no_padding()
-        kind = type(self.model.pre_tokenizer).__name__
-        self.split, self.lower = next(((p, low) for name, p, low in _SPLITS if name == kind), (None, False))
+        self.chunks, self.pieces = _splitting(self.model)
+        self.bpe = self.model.model
         self.known: dict[str, object] = {}
 
     def _encode(self, texts: list[str]) -> list:
         return [self.value(e.ids) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, chunks: set[str]) -> list[str]:
+        """Remember the chunks; returns what is too long to be kept for later."""
+        known, value, tokenize = self.known, self.value, self.bpe.tokenize
+        made = {c: self.pieces(c) for c in chunks}
+        new = {p for pieces in made.values() for p in pieces if p not in known}
+        for p in new:
+            known[p] = value([t.id for t in tokenize(p.translate(_SIGNS))])
+        for c, pieces in made.items():
+            if c not in new:
+                known[c] = self.total([known[p] for p in pieces])
+        return [c for c in {*new, *chunks} if len(c) > MOST_PIECE]
+
     def values(self, texts: list[str | None]) -> list:
         """One value for each text; null counts as empty."""
         out: list = [None] * len(texts)
+        value_of = self.known.__getitem__
         for i, text in enumerate(texts):
             text = text or ""
-            if self.split is None or "<|" in text or not _PLAIN.fullmatch(text):
+            if self.chunks is None or "<|" in text or not _PLAIN.fullmatch(text):
                 out[i] = self._encode([text])[0]
                 continue
-            pieces = self.split.findall(text.lower() if self.lower else text)
+            chunks = self.chunks(text)
             try:
-                out[i] = self.total(map(self.known.__getitem__, pieces))
+                out[i] = self.total(map(value_of, chunks))
             except KeyError:
                 if len(self.known) > REMEMBERED:
-                    self.known.clear()
-                new = list({p for p in pieces if p not in self.known})
-                self.known.update(zip(new, self._encode(new), strict=True))
-                out[i] = self.total(map(self.known.__getitem__, pieces))
-                for p in new:
-                    if len(p) > MOST_PIECE:
-                        del self.known[p]
+                    self.known = dict(islice(self.known.items(), FIRST))
+                    value_of = self.known.__getitem__
+                long = self._learn({c for c in chunks if c not in self.known})
+                out[i] = self.total(map(value_of, chunks))
+                for c in long:
+                    del self.known[c]
         return out
 
 
