@@ -6,10 +6,13 @@ text) can reach the threshold for a template only if it holds enough of its toke
 matter to a containment, so a block is narrowed to those before anything is joined, and the template side is a parameter of at most
 MAX_TEMPLATE_TOKENS rows whatever the corpus.
 
+Licenses are much alike, so a template holds tokens that a block must have, whatever else it has: the words of labels, and what tells it from a template of another label that would
+else reach it (`sharealike`, `lesser`). Of templates of different labels that share half their tokens, the one that is better contained in a block, or among equals one that holds all the other's tokens, displaces the others there.
+
 A passage may be wrapped: besides lines, every window of a template's words and a quarter more that holds words of it in several lines is counted, in those texts that
 as a whole hold enough of the template. Of windows that overlap the fullest is reported, by the line where it begins, unless one of its lines reaches the threshold alone.
 
-Defined cases: a null or empty text has no words, no labels and score 0. Repeated rows each have their own result, even with one id. An empty table gives an
+Defined cases: a null or empty text has no words, no labels and score 0. Very long texts are scanned whole. Repeated rows each have their own result, even with one id. An empty table gives an
 empty result. Columns besides the named ones are ignored.
 """
 
@@ -50,10 +53,31 @@ TEMPLATES = (
 )
 THRESHOLD = 0.8
 MAX_TEMPLATE_TOKENS = 20_000
-_WINDOW = "struct<template:int,block:int,last:int,common:int,start:int,stop:int>"
+_WINDOW = "struct<template:int,block:int,last:int,common:int,start:int,stop:int,whole:boolean>"
 _GAP = "[\\\\x00-\\\\x2F\\\\x3A-\\\\x60\\\\x7B-\\\\x7F]+"
 
 
+def required(sets: list[tuple[str, list[str]]], threshold: float) -> list[list[str]]:
+    """The tokens of each template that a block must hold."""
+    named = {part for label, _ in sets for part in label.split("-")}
+    out = []
+    for label, words in sets:
+        own = set(words)
+        must = own & named
+        for other_label, other in sets:
+            if other_label != label and len(own & set(other)) >= threshold * len(own) - 1e-9:
+                must |= own - set(other)
+        out.append(sorted(must))
+    return out
+
+
+def rivals(sets: list[tuple[str, list[str]]]) -> list[tuple[list[int], list[int]]]:
+    """For each template the numbers of those of other labels with which it shares half the tokens of the smaller, and of those that hold all its tokens and more."""
+    alike = lambda a, b: 2 * len(set(a) & set(b)) >= min(len(set(a)), len(set(b)))
+    of = lambda label, words, test: [k for k, (other_label, other) in enumerate(sets) if other_label != label and test(words, other)]
+    return [(of(label, words, alike), of(label, words, lambda a, b: set(a) < set(b))) for label, words in sets]
+
+
 def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans (block number, label, containment)."""
     sets = [(label, sorted(set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", words.lower())))) for label, words in templates]
@@ -63,7 +87,8 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, th
     vocabulary = sorted({w for _, ws in sets for w in ws})
     code = {w: i for i, w in enumerate(vocabulary)}
     spans = [len(w) + -(-len(w) // 4) for w in (re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", words) for _, words in templates)]
-    wanted = [(t, words, least, span) for t, ((_, words), least, span) in enumerate(zip(sets, need, spans, strict=True))]
+    musts = required(sets, threshold)
+    wanted = [(t, words, must, least, span) for t, ((_, words), must, least, span) in enumerate(zip(sets, musts, need, spans, strict=True))]
     own = materialize(_measured(docs, vocabulary, min(need, default=1), wanted, id_col, text_col), "licenses")
     spark = docs.sparkSession
 
@@ -75,12 +100,12 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, th
     order = {c: k for k, c in enumerate(sorted(range(len(vocabulary)), key=lambda c: (seen.get(c, 0), c)))}
     rank = F.array(*[F.lit(order[c]) for c in range(len(vocabulary))]) if vocabulary else F.array()
     index, whole = [], []
-    for t, ((label, words), least) in enumerate(zip(sets, need, strict=True)):
+    for t, ((label, words), must, least, rival) in enumerate(zip(sets, musts, need, rivals(sets), strict=True)):
         ranks = sorted(order[code[w]] for w in words)
-        whole.append((t, label, len(ranks), least, ranks))
+        whole.append((t, label, len(ranks), least, ranks, [order[code[w]] for w in must], *rival))
         index += [(r, t, q, len(ranks), least) for q, r in enumerate(ranks[: len(ranks) - least + 1], 1)]
     prefixes = spark.createDataFrame(index, "token int, template int, q int, size int, least int")
-    full = spark.createDataFrame(whole, "template int, label string, size int, least int, ranks array<int>")
+    full = spark.createDataFrame(whole, "template int, label string, size int, least int, ranks array<int>, must array<int>, rivals array<int>, larger array<int>")
 
     ranked = blocks.select("row", "block", F.array_sort(F.transform("tokens", lambda t: F.element_at(rank, t + 1))).alias("own"))
     probes = ranked.select("row", "block", "own", F.size("own").alias("n"), F.posexplode("own").alias("p", "token"))
@@ -88,13 +113,20 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, th
         "n >= least AND p + 1 <= n - least + 1 AND 1 + least(n - p - 1, size - q) >= least"  # length, prefix of the block, positional
     )
     probes = probes.groupBy("row", "block", "template").agg(F.first("own").alias("own"))
-    hits = probes.join(F.broadcast(full), "template").withColumn("common", F.size(F.array_intersect("own", "ranks"))).filter("common >= least")
+    hits = probes.join(F.broadcast(full), "template").withColumn("common", F.size(F.array_intersect("own", "ranks"))).filter("common >= least AND size(array_except(must, own)) = 0")
     lines = hits.select("row", "template", F.col("block").alias("line"))
     wrapped = wrapped.join(lines, ["row", "template"], "left").groupBy("row", "template", "block", "last", "common").agg(F.coalesce(F.max(F.col("line").between(F.col("block"), F.col("last"))), F.lit(False)).alias("alone"))
-    wrapped = wrapped.filter("NOT alone").join(F.broadcast(full), "template").select("row", "block", "label", "common", "size")
-    hits = hits.select("row", "block", "label", "common", "size").unionByName(wrapped)
-    hits = hits.select("row", "block", "label", (F.col("common") / F.col("size")).alias("containment"))
-    best = hits.groupBy("row").agg(F.collect_set("label").alias("found"), F.max("containment").alias("best"), F.array_sort(F.collect_list(F.struct("block", "label", "containment"))).alias("spans"))
+    wrapped = wrapped.filter("NOT alone").join(F.broadcast(full), "template")
+    shape = ["row", "block", "last", "template", "rivals", "larger", "label", (F.col("common") / F.col("size")).alias("containment")]
+    hits = hits.withColumn("last", F.col("block")).select(*shape).unionByName(wrapped.select(*shape))
+    every = F.collect_list(F.struct("block", "last", "template", "rivals", "larger", "label", "containment"))
+    best = hits.groupBy("row").agg(every.alias("every"))
+    meets = lambda x, y: (x["block"] <= y["last"]) & (y["block"] <= x["last"])
+    more = lambda x, y: (F.array_contains(x["rivals"], y["template"]) & (y["containment"] > x["containment"])) | (F.array_contains(x["larger"], y["template"]) & (y["containment"] == x["containment"]))
+    beaten = lambda x: F.exists("every", lambda y: more(x, y) & meets(x, y))
+    best = best.withColumn("left", F.filter("every", lambda x: ~beaten(x)))
+    span = lambda x: F.struct(x["block"].alias("block"), x["label"].alias("label"), x["containment"].alias("containment"))
+    best = best.select("row", F.array_distinct(F.transform("left", lambda x: x["label"])).alias("found"), F.array_max(F.transform("left", lambda x: x["containment"])).alias("best"), F.array_sort(F.transform("left", span)).alias("spans"))
     out = own.drop("blocks", "wrapped").join(best, "row", "left")
     every = F.array_sort(F.array_union("base", F.coalesce("found", F.array().cast("array<string>"))))
     return out.select(
@@ -123,10 +155,10 @@ def _wrapped(found: Column, near: Column) -> Column:
             inside = F.filter(F.slice(own, k + 1, template["span"]), lambda y: y["place"] < x["place"] + template["span"])
             words = F.array_distinct(F.transform(inside, lambda y: y["word"]))
             last = F.filter(inside, lambda y: y["word"] == F.element_at(words, -1))[0]  # the first place of the last new word
-            return F.struct(template["template"].alias("template"), x["line"].alias("block"), last["line"].alias("last"), F.size(words).alias("common"), x["place"].alias("start"), last["place"].alias("stop"))
+            return F.struct(template["template"].alias("template"), x["line"].alias("block"), last["line"].alias("last"), F.size(words).alias("common"), x["place"].alias("start"), last["place"].alias("stop"), (F.size(F.array_except(template["must"], words)) == 0).alias("whole"))
 
         windows = F.flatten(F.transform(F.array(own), lambda o: F.transform(o, lambda x, k: window(o, x, k))))
-        windows = F.filter(windows, lambda w: w["common"] >= template["least"])
+        windows = F.filter(windows, lambda w: (w["common"] >= template["least"]) & w["whole"])
         none = F.expr(f"cast(array() AS array<{_WINDOW}>)")
 
         def add(kept: Column, w: Column) -> Column:
@@ -141,7 +173,7 @@ def _wrapped(found: Column, near: Column) -> Column:
     return F.transform(every, lambda w: F.struct(*[w[n].alias(n) for n in ("template", "block", "last", "common")]))
 
 
-def _measured(docs: DataFrame, vocabulary: list[str], fewest: int, wanted: list[tuple[int, list[str], int, int]], id_col: str, text_col: str) -> DataFrame:
+def _measured(docs: DataFrame, vocabulary: list[str], fewest: int, wanted: list[tuple[int, list[str], list[str], int, int]], id_col: str, text_col: str) -> DataFrame:
     """row (its own key), id, the base columns, blocks: those lines that hold at least `fewest` of the vocabulary, with the codes they hold, and the `wanted` templates' windows over several lines."""
     t = only(docs, id_col, text_col).toDF("id", "text").withColumn("text", ascii_lower(F.coalesce("text", F.lit(""))))
     # each word stands between two spaces of its own, so that neighbouring places never share one
@@ -170,9 +202,9 @@ def _measured(docs: DataFrame, vocabulary: list[str], fewest: int, wanted: list[
         held = F.col("held")
         kept = F.filter(held, lambda b: F.size(b["words"]) >= fewest)
         blocks = F.transform(kept, lambda b: F.struct(b["block"].alias("block"), F.transform(b["words"], lambda w: (F.array_position(words, w) - 1).cast("int")).alias("tokens")))
-        templates = F.array(*[F.struct(F.lit(k).alias("template"), F.array(*[F.lit(w) for w in ws]).alias("words"), F.lit(least).alias("least"), F.lit(span).alias("span")) for k, ws, least, span in wanted])
+        templates = F.array(*[F.struct(F.lit(k).alias("template"), F.array(*[F.lit(w) for w in ws]).alias("words"), F.array(*[F.lit(w) for w in must]).cast("array<string>").alias("must"), F.lit(least).alias("least"), F.lit(span).alias("span")) for k, ws, must, least, span in wanted])
         t = t.withColumn("all_held", F.array_distinct(F.flatten(F.transform("held", lambda b: b["words"]))))
-        near = F.filter(templates, lambda x: F.size(F.array_intersect("all_held", x["words"])) >= x["least"])
+        near = F.filter(templates, lambda x: (F.size(F.array_intersect("all_held", x["words"])) >= x["least"]) & (F.size(F.array_except(x["must"], "all_held")) == 0))
         t = t.withColumn("near", F.when((F.size("lines") > 1) & (F.size("all_held") >= fewest), near))
         placed = F.flatten(F.transform("lines", lambda line, i: F.transform(F.filter(F.split(line, _GAP.replace("\\\\", "\\")), lambda w: w != ""), lambda w: F.struct(i.alias("line"), w.alias("word")))))
         placed = F.transform(placed, lambda x, k: F.struct(k.alias("place"), x["line"].alias("line"), x["word"].alias("word")))

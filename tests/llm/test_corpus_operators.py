@@ -84,12 +84,33 @@ def test_license_containment_join_is_exact(spark, small_docs):
         rnd.shuffle(words)
         data.append((i, "noise first\n" + " ".join(words)))
     found = {r["doc_id"]: {(s["block"], s["label"]) for s in r["spans"]} for r in rows(license_scan.scan(spark.createDataFrame(data, "doc_id long, text string")))}
-    sets = [(label, set(t.split())) for label, t in license_scan.TEMPLATES]
+    sets = [(label, t.split()) for label, t in license_scan.TEMPLATES]
+    musts, rivals = license_scan.required(sets, license_scan.THRESHOLD), license_scan.rivals(sets)
     for i, text in data:
-        want = {(b, label) for b, line in enumerate(text.split("\n")) for label, s in sets if len(s & set(line.split())) >= license_scan.THRESHOLD * len(s) - 1e-9}
+        want = set()
+        for b, line in enumerate(text.split("\n")):
+            held = set(line.split())
+            share = [len(set(t) & held) / len(set(t)) for _, t in sets]
+            hit = [k for k, m in enumerate(musts) if share[k] >= license_scan.THRESHOLD - 1e-9 and set(m) <= held]
+            want |= {(b, sets[k][0]) for k in hit if not any(share[j] > share[k] and j in rivals[k][0] or share[j] == share[k] and j in rivals[k][1] for j in hit)}
         assert found[i] == want
 
 
+def test_license_labels_tell_like_licenses_apart(spark):
+    texts = [
+        "Released under the Apache License.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "This work is licensed\nunder a Creative Commons Attribution 4.0\nInternational License.",
+        "under the terms of the GNU Affero General Public License\nas published by the Free Software Foundation",
+        "Released under the MIT license.",
+    ]
+    got = {r["doc_id"]: r["labels"] for r in rows(license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))}
+    assert [got[i] for i in range(8)] == ["apache", "gpl", "gpl,lgpl", "cc-by", "cc-by-sa", "cc-by", "agpl,gpl", "mit"]
+
+
 def test_license_passages_over_line_breaks(spark):
     mit = """Permission is hereby granted, free of charge, to any person obtaining a copy
 of this software and associated documentation files (the "Software"), to deal
@@ -167,6 +188,26 @@ def test_mixing(docs):
     assert ORDER(got) == ORDER(rows(mixing.taken_words(mixing.mix(docs.repartition(3), shard_slots=16, bucket_docs=20))))
 
 
+def test_shards_draw_their_sources(spark):
+    words = lambda i: " ".join(f"w{i}x{j}" for j in range(640))
+    data = [(i, words(i), "abc"[min(i % 6, 2)]) for i in range(600)] + [(None, words(1000 + i), "a") for i in range(30)]
+    m = mixing.mix(spark.createDataFrame(data, "doc_id long, text string, source string"), shard_slots=512, bucket_docs=50)
+    slots = {r["sid"]: r["slots"] for r in rows(m.sources)}
+    of_shard, of_source = defaultdict(dict), Counter()
+    for r in rows(m.counts):
+        of_shard[r["shard"]][r["sid"]] = r["n"]
+        of_source[r["sid"]] += r["n"]
+    every = sum(slots.values())
+    sizes = [sum(c.values()) for _, c in sorted(of_shard.items())]
+    assert set(sizes[:-1]) == {512} and sum(sizes) == every
+    for sid, n in slots.items():
+        p = n / every
+        deviations = [(c.get(sid, 0) - size * p) / (size * p * (1 - p)) ** 0.5 for c, size in zip((c for _, c in sorted(of_shard.items())), sizes, strict=True)]
+        assert max(map(abs, deviations)) < 5 and 0.3 < sum(d * d for d in deviations) / len(deviations) < 2.5  # neither equal shares nor wild ones
+    taken = rows(m.taken.select("slot", "sid").distinct())
+    assert Counter(r["sid"] for r in taken) == slots and len({r["slot"] for r in taken}) == every and of_source != slots
+
+
 def test_mixed_documents_hold_the_words_taken(docs):
     m = mixing.mix(docs)
     out = mixing.mixed_documents(docs, m)
