@@ -1,12 +1,13 @@
 """Mixing sources to target weights, with DataFrame expressions only.
 
-Each source's words are packed, in a fixed pseudorandom order of documents, into blocks of a fixed length. The output is a row of slots,
-cut into shards. A pseudorandom permutation of all slots deals every shard its sources, which is a multinomial draw conditioned on
-each source's total; the place of a slot in its source goes through the source's own permutation to a block index, and slots join blocks by
-(source, index). Nothing is ordered or numbered across a whole source: documents are placed by bucket, with bucket totals summed in a small table.
+Each source's words are packed, in a fixed pseudorandom order of documents, into blocks of a fixed length. The output is a row of slots, cut into shards. Every slot
+draws its source by its own pseudorandom number, so a shard's counts of sources are a multinomial draw at the target weights. Running sums of the counts over the
+shards give each slot its place among all its source's slots. A source drawn more often than its target allows gives those last slots to the sources that were
+drawn too seldom, so the totals meet the targets exactly. A place goes through its source's pseudorandom permutation to a block index, and slots join blocks by (source, index).
+Nothing is ordered or numbered across a whole source: documents are placed by bucket and shards by group, with the sums of buckets and groups in small tables.
 
 Defined cases: a null or blank text has no words and is never taken. A null source is a source, the last. Rows of one id each are
-documents of their own. A corpus without words gives targets of 0. Columns besides the named ones are ignored.
+documents of their own. A corpus without words gives targets of 0. An empty table gives an empty result. Very long texts are many blocks. Columns besides the named ones are ignored.
 """
 
 from __future__ import annotations
@@ -37,10 +38,12 @@ def permuted(x: str, n: str, key: str, rounds: int = ROUNDS) -> Column:
 
 @dataclass
 class Mix:
-    """documents: id, source, sid, digest, size, source_size, target, start (of its words in the source); sources: one row each; taken: sid, start, pass, from_word, words, shard, slot."""
+    """documents: id, source, sid, digest, size, source_size, target, start (of its words in the source); sources: one row each; counts: shard, sid, n, the sources drawn by each shard;
+    taken: sid, start, pass, from_word, words, shard, slot."""
 
     documents: DataFrame
     sources: DataFrame
+    counts: DataFrame
     taken: DataFrame
 
 
@@ -63,8 +66,36 @@ def water_filled(sources: DataFrame, weights: tuple[float, ...], share: float, c
     return s.withColumn("target", F.coalesce(F.least(F.col("most"), F.col("level") * F.col("weight")), F.col("most"))).select("source", "source_size", "sid", "weight", "target")
 
 
+def _owner(places: DataFrame, ranges: DataFrame, cell: int) -> DataFrame:
+    """places joined with the range (first, slots) that holds their `place`, by cells of places: a range has a row for each cell it meets, and few meet a cell."""
+    cells = ranges.withColumn("cell", F.explode(F.expr(f"sequence(first div {cell}, (first + slots - 1) div {cell})")))
+    return places.withColumn("cell", F.expr(f"place div {cell}")).join(cells, "cell").filter("place >= first AND place < first + slots").drop("cell")
+
+
+def _running(counts: DataFrame, group: int = 1024) -> DataFrame:
+    """(shard, sid, before): the sum of n over the source's earlier shards, by groups of shards and inside them."""
+    own = counts.withColumn("group", F.expr(f"shard div {group}"))
+    groups = own.groupBy("sid", "group").agg(F.sum("n").alias("n"))
+    groups = groups.select("sid", "group", (F.sum("n").over(Window.partitionBy("sid").orderBy("group")) - F.col("n")).alias("base"))
+    inside = own.withColumn("inside", F.sum("n").over(Window.partitionBy("sid", "group").orderBy("shard")) - F.col("n"))
+    return inside.join(groups, ["sid", "group"]).select("shard", "sid", (F.col("base") + F.col("inside")).alias("before"))
+
+
+def _settled(dealt: DataFrame, sources: DataFrame, cell: int) -> DataFrame:
+    """dealt (slot, shard, sid, i) with i below the source's slots: what is beyond goes, in order, to the sources that have got less than their slots."""
+    w = Window.orderBy("sid")  # one row per source
+    over, under = F.greatest(F.col("got") - F.col("slots"), F.lit(0)), F.greatest(F.col("slots") - F.col("got"), F.lit(0))
+    s = sources.withColumn("over", over).withColumn("under", under)
+    s = s.withColumn("over_base", F.sum("over").over(w) - F.col("over")).withColumn("first", F.sum("under").over(w) - F.col("under"))
+    own = dealt.join(s.select("sid", F.col("slots").alias("most"), "over_base"), "sid")
+    beyond = own.filter("i >= most").select("slot", "shard", (F.col("over_base") + F.col("i") - F.col("most")).alias("place"))
+    takers = s.filter("under > 0").select("sid", "first", F.col("under").alias("slots"), F.col("got").alias("had"))
+    moved = _owner(beyond, takers, cell).select("slot", "shard", "sid", (F.col("had") + F.col("place") - F.col("first")).alias("i"))
+    return own.filter("i < most").select("slot", "shard", "sid", "i").unionByName(moved)
+
+
 def mix(
-    docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, block: int = 64, shard_slots: int = 4096, seed: int = 17, bucket_docs: int = 20_000, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
+    docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, block: int = 64, shard_slots: int = 4096, seed: int = 17, bucket_docs: int = 4_000, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
 ) -> Mix:
     """The mix of a corpus as spans of words of documents, each with its place in the output.
 
@@ -81,7 +112,7 @@ def mix(
     sources = materialize(sources.withColumn("first_slot", F.sum("slots").over(w) - F.col("slots")).withColumn("all_slots", F.sum("slots").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))), "mix-sources")
 
     placed = slim.join(sources.drop("slots", "first_slot", "all_slots", "blocks", "weight").withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    placed = placed.withColumn("bucket", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(buckets)).cast("long"))
+    placed = placed.withColumn("bucket", F.pmod(F.xxhash64("id", "digest", F.lit(seed)), F.lit(buckets)).cast("long"))  # the digest parts rows without an id
     totals = placed.groupBy("sid", "bucket").agg(F.sum("size").alias("words"))
     totals = totals.select("sid", "bucket", (F.sum("words").over(Window.partitionBy("sid").orderBy("bucket")) - F.col("words")).alias("base"))
     inside = Window.partitionBy("sid", "bucket").orderBy("id", "size", "digest").rowsBetween(Window.unboundedPreceding, 0)
@@ -89,16 +120,21 @@ def mix(
     placed = materialize(placed.withColumn("start", F.col("base") + F.col("upto") - F.col("size")).drop("base", "upto", "bucket"), "mix-places")
 
     all_slots = sources.agg(F.max("all_slots")).first()[0] or 0
-    slots = spark.range(all_slots).select(F.col("id").alias("slot"), F.expr(f"id div {shard_slots}").alias("shard"), permuted("id", f"{max(all_slots, 1)}L", f"{seed}L").alias("place"))
-    slots = slots.withColumn("cell", F.expr(f"place div {shard_slots}"))
-    cells = sources.filter("slots > 0").select("sid", "blocks", "first_slot", "slots", F.explode(F.expr(f"sequence(first_slot div {shard_slots}, (first_slot + slots - 1) div {shard_slots})")).alias("cell"))
-    dealt = slots.join(cells, "cell").filter("place >= first_slot AND place < first_slot + slots").withColumn("i", F.expr("place - first_slot"))
-    dealt = dealt.select("slot", "shard", "sid", F.expr("i div blocks").alias("pass"), permuted("pmod(i, blocks)", "blocks", f"{seed + 1}L, sid").alias("index"))
+    drawn = spark.range(all_slots).select(F.col("id").alias("slot"), F.expr(f"id div {shard_slots}").alias("shard"), F.expr(f"pmod(xxhash64({seed}L, id), {max(all_slots, 1)}L)").alias("place"))
+    drawn = _owner(drawn, sources.filter("slots > 0").select("sid", F.col("first_slot").alias("first"), "slots"), shard_slots).select("slot", "shard", "sid")
+    drawn = materialize(drawn, "mix-drawn")
+    counts = materialize(drawn.groupBy("shard", "sid").agg(F.count("*").alias("n")), "mix-counts")
+    before = _running(counts)
+    inside = Window.partitionBy("shard", "sid").orderBy("slot")  # a shard's slots at most
+    dealt = drawn.withColumn("i", F.row_number().over(inside) - 1).join(before, ["shard", "sid"]).select("slot", "shard", "sid", (F.col("i") + F.col("before")).alias("i"))
+    totals = counts.groupBy("sid").agg(F.sum("n").alias("got"))
+    dealt = _settled(dealt, sources.select("sid", "slots").join(totals, "sid", "left").select("sid", "slots", F.coalesce("got", F.lit(0).cast("long")).alias("got")), shard_slots)
+    dealt = dealt.join(sources.select("sid", "blocks"), "sid").select("slot", "shard", "sid", F.expr("i div blocks").alias("pass"), permuted("pmod(i, blocks)", "blocks", f"{seed + 1}L, sid").alias("index"))
 
     pieces = placed.filter("size > 0").select("sid", "start", "size", F.explode(F.expr(f"sequence(start div {block}, (start + size - 1) div {block})")).alias("index"))
     pieces = pieces.select("sid", "index", "start", F.expr(f"greatest(index * {block}, start) - start").alias("from_word"), F.expr(f"least((index + 1) * {block}, start + size) - greatest(index * {block}, start)").alias("words"))
     taken = pieces.join(dealt, ["sid", "index"]).select("sid", "start", "pass", "from_word", "words", "shard", "slot")
-    return Mix(placed, sources, taken)
+    return Mix(placed, sources, counts, taken)
 
 
 def taken_words(m: Mix, id_col: str = "doc_id") -> DataFrame:
