@@ -75,6 +75,7 @@ class Items:
         place = np.concatenate([np.arange(len(x)) for x in all_windows]) if own else item
         order = np.argsort(seeds, kind="stable")
         self.seeds, self.item, self.place = seeds[order], item[order].astype(np.int32), place[order].astype(np.int32)
+        self.sizes = np.array([len(w) for w in self.words], np.int64)
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
         self.filter[self._low(self.seeds)] = True
 
@@ -93,15 +94,25 @@ class Items:
         at, lo, n = at[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
         if not len(at):
             return
+        # tiles can't cover more words than an item's matched windows hold: most items go by a count, before any match is written out
+        runs = np.unique(np.stack([lo, n]), axis=1)
+        each = np.repeat(runs[0], runs[1]) + np.arange(runs[1].sum()) - np.repeat(np.cumsum(runs[1]) - runs[1], runs[1])
+        hopeful = np.bincount(self.item[each], minlength=len(self.ids)) * MATCH >= threshold * self.sizes
+        if not hopeful.any():
+            return
+        wanted = np.zeros(len(self.seeds) + 1, np.int64)
+        wanted[1 + each[hopeful[self.item[each]]]] = 1
+        upto = np.cumsum(wanted)
+        some = upto[lo + n] > upto[lo]
+        at, lo, n = at[some], lo[some], n[some]
         p = np.repeat(at, n)
         k = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        p, k = p[wanted[k + 1] > 0], k[wanted[k + 1] > 0]
         order = np.argsort(self.item[k], kind="stable")
         p, k = p[order], k[order]
         for i in np.split(np.arange(len(k)), np.flatnonzero(np.diff(self.item[k])) + 1):
             item = int(self.item[k[i[0]]])
             ref = self.words[item]
-            if len(np.unique(self.place[k[i]])) * MATCH < threshold * len(ref):
-                continue  # tiles can't cover more words than the item's matched windows hold
             t = tiles(w, ref, p[i], self.place[k[i]])
             covered = sum(size for _, _, size in t)
             if covered >= threshold * len(ref):

@@ -38,17 +38,15 @@ def tiled(doc, item, match=5):
 
 def test_tiles_equal_brute_force():
     rnd = random.Random(2)
-    for _ in range(60):
+    for _ in range(200):
         item = rnd.choices("abcdefghij", k=rnd.randrange(5, 40))
         parts = [item[i : i + 9] for i in range(0, len(item), 9)]
         rnd.shuffle(parts)
         doc = rnd.choices("abcdefghij", k=rnd.randrange(30)) + sum(parts[: rnd.randrange(1, 5)], []) + rnd.choices("abcdefghij", k=5)
         items = decontamination.Items([7], [" ".join(item)])
         got = {r[0]: r[2] / r[1] for r in items.found(" ".join(doc), 0.5)}
-        want = tiled(doc, item)
-        # of several longest runs any may be marked first, which can shift what is left for the later ones
-        assert (7 in got) == (want >= 0.5) or abs(want - 0.5) < 0.15
-        assert abs(got.get(7, want) - want) < 0.3
+        want = tiled(doc, item)  # of several longest runs both mark the first in the document, then the first in the item
+        assert got == ({7: want} if want >= 0.5 else {})
 
 
 def test_leaks(spark):
