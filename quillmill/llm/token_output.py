@@ -36,9 +36,16 @@ _LONGS = pa.list_(pa.int64())
 _ARROW = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("start", pa.int64()), ("n", pa.int64()), ("doc_ids", _LONGS), ("starts", _LONGS), ("lengths", _LONGS), ("ids", pa.binary())])
 
 
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(64)]
+
+
+def packed(ids: list[int]) -> bytes:
+    return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else np.array(ids, "<u4").tobytes()
+
+
 @lru_cache(maxsize=1)
 def encoder(path: str) -> Vocabulary:
-    return Vocabulary(path, lambda ids: struct.pack(f"<{len(ids)}I", *ids), b"".join)
+    return Vocabulary(path, packed, b"".join)
 
 
 def write(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_id", text_col: str = "text") -> None:

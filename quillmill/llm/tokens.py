@@ -97,23 +97,21 @@ class Vocabulary:
     def values(self, texts: list[str | None]) -> list:
         """One value for each text; null counts as empty."""
         out: list = [None] * len(texts)
-        value_of = self.known.__getitem__
         for i, text in enumerate(texts):
             text = text or ""
             if self.chunks is None or "<|" in text or not _PLAIN.fullmatch(text):
                 out[i] = self._encode([text])[0]
                 continue
             chunks = self.chunks(text)
-            try:
-                out[i] = self.total(map(value_of, chunks))
-            except KeyError:
+            new, long = set(chunks).difference(self.known), ()
+            if new:
                 if len(self.known) > REMEMBERED:
                     self.known = dict(islice(self.known.items(), FIRST))
-                    value_of = self.known.__getitem__
-                long = self._learn({c for c in chunks if c not in self.known})
-                out[i] = self.total(map(value_of, chunks))
-                for c in long:
-                    del self.known[c]
+                    new = set(chunks).difference(self.known)
+                long = self._learn(new)
+            out[i] = self.total(map(self.known.__getitem__, chunks))
+            for c in long:
+                del self.known[c]
         return out
 
 
