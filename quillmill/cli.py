@@ -25,6 +25,7 @@ def build_parser() -> argparse.ArgumentParser:
     convert.add_argument("--images-dir")
     convert.add_argument("--audit", action="store_true", help="print the audit and the worst pages")
     convert.add_argument("--export-json")
+    convert.add_argument("--files", action="store_true", help="write a Markdown file for each document, not Parquet")
     audit = sub.add_parser("audit", help="Markdown against extracted tables")
     audit.add_argument("input")
     audit.add_argument("markdown")
@@ -58,7 +59,7 @@ def options_of(args: argparse.Namespace) -> config.Options:
 
 
 def load(spark, path: str, options: config.Options):
-    """The corpus under path; tables of words, glyphs and a second reading only where they are there."""
+    """The reading under path; tables of words, glyphs and OCR only where they are there. None if there is no reading."""
     from pyspark.errors import AnalysisException
 
     from quillmill.plans.convert import Corpus
@@ -72,8 +73,20 @@ def load(spark, path: str, options: config.Options):
         except AnalysisException:
             return None
 
-    need = {n: read_table(spark, path, n, page_range=pages) for n in ("items", "pages", "tables", "cells")}
-    return Corpus(**need, **{n: maybe(n) for n in ("words", "glyphs", "ocr_tables", "ocr_cells")})
+    need = {n: maybe(n) for n in ("items", "pages", "tables", "cells")}
+    if None in need.values():
+        return None
+    return Corpus(**need, **{n: maybe(n) for n in ("words", "glyphs", "ocr_tables", "ocr_cells", "ocr_items")})
+
+
+def load_readings(spark, path: str, options: config.Options):
+    """The readings under path by backend, each in a folder of its name, or the one reading there; and the reading by OCR, in the folder `ocr`, or None."""
+    found = {b: load(spark, f"{path}/{b}", options) for b in config.BACKENDS}
+    found = {b: c for b, c in found.items() if c is not None}
+    if not found:
+        one = load(spark, path, options)
+        found = {config.BACKENDS[0] if options.pdf_backend == "auto" else options.pdf_backend: one} if one is not None else {}
+    return found, load(spark, f"{path}/ocr", options)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -96,12 +109,20 @@ def main(argv: list[str] | None = None) -> int:
     if not source:
         print("no input, and FIN_REPORT_PDF isn't set", file=sys.stderr)
         return 2
-    corpus = load(spark, source, options)
+    readings, ocr = load_readings(spark, source, options)
+    if not readings or options.pdf_backend not in ("auto", *readings):
+        print(f"no extracted tables under {source}" + f" by {options.pdf_backend}" * bool(readings), file=sys.stderr)
+        return 2
+    corpus = plan.escalate(plan.choose_backend(readings, options.pdf_backend), ocr, options.ocr_mode)
+    say = (lambda *_: None) if args.quiet else (lambda *x: print(*x, file=sys.stderr))
+    say("backends:", *readings, "ocr:", options.ocr_mode if ocr is not None else "no reading")
     by_page = corpus.items.filter("text IS NOT NULL AND page_no IS NOT NULL").groupBy("doc_id", "page_no").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("item_no", "text"))), lambda x: x["text"]), "\n").alias("text"))
     if args.command == "convert":
         fixed = plan.repair(corpus, options)
         docs = plan.markdown.clean(plan.export(fixed), remove_images=options.image_mode == "placeholder")
-        io.write_markdown(docs, args.output or f"{source.rstrip('/')}.md")
+        target = args.output or f"{source.rstrip('/')}.md"
+        io.write_markdown(docs, target, args.files)
+        say("written:", target)
         if args.export_json:
             io.write_json(io.document_json(fixed.items, fixed.tables, fixed.cells), args.export_json)
         if not args.audit:

@@ -70,6 +70,12 @@ def heading_counts(items: DataFrame) -> DataFrame:
     return items.groupBy("doc_id").agg(F.sum(F.col("label").isin("title", "section_header").cast("long")).alias("heading_count_pdf"))
 
 
+def spaced_cells(tables: DataFrame, cells: DataFrame) -> DataFrame:
+    """(doc_id, total_table_cells, spaced_table_cells), without tables of contents."""
+    real = cells.join(toc_like(tables, cells).filter("toc_like").select("doc_id", "table_no"), ["doc_id", "table_no"], "left_anti")
+    return real.groupBy("doc_id").agg(F.count("*").alias("total_table_cells"), F.sum(is_spaced(F.coalesce("text", F.lit(""))).cast("long")).alias("spaced_table_cells"))
+
+
 def document_metrics(docs: DataFrame, items: DataFrame, tables: DataFrame, cells: DataFrame) -> DataFrame:
     """One row of the 15 audit metrics per document. docs: doc_id, text, markdown; items: doc_id, kind, label, text; tables and cells as in operators.tables."""
     ref = recall(docs.select("doc_id", F.col("text").alias("reference"), F.col("markdown").alias("candidate")), "doc_id")
@@ -79,8 +85,7 @@ def document_metrics(docs: DataFrame, items: DataFrame, tables: DataFrame, cells
     n = lambda cond: F.sum(cond.cast("long"))
     text_items = said.groupBy("doc_id").agg(F.count("*").alias("total_text_items"), n(is_multi_space(F.col("text"))).alias("multi_space_text_items"), n(needs_spacing_fix(F.col("text"))).alias("spaced_text_items"))
     headings = heading_counts(items)
-    real = cells.join(toc_like(tables, cells).filter("toc_like").select("doc_id", "table_no"), ["doc_id", "table_no"], "left_anti")
-    spaced = real.groupBy("doc_id").agg(F.count("*").alias("total_table_cells"), n(is_spaced(F.coalesce("text", F.lit("")))).alias("spaced_table_cells"))
+    spaced = spaced_cells(tables, cells)
     out = reduce(lambda a, b: a.join(b, "doc_id", "left"), [table_stats(tables, cells), headings, text_items, spaced], ref.join(own, "doc_id"))
     order = ["token_coverage", "numeric_recall", "date_recall", "table_count_pdf", "table_count_md", "table_cells_pdf", "heading_count_pdf", "heading_count_md", "pdf_text_length", "md_text_length", "spaced_table_cells", "total_table_cells", "spaced_text_items", "multi_space_text_items", "total_text_items"]
     return out.select("doc_id", *[F.coalesce(c, F.lit(0)).alias(c) if c.endswith(("pdf", "cells", "items")) else F.col(c) for c in order])

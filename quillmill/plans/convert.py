@@ -3,20 +3,21 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmill.functions.geometry import to_top_left
 from quillmill.functions.text import normalize_item
-from quillmill.operators import glyphs, markdown, pictures, select, tables
+from quillmill.operators import audit, glyphs, markdown, pictures, select, tables
 from quillmill.sources.config import EXPORT_LABELS, Options
 from quillmill.sources.io import staged
 
 
 @dataclass(frozen=True)
 class Corpus:
-    """The tables of extracted documents; those of a second reading may be missing."""
+    """The tables of extracted documents; those of a second reading, by OCR, may be missing. Its picture items hold the texts that OCR found in pictures."""
 
     items: DataFrame
     pages: DataFrame
@@ -26,6 +27,61 @@ class Corpus:
     glyphs: DataFrame | None = None
     ocr_tables: DataFrame | None = None
     ocr_cells: DataFrame | None = None
+    ocr_items: DataFrame | None = None
+
+
+_TABLES = ("items", "pages", "tables", "cells", "words", "glyphs", "ocr_tables", "ocr_cells", "ocr_items")
+
+
+def _chosen(readings: dict[str, Corpus], choice: DataFrame) -> Corpus:
+    """The documents' tables, each document's from the reading that choice (doc_id, reading) names."""
+
+    def of(table: str) -> DataFrame | None:
+        parts = [getattr(c, table).join(choice.filter(F.col("reading") == name).select("doc_id"), "doc_id", "left_semi") for name, c in readings.items() if getattr(c, table) is not None]
+        return reduce(DataFrame.unionByName, parts) if parts else None
+
+    return Corpus(**{t: of(t) for t in _TABLES})
+
+
+def probe(c: Corpus) -> DataFrame:
+    """(doc_id, markdown) of each document's page 1, unrepaired, as backends are judged by it."""
+    first = lambda df: df.filter("page_no = 1")
+    return export(replace(c, items=first(c.items), tables=first(c.tables)))
+
+
+def choose_backend(readings: dict[str, Corpus], wanted: str = "auto") -> Corpus:
+    """Of the readings by several backends the wanted one, or for each document that whose page 1 scores best; the first in their order among equals."""
+    if wanted != "auto":
+        return readings[wanted]
+    if len(readings) == 1:
+        return next(iter(readings.values()))
+    every = [c.items.select("doc_id").distinct().join(probe(c), "doc_id", "left").select("doc_id", F.lit(name).alias("backend"), "markdown") for name, c in readings.items()]
+    best = staged(select.best_backend(reduce(DataFrame.unionByName, every), tuple(readings)), "backends")
+    return _chosen(readings, best.select("doc_id", F.col("backend").alias("reading")))
+
+
+def measures(c: Corpus) -> DataFrame:
+    """doc_id, text_length, chars_per_page and spaced_ratio (of cells, without tables of contents), by which a second reading is asked for and judged."""
+    text = c.items.filter("kind <> 'table' AND text <> ''").groupBy("doc_id").agg(F.sum(F.length("text")).alias("text_length"))
+    n_pages = c.pages.groupBy("doc_id").agg(F.countDistinct("page_no").alias("pages"))
+    spaced = audit.spaced_cells(c.tables, c.cells)
+    every = c.items.select("doc_id").distinct()
+    for part in (text, n_pages, spaced):
+        every = every.join(part, "doc_id", "left")
+    own = every.fillna(0, ["text_length", "pages", "spaced_table_cells", "total_table_cells"])
+    return own.select("doc_id", "text_length").join(audit.ratios(own), "doc_id")
+
+
+def escalate(plain: Corpus, ocr: Corpus | None, mode: str = "auto") -> Corpus:
+    """The reading to repair: that by OCR for all documents (mode on), for none (off), or for those of little text or many spaced cells where it is clearly better (auto)."""
+    if ocr is None or mode == "off":
+        return plain
+    if mode == "on":
+        return ocr
+    second = measures(ocr).select("doc_id", F.col("spaced_ratio").alias("ocr_ratio"), F.col("text_length").alias("ocr_length"))
+    both = measures(plain).withColumnRenamed("text_length", "length").join(second, "doc_id", "left")
+    decided = select.ocr_decision(both).select("doc_id", F.when(F.coalesce("kept", F.lit(False)), "ocr").otherwise("plain").alias("reading"))
+    return _chosen({"plain": plain, "ocr": ocr}, staged(decided, "readings"))
 
 
 def _boxes(rows: DataFrame, pages: DataFrame, number: Column) -> DataFrame:
@@ -63,18 +119,19 @@ def repair(c: Corpus, options: Options = Options()) -> Corpus:
     new_cells = tables.vote_currencies(staged(tables.clean_cells(new_cells), "clean-cells"))
     items = pictures.remove_axis_texts_inside_pictures(pictures.remove_dates_inside_pictures(c.items, c.pages), c.pages)
     if c.words is not None:
-        items = add_captions(items, c.pages, c.words)
+        items = add_captions(items, c.pages, c.words, c.ocr_items if options.kpi_ocr else None)
     items = items.withColumn("text", F.when((F.col("kind") == "table") | F.col("text").isNull(), F.col("text")).otherwise(normalize_item(F.col("text"))))
     return replace(c, tables=new_tables, cells=staged(new_cells, "voted-cells"), items=staged(items, "normal-items"))
 
 
-def add_captions(items: DataFrame, pages: DataFrame, words: DataFrame) -> DataFrame:
-    """Key figures in pictures become caption items right after them."""
+def add_captions(items: DataFrame, pages: DataFrame, words: DataFrame, ocr_items: DataFrame | None = None) -> DataFrame:
+    """Key figures in pictures become caption items right after them; where the words in a picture are none, what OCR read there may be."""
     pics = _boxes(items.filter("kind = 'picture' AND page_no IS NOT NULL AND bbox IS NOT NULL"), pages, F.col("item_no"))
     read = pictures.picture_texts(pics.withColumn("bbox", F.col("box")), words)
     said = items.filter("text IS NOT NULL").groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("item_no", "text"))), lambda x: x["text"]), "\n\n").alias("text"))
     every = items.select("doc_id").distinct().join(said, "doc_id", "left")
-    found = pictures.kpi_captions(pics.select("doc_id", "item_no", F.coalesce("n_captions", F.lit(0)).alias("n_captions")), read, every)
+    second = ocr_items.filter("kind = 'picture' AND text <> ''").select("doc_id", "item_no", "text") if ocr_items is not None else None
+    found = pictures.kpi_captions(pics.select("doc_id", "item_no", F.coalesce("n_captions", F.lit(0)).alias("n_captions")), read, every, second)
     captions = items.join(found, ["doc_id", "item_no"]).withColumn("kind", F.lit("text")).withColumn("label", F.lit("caption")).withColumn("text", F.col("caption")).select(*items.columns)
     return items.unionByName(captions)
 
@@ -107,3 +164,8 @@ def export(c: Corpus, labels: tuple[str, ...] = EXPORT_LABELS, page_break: str =
 def convert(c: Corpus, options: Options = Options()) -> DataFrame:
     """(doc_id, markdown) of repaired and cleaned documents."""
     return markdown.clean(export(repair(c, options)), remove_images=options.image_mode == "placeholder")
+
+
+def read_and_convert(readings: dict[str, Corpus], ocr: Corpus | None = None, options: Options = Options()) -> DataFrame:
+    """The whole conversion: choose the backend, then whether OCR's reading is better, then repair, export and clean."""
+    return convert(escalate(choose_backend(readings, options.pdf_backend), ocr, options.ocr_mode), options)

@@ -56,12 +56,13 @@ def parse_bool(value: str | None, default: bool) -> bool:
 
 
 def parse_env(text: str) -> dict[str, str]:
-    """KEY=value lines; blank lines, comments and lines without = are skipped, quotes around values dropped, later keys win."""
+    """KEY=value lines; blank lines, comments and lines without a key or = are skipped, quotes around values dropped, later keys win."""
     out = {}
     for line in map(str.strip, text.splitlines()):
         if line and not line.startswith("#") and "=" in line:
             key, _, value = line.partition("=")
-            out[key.strip()] = value.strip().strip('"').strip("'")
+            if key.strip():
+                out[key.strip()] = value.strip().strip('"').strip("'")
     return out
 
 
@@ -77,7 +78,9 @@ def env_into_environ(path: str | Path = ".env") -> None:
 
 
 def kpi_ocr_enabled(path: str | Path = ".env") -> bool:
-    return parse_bool(os.environ.get("KPI_OCR", load_env(path).get("KPI_OCR")), True)
+    """Of the environment, or of the file where that has no or a blank value."""
+    own = os.environ.get("KPI_OCR", "")
+    return parse_bool(own if own.strip() else load_env(path).get("KPI_OCR"), True)
 
 
 def parse_page_range(text: str) -> tuple[int, int]:

@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,8 +46,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def read_markdown(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file: path, markdown."""
-    return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("markdown"))
+    """One row per document: path, markdown. path: what write_markdown wrote as Parquet (its ids are the paths), or Markdown files."""
+    try:
+        found = spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
+        return found.select(F.col("doc_id").cast("string").alias("path"), "markdown")
+    except AnalysisException:
+        return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("markdown"))
 
 
 def extract(spark: SparkSession, path: str, extractor: Extractor, name: str) -> DataFrame:
@@ -63,9 +68,13 @@ def extract(spark: SparkSession, path: str, extractor: Extractor, name: str) ->
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, schema)
 
 
-def write_markdown(docs: DataFrame, path: str) -> None:
-    """Text files, one row a document, doc_id in the name of its folder."""
-    docs.select("doc_id", F.col("markdown").alias("value")).repartition("doc_id").write.partitionBy("doc_id").option("lineSep", "\x00").text(path)
+def write_markdown(docs: DataFrame, path: str, files: bool = False) -> None:
+    """Parquet of (doc_id, markdown), in files of many documents; or, on request and for few documents, a text file for each, in a folder of its id."""
+    out = docs.select("doc_id", "markdown")
+    if files:
+        out.withColumnRenamed("markdown", "value").repartition("doc_id").write.partitionBy("doc_id").option("lineSep", "\x00").text(path)
+    else:
+        out.write.parquet(path)
 
 
 def document_json(items: DataFrame, tables: DataFrame, cells: DataFrame) -> DataFrame:

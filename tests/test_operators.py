@@ -172,7 +172,16 @@ def test_select(spark):
     assert select.spacing_pages(c.items, c.cells, c.tables).first()["pages"] == [1]
 
 
-def test_config(tmp_path):
+def test_config(tmp_path, monkeypatch):
+    assert config.parse_env("=x\n = y\nA=1") == {"A": "1"}
+    (tmp_path / ".env").write_text("KPI_OCR=off\n=x")
+    for value, want in ((None, False), (" ", False), ("on", True), ("off", False)):
+        monkeypatch.delenv("KPI_OCR", raising=False)
+        if value is not None:
+            monkeypatch.setenv("KPI_OCR", value)
+        assert config.kpi_ocr_enabled(tmp_path / ".env") is want
+    monkeypatch.setenv("KPI_OCR", "on")
+    config.env_into_environ(tmp_path / ".env")
     assert config.parse_languages("ron+eng, ,deu") == ["ron", "eng", "deu"] and config.parse_bool(" ON ", False) and not config.parse_bool("off", True) and config.parse_bool("?", True)
     assert config.parse_env("# c\nA=1\nB = 'x=y'\nA=\"2\"\nno") == {"A": "2", "B": "x=y"} and config.parse_page_range("2:3") == (2, 3)
     for bad in ("1", "0:3", "3:2", "a:b", "1:2:3"):
@@ -186,18 +195,44 @@ def test_config(tmp_path):
     assert (cli.options_of(args).ocr_mode, cli.options_of(args).spacing_fix, cli.options_of(args).page_range) == ("on", "pymupdf", (1, 4))
 
 
-def test_command_line(spark, tmp_path):
+def test_command_line(spark, tmp_path, capsys):
     c = corpus(spark)
     for name in ("items", "pages", "tables", "cells", "words", "glyphs"):
         getattr(c, name).write.parquet(f"{tmp_path}/in/{name}")
     assert cli.main(["convert", f"{tmp_path}/in", "-o", f"{tmp_path}/out", "--export-json", f"{tmp_path}/json", "--audit"]) == 0
-    assert "financiar bun" in io.read_markdown(spark, f"{tmp_path}/out/doc_id=1").first()["markdown"]
+    assert "financiar bun" in io.read_markdown(spark, f"{tmp_path}/out").first()["markdown"]
     assert spark.read.text(f"{tmp_path}/json").first()[0].startswith('{"doc_id":1,"items":[')
-    assert cli.main(["quality", f"{tmp_path}/out/doc_id=1"]) == 0
+    assert cli.main(["quality", f"{tmp_path}/out"]) == 0 and "1 score=" in capsys.readouterr().out
+    assert cli.main(["audit", f"{tmp_path}/in", f"{tmp_path}/out", "--per-page"]) == 0
+    assert cli.main(["convert", f"{tmp_path}/none"]) == 2 and cli.main(["convert", f"{tmp_path}/in", "--page-range", "2:2", "-o", f"{tmp_path}/two", "--files", "--quiet"]) == 0
+    assert "Urmeaza" in io.read_markdown(spark, f"{tmp_path}/two/doc_id=1").first()["markdown"]
     decoded = io.extract(spark, f"{tmp_path}/in/pages", lambda path, content: [{"doc_id": 1, "page_no": len(content[:1]), "height": 2.0}], "pages")
     assert decoded.count() >= 1
 
 
+def test_choice_of_readings(spark):
+    item = lambda doc, no, text, page=1, kind="text": (doc, no, kind, kind, 0, text, page, None, 0)
+
+    def reading(items, cells=()):
+        make = lambda rows, name: spark.createDataFrame(rows, io.SCHEMAS[name])
+        docs = sorted({i[0] for i in items})
+        return convert.Corpus(make(items, "items"), make([(d, 1, 300.0) for d in docs], "pages"), make([(d, 0, 1, 1, 2) for d in docs], "tables"), make(list(cells), "cells"))
+
+    noisy = "ab\ncd\nef"
+    one = reading([item(1, 0, noisy), item(1, 1, "more", 2), item(2, 0, "A clean page."), item(3, 0, "equal")])
+    two = reading([item(1, 0, "A clean page."), item(2, 0, noisy), item(3, 0, "equal, too")])
+    best = convert.choose_backend({"docling-parse-v4": one, "pypdfium2": two})
+    assert sorted((r["doc_id"], r["text"]) for r in best.items.collect()) == [(1, "A clean page."), (2, "A clean page."), (3, "equal")]
+    assert convert.choose_backend({"docling-parse-v4": one, "pypdfium2": two}, "pypdfium2") is two and convert.choose_backend({"x": one}) is one
+
+    long = "text " * 60
+    plain = reading([item(1, 0, "short"), item(2, 0, long), item(3, 0, long), item(4, 0, "short")], [cell(3, 0, 0, 0, 0, "va l o are"), cell(3, 0, 1, 0, 1, "valoare")])
+    ocr = reading([item(1, 0, "longer by a fifth"), item(2, 0, "ocr"), item(3, 0, "ocr"), item(4, 0, "short")], [cell(3, 0, 0, 0, 0, "valoare"), cell(3, 0, 1, 0, 1, "valoare")])
+    got = {r["doc_id"]: r["text"] for r in convert.escalate(plain, ocr).items.collect()}
+    assert got == {1: "longer by a fifth", 2: long, 3: "ocr", 4: "short"}
+    assert convert.escalate(plain, ocr, "on") is ocr and convert.escalate(plain, ocr, "off") is plain and convert.escalate(plain, None) is plain
+
+
 def test_stream(spark, tmp_path):
     from quillmill.streaming import documents
 
