@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,18 +25,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests, single machine)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, one of this process, which only a master in the same process can use (tests, single machine)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = f"file://{tempfile.mkdtemp(prefix='quillmill-')}"
-        spark.conf.set("spark.checkpoint.dir", named)
-        atexit.register(shutil.rmtree, named.removeprefix("file://"), ignore_errors=True)
-    return named.rstrip("/")
+    if named:
+        return named.rstrip("/")
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    if context.applicationId not in _own_dirs:
+        _own_dirs[context.applicationId] = folder = tempfile.mkdtemp(prefix="quillmill-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return f"file://{_own_dirs[context.applicationId]}"
+
+
+def intermediates(spark: SparkSession) -> str:
+    """Where this application's intermediate tables lie; `delete` it once the results that are wanted have been written."""
+    return f"{shared_dir(spark)}/quillmill/{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark)}/quillmill/{what}-{uuid.uuid4().hex}"
+    return f"{intermediates(spark)}/{what}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, what: str) -> DataFrame:
@@ -56,6 +73,19 @@ def only(docs: DataFrame, *names: str) -> DataFrame:
     return docs.select(*[docs[f"`{n}`"] for n in names])
 
 
+# --- memory of Python workers ---------------------------------------------------------------------
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most `rows` rows, so that a task holds the Python objects of few rows at a time. After the last one, freed memory goes back to the machine, as workers live on."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call, it keeps what it keeps
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 # --- hashing of words without a Python loop over words -----------------------------------------
 
 _ODD = 0x9E3779B97F4A7C15 | 1

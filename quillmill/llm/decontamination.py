@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quillmill.llm.common import only, word_hashes
+from quillmill.llm.common import only, slices, word_hashes
 
 MATCH = 5
 BLOCK_WORDS = 2_000_000
@@ -142,7 +142,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5,
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 yield batch.filter(pa.array([next(shared.value.found(t, threshold), None) is None for t in batch.column(at).to_pylist()], pa.bool_()))
 
         out = out.mapInArrow(clean, docs.schema)
@@ -159,7 +159,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, id_col:
         shared = spark.sparkContext.broadcast(block)
 
         def probe(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 rows = [
                     (doc, item, covered / n, k, first, last)
                     for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)

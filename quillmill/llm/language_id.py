@@ -5,7 +5,8 @@ permuted (rotated) twice, the second once. A text's profile is the bundle, the s
 profiles of its learning documents, less what all languages have in common. The language of a text is the prototype of largest cosine.
 
 Defined cases: the prediction of a null text or one without a letter is `und`, score 0; so is every prediction if there is nothing to learn from. Languages of
-equal cosine: the first by name. A null doc_id is never held out and never learned from. Repeated rows each have their own result.
+equal cosine: the first by name. A null doc_id is never held out and never learned from. Repeated rows each have their own result. Very long texts are profiled whole, in pieces that
+overlap. An empty table gives an empty result. ids must be integers. Columns besides the named ones are ignored, and kept by keep_known.
 """
 
 from __future__ import annotations
@@ -19,14 +20,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import only
+from quillmill.llm.common import only, slices
 
 DIM = 512
 GRAM = 3
 _SEED = 20_11
 #: Letters from which on a text's cosine tells whether it is in a learned language; the floor of that cosine, as a share of what all learning documents but a tail reach.
 LONG, FLOOR_SHARE, FLOOR_TAIL = 100, 0.4, 0.005
-_CHUNK_CHARS, _CHUNK_DOCS = 1 << 20, 256
+_CHUNK_CHARS, _CHUNK_DOCS, _TILE = 1 << 20, 256, 1 << 13
 
 
 @lru_cache(maxsize=1)
@@ -68,11 +69,12 @@ def _bundle(texts: list[str]) -> np.ndarray:
     used = np.flatnonzero(seen)
     seen[used] = False
     place[used] = np.arange(len(used))
-    n = max(len(used), 1)
-    count = np.bincount(doc.astype(np.int64) * n + place[code], minlength=len(texts) * n).reshape(len(texts), n).astype(np.float32)
-    if not len(used):
-        return np.zeros((len(texts), DIM), np.float32)
-    return count @ (letters[0][used >> 16] * letters[1][(used >> 8) & 255] * letters[2][used & 255])
+    run, out = place[code], np.zeros((len(texts), DIM), np.float32)
+    for low in range(0, len(used), _TILE):  # distinct runs by the tile, so that texts of very many need no more memory
+        own, inside = used[low : low + _TILE], slice(None) if len(used) <= _TILE else (run >= low) & (run < low + _TILE)
+        count = np.bincount(doc[inside].astype(np.int64) * len(own) + (run[inside] - low), minlength=len(texts) * len(own))
+        out += count.reshape(len(texts), len(own)).astype(np.float32) @ (letters[0][own >> 16] * letters[1][(own >> 8) & 255] * letters[2][own & 255])
+    return out
 
 
 def profiles(texts: list[str | None]) -> np.ndarray:
@@ -120,7 +122,7 @@ def learn(docs: DataFrame, per_language: int = 4000, id_col: str = "doc_id", tex
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in slices(batches):
             names, vectors = np.array(batch.column(0).to_pylist(), object), profiles(batch.column(1).to_pylist())
             for k in set(names):
                 total[k] = total.get(k, 0) + vectors[names == k].sum(axis=0, dtype=np.float64)
@@ -140,7 +142,7 @@ def predict(docs: DataFrame, names: list[str], prototypes: np.ndarray, id_col: s
     schema = pa.schema([(id_col, pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("margin", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             vectors = profiles(texts)
             some = np.fromiter((bool(names) and any(map(str.isalpha, t or "")) for t in texts), bool, len(texts))
@@ -165,7 +167,7 @@ def least_score(docs: DataFrame, names: list[str], prototypes: np.ndarray, per_l
         return 0.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t for t in batch.column(0).to_pylist() if _is_long(t)]
             yield pa.RecordBatch.from_pydict({"score": pa.array((profiles(texts) @ prototypes.T).max(axis=1) if texts else [], pa.float64())})
 
@@ -182,7 +184,7 @@ def keep_known(docs: DataFrame, names: list[str], prototypes: np.ndarray, least:
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(at).to_pylist()
             score = (profiles(texts) @ prototypes.T).max(axis=1) if names and texts else np.zeros(len(texts))
             yield batch.filter(pa.array([bool(names) and any(map(str.isalpha, t or "")) and (x >= least or not _is_long(t)) for t, x in zip(texts, score, strict=True)], pa.bool_()))

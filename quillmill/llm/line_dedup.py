@@ -1,12 +1,13 @@
 """Lines that many documents hold are dropped from all of them but one.
 
 Two Bloom filters over the hashes of line keys, one of keys seen in a document and one of keys seen in a second, are filled by each task
-for its part of the corpus and merged segment by segment. Only keys in the second filter, suspected repeats, are shuffled: there exact
+for its part of the corpus and merged segment by segment, as a tree. Only keys in the second filter, suspected repeats, are shuffled: there exact
 128-bit digests are counted by document and the one document that keeps the line is chosen. The filters have a fixed largest size; a corpus
-that fills them only has more suspects to count, never another result.
+that fills them, which 16 bits a line do from some 17 million lines on, only has more suspects to count, never another result.
 
 Defined cases: a null or empty text is one empty line. Rows of one id are one document when holders are counted. A null id counts as one
-document, the smallest. Lines whose key is short always stay. An empty table gives an empty result.
+document, the smallest. Lines whose key is short always stay. Very long texts are split whole. An empty table gives an empty result. ids must be integers. Columns besides the
+named ones are ignored.
 """
 
 from __future__ import annotations
@@ -22,9 +23,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import materialize, only
+from quillmill.llm.common import materialize, only, slices
 
 SEGMENTS = 64
+FAN, MERGES = 64, 3
 PROBES = 3
 MAX_BITS = 1 << 28
 NO_ID = -(1 << 63)
@@ -62,7 +64,7 @@ def _fill(m: int, min_chars: int):
         from pyspark import TaskContext
 
         once, twice = np.zeros(m // 8, np.uint8), np.zeros(m // 8, np.uint8)
-        for batch in batches:
+        for batch in slices(batches, 2048):
             seen: dict[bytes, int] = {}
             for text in batch.column(0).to_pylist():
                 for d in set(line_digests(text, min_chars)):
@@ -72,7 +74,7 @@ def _fill(m: int, min_chars: int):
                 at, many = _bits(list(seen), m), np.fromiter(seen.values(), np.int64, len(seen)) > 1
                 _add(twice, at[many | _has(once, at)])
                 _add(once, at)
-        size, salt = m // 8 // SEGMENTS, TaskContext.get().partitionId() % 32
+        size, salt = m // 8 // SEGMENTS, TaskContext.get().partitionId()
         for s in range(SEGMENTS):
             a, b = once[s * size : (s + 1) * size], twice[s * size : (s + 1) * size]
             if a.any():
@@ -96,12 +98,15 @@ def twice_seen(docs: DataFrame, text_col: str, min_chars: int) -> tuple[np.ndarr
     m = min(MAX_BITS, max(1 << 16, 1 << (16 * lines).bit_length()))
     schema = "segment int, salt int, once binary, twice binary"
     parts = texts.mapInArrow(_fill(m, min_chars), schema)
-    for keys in (["segment", "salt"], ["segment"]):
-        parts = parts.groupBy(*keys).applyInPandas(_merge, schema)
-    out, size = np.zeros(m // 8, np.uint8), m // 8 // SEGMENTS
-    for row in parts.select("segment", "twice").toLocalIterator():
-        out[row["segment"] * size : (row["segment"] + 1) * size] = np.frombuffer(zlib.decompress(row["twice"]), np.uint8)
-    return out, m
+    for _ in range(MERGES):  # a tree: a group holds a segment of FAN parts at most, up to FAN ** MERGES tasks
+        parts = parts.withColumn("salt", F.expr(f"salt div {FAN}").cast("int")).groupBy("segment", "salt").applyInPandas(_merge, schema)
+    (once, twice), size = np.zeros((2, m // 8), np.uint8), m // 8 // SEGMENTS
+    for row in parts.select("segment", "once", "twice").toLocalIterator():
+        at = slice(row["segment"] * size, (row["segment"] + 1) * size)
+        a, b = (np.frombuffer(zlib.decompress(row[k]), np.uint8) for k in ("once", "twice"))
+        twice[at] |= b | (once[at] & a)
+        once[at] |= a
+    return twice, m
 
 
 def drop_repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, keep_text: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -116,7 +121,7 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3,
     schema = pa.schema([("id", pa.int64()), ("text", pa.string()), ("n_lines", pa.int64()), ("sha", pa.string()), ("suspects", pa.list_(pa.binary()))])
 
     def suspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             digests = [line_digests(t, min_chars) for t in texts]
             distinct = list({d for row in digests for d in row if d})
@@ -124,9 +129,7 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3,
             rows = [sorted({d for d in row if d in found}) for row in digests]
             sha = [None if s else hashlib.sha256((t or "").encode("utf-8", "surrogatepass")).hexdigest() for s, t in zip(rows, texts, strict=True)]
             kept = [t if keep_text or s else None for s, t in zip(rows, texts, strict=True)]
-            for i in range(0, len(ids), 500):
-                j = slice(i, i + 500)
-                yield pa.RecordBatch.from_pydict({"id": ids[j], "text": kept[j], "n_lines": [len(r) for r in digests[j]], "sha": sha[j], "suspects": rows[j]}, schema=schema)
+            yield pa.RecordBatch.from_pydict({"id": ids, "text": kept, "n_lines": [len(r) for r in digests], "sha": sha, "suspects": rows}, schema=schema)
 
     source = only(docs, id_col, text_col).toDF("id", "text").withColumn("id", F.coalesce("id", F.lit(NO_ID)))
     marked = materialize(source.mapInArrow(suspect, "id long, text string, n_lines long, sha string, suspects array<binary>"), "line-dedup")
@@ -137,7 +140,7 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3,
     arrow = pa.schema([(id_col, pa.int64()), ("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("kept_sha256", pa.string())] + [("text", pa.string())] * keep_text)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for r in batch.to_pylist():
                 text, dropped, sha = r["text"], 0, r["sha"]

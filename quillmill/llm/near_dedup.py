@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import materialize, mix64, only, shingle_hashes, word_hashes
+from quillmill.llm.common import materialize, mix64, only, shingle_hashes, slices, word_hashes
 
 WORDS = 5
 CHUNK = 512
@@ -88,7 +88,7 @@ def _digest(items: np.ndarray) -> tuple[int, int]:
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("id", pa.int64()), ("row", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bands", pa.list_(pa.int64()))])
-    for batch in batches:
+    for batch in slices(batches):
         rows = []
         for doc, text, row in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
             items = regions(text)
@@ -99,12 +99,10 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("items", pa.list_(pa.int64()))])
-    for batch in batches:
-        texts = batch.column(0).to_pylist()
-        for i in range(0, len(texts), 64):
-            items = [regions(t) for t in texts[i : i + 64]]
-            d = [_digest(x) for x in items]
-            yield pa.RecordBatch.from_pydict({"d1": [x[0] for x in d], "d2": [x[1] for x in d], "items": [x.view(np.int64) for x in items]}, schema=schema)
+    for batch in slices(batches, 64):
+        items = [regions(t) for t in batch.column(0).to_pylist()]
+        d = [_digest(x) for x in items]
+        yield pa.RecordBatch.from_pydict({"d1": [x[0] for x in d], "d2": [x[1] for x in d], "items": [x.view(np.int64) for x in items]}, schema=schema)
 
 
 def components(links: DataFrame) -> DataFrame:

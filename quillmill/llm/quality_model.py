@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import materialize, mix64, only, prefix_hashes, word_hashes
+from quillmill.llm.common import materialize, mix64, only, prefix_hashes, slices, word_hashes
 
 HASHED = 1 << 18
 #: Word beginnings, in bytes, that are features besides whole words.
@@ -146,7 +146,7 @@ def _telling(sampled: DataFrame, models: list[tuple], totals: list[float], n: in
     schema = pa.schema([(c, pa.int64()) for c in ("column", "n", *names)])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 2048):
             votes, words = batch.column(0).to_pylist(), [_unpack(w) for w in batch.column(1).to_pylist()]
             if not votes:
                 continue
@@ -199,7 +199,7 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, sample_docs: int
     schema = pa.schema([("id", pa.int64()), ("votes", pa.string()), ("words", pa.binary())])
 
     def watch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             votes, words = [], []
             for text, wanted in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 v, w = look(text)
@@ -231,7 +231,7 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, sample_docs: int
     wanted = spark.sparkContext.broadcast(tells.any(axis=0))
 
     def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             words = [_unpack(w) for w in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([w[wanted.value[w]].tobytes() for w in words], pa.binary())], names=["votes", "words"])
 
@@ -242,7 +242,7 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, sample_docs: int
     out_schema = pa.schema([(id_col, pa.int64()), ("p_quality", pa.float64()), ("p_toxic", pa.float64()), ("votes", pa.string())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             p, seen_votes = np.zeros((batch.num_rows, 2)), []
             for k, text in enumerate(batch.column(1).to_pylist()):
                 votes, words = look(text)

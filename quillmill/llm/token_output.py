@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmill.llm import id_coder
-from quillmill.llm.common import only
+from quillmill.llm.common import only, slices
 from quillmill.llm.tokens import Vocabulary
 
 #: Ids after which a segment is closed.
@@ -74,16 +74,14 @@ def _segments(tokenizer: str):
             row = [[part], [segment], [start], [size], [doc_ids], [np.cumsum(lengths) - lengths], [lengths], [b"".join(held)]]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, _ARROW.types, strict=True)], schema=_ARROW)
 
-        for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                rows = batch.slice(i, 256)
-                for doc, value in zip(rows.column(0).to_pylist(), model.values(rows.column(1).to_pylist()), strict=True):
-                    doc_ids.append(doc)
-                    held.append(value + end)
-                    size += len(value) // 4 + 1
-                    if size >= SEGMENT_IDS:
-                        yield close()
-                        segment, start, doc_ids, held, size = segment + 1, start + size, [], [], 0
+        for rows in slices(batches):
+            for doc, value in zip(rows.column(0).to_pylist(), model.values(rows.column(1).to_pylist()), strict=True):
+                doc_ids.append(doc)
+                held.append(value + end)
+                size += len(value) // 4 + 1
+                if size >= SEGMENT_IDS:
+                    yield close()
+                    segment, start, doc_ids, held, size = segment + 1, start + size, [], [], 0
         if doc_ids:
             yield close()
 
