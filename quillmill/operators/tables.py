@@ -6,6 +6,8 @@ the order of the cells in their table; table_no that of the tables in their docu
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +30,12 @@ def clean_cells(cells: DataFrame) -> DataFrame:
     return cells.withColumn("text", clean_cell(F.col("text")))
 
 
+def changes(rows: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(doc_id, changed): how many rows' texts a step that keeps the rows changes, for each document that has any."""
+    after = step(rows.withColumn("_before", F.col("text")))
+    return after.groupBy("doc_id").agg(F.count_if(~F.col("text").eqNullSafe(F.col("_before"))).alias("changed"))
+
+
 def suspect_cells(cells: DataFrame) -> DataFrame:
     """The number of cells per document whose cleaned number is broken."""
     return cells.groupBy("doc_id").agg(F.sum(let(clean_cell(F.coalesce("text", F.lit(""))), is_suspect).cast("long")).alias("suspect_cells"))

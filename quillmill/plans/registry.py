@@ -381,16 +381,60 @@ def picture_axis_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pictures.remove_axis_texts_inside_pictures(*_items(spark, sf_dir)).select("doc_id", "item_no")
 
 
+def _set_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names set glyph by glyph, two words a line, without blanks but with gaps: doc_id, w (word), i (glyph), word, ch and its box."""
+    words = F.split(F.trim("p_name"), " +")
+    g = _docs(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc_id"), F.posexplode(words).alias("w", "word"))
+    before = F.sum(F.length("word") * 6 + 5).over(Window.partitionBy("doc_id", F.floor(F.col("w") / 2)).orderBy("w")) - F.length("word") * 6
+    g = g.withColumn("x", before).select("doc_id", "w", "word", "x", F.posexplode(F.filter(F.split("word", ""), lambda c: c != "")).alias("i", "ch"))
+    x, y = F.col("x") + F.col("i") * 6, F.floor(F.col("w") / 2) * 20
+    edges = {"x0": x, "y0": y + F.col("i") % 2, "x1": x + 5.5, "y1": y + 10}
+    return g.select("doc_id", "w", "i", "word", "ch", *[v.cast("double").alias(k) for k, v in edges.items()])
+
+
 @query("SELECT p_partkey AS doc_id, trim(p_name) AS text FROM part")
 def glyph_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part names set glyph by glyph, two words a line, without blanks but with gaps; read back."""
-    words = F.split(F.trim("p_name"), " +")
-    g = _docs(spark, sf_dir, "part").select("p_partkey", F.posexplode(words).alias("w", "word"))
-    before = F.sum(F.length("word") * 6 + 5).over(Window.partitionBy("p_partkey", F.floor(F.col("w") / 2)).orderBy("w")) - F.length("word") * 6
-    g = g.withColumn("x", before).select("p_partkey", "w", "x", F.posexplode(F.filter(F.split("word", ""), lambda c: c != "")).alias("i", "ch"))
-    y = F.floor(F.col("w") / 2) * 20
-    piece = F.struct(F.col("ch").alias("text"), (F.col("x") + F.col("i") * 6).cast("double").alias("x0"), (y + F.col("i") % 2).cast("double").alias("y0"), (F.col("x") + F.col("i") * 6 + 5.5).cast("double").alias("x1"), (y + 10).cast("double").alias("y1"))
-    return g.groupBy(F.col("p_partkey").alias("doc_id")).agg(F.collect_list(piece).alias("p")).select("doc_id", glyphs.read_glyphs(F.col("p")).alias("text"))
+    """Glyphs read back."""
+    piece = F.struct(F.col("ch").alias("text"), "x0", "y0", "x1", "y1")
+    return _set_type(spark, sf_dir).groupBy("doc_id").agg(F.collect_list(piece).alias("p")).select("doc_id", glyphs.read_glyphs(F.col("p")).alias("text"))
+
+
+def _spaced_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A box for each part, whose text, for every third one, has blanks between all letters; the page's words and glyphs."""
+    name = F.trim("p_name")
+    box = F.struct(F.lit(-10.0).alias("l"), F.lit(-10.0).alias("t"), F.lit(2000.0).alias("r"), F.lit(500.0).alias("b"), F.lit("TOPLEFT").alias("origin"))
+    text = F.when(F.col("p_partkey") % 3 == 0, F.array_join(F.filter(F.split(name, ""), lambda c: c != ""), " ")).otherwise(name)
+    boxes = _docs(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc_id"), F.lit(0).alias("item_no"), F.lit(1).alias("page_no"), box.alias("box"), text.alias("text"))
+    g = _set_type(spark, sf_dir).withColumn("page_no", F.lit(1))
+    edges = [F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1")]
+    words = g.groupBy("doc_id", "page_no", "w").agg(F.first("word").alias("text"), *edges)
+    words = words.select("doc_id", "page_no", F.lit(0).alias("block_no"), F.floor(F.col("w") / 2).cast("int").alias("line_no"), F.col("w").alias("word_no"), "text", "x0", "y0", "x1", "y1")
+    return boxes, words, g.select("doc_id", "page_no", (F.col("w") * 1000 + F.col("i")).alias("glyph_no"), "ch", "x0", "y0", "x1", "y1")
+
+
+_REPAIRED = "SELECT p_partkey AS doc_id, trim(p_name) AS text, p_partkey % 3 = 0 AS fixed FROM part"
+
+
+@query(_REPAIRED)
+def text_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return glyphs.repair(*_spaced_parts(spark, sf_dir), table_mode=False).select("doc_id", "text", "fixed")
+
+
+@query(_REPAIRED)
+def cell_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return glyphs.repair(*_spaced_parts(spark, sf_dir), table_mode=True).select("doc_id", "text", "fixed")
+
+
+@query(_REPAIRED)
+def repair_by_glyphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return glyphs.repair_by_cells(*_spaced_parts(spark, sf_dir), table_mode=False).select("doc_id", "text", "fixed")
+
+
+@query(f"SELECT doc_id, sum((text <> clean)::INT)::BIGINT AS changed FROM ({views.CELLS}) GROUP BY doc_id")
+def cell_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many cells of each document cleaning changes."""
+    before = views.of(spark, sf_dir, views.CELLS)
+    return tables.changes(before, tables.clean_cells)
 
 
 @query("""
