@@ -1,8 +1,8 @@
 """Language identification by hyperdimensional profiles.
 
 Every letter has a random vector of +1 and -1. A run of three letters is bound into one vector: the product of its letters' vectors, the first
-permuted (rotated) twice, the second once. A text's profile is the bundle, the sum, of its runs' vectors; a language's prototype is the sum of the normalised
-profiles of its learning documents, less what all languages have in common. The language of a text is the prototype of largest cosine.
+permuted (rotated) twice, the second once. A text's profile is the bundle, the sum, of its runs' vectors; a language's prototype is the normalised sum of the normalised
+profiles of its learning documents. The language of a text is the prototype of largest cosine.
 
 Defined cases: the prediction of a null text or one without a letter is `und`, score 0; so is every prediction if there is nothing to learn from. Languages of
 equal cosine: the first by name. A null doc_id is never held out and never learned from. Repeated rows each have their own result. Very long texts are profiled whole, in pieces that

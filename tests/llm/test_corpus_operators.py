@@ -156,6 +156,45 @@ def test_profile_is_the_bundle_of_bound_letters():
     assert np.allclose(language_id.profiles(["aBc -1 De"])[0], want / np.linalg.norm(want), atol=1e-6)
 
 
+def test_language_predictions_equal_brute_force(spark, small_docs):
+    import zlib
+
+    import numpy as np
+
+    letters, symbols = language_id._letters(), language_id._symbols()
+
+    def profile(text):
+        out, run = np.zeros(language_id.DIM), []
+        for ch in f" {(text or '').lower()} ":
+            if symbols[ord(ch)] or not run or run[-1]:
+                run.append(symbols[ord(ch)])
+        for a, b, c in zip(run, run[1:], run[2:], strict=False):
+            if b:
+                out += letters[0][a] * letters[1][b] * letters[2][c]
+        return out / (np.linalg.norm(out) or 1)
+
+    docs = rows(small_docs)
+    own = {r["doc_id"]: profile(r["text"]) for r in docs}
+    learned = defaultdict(lambda: np.zeros(language_id.DIM))
+    for r in docs:
+        if r["lang"] is not None and r["text"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2:
+            learned[r["lang"]] += own[r["doc_id"]]
+    names = sorted(learned)
+    prototypes = np.array([learned[n] / np.linalg.norm(learned[n]) for n in names])
+    got_names, got_prototypes = language_id.learn(small_docs, per_language=10**9)
+    assert got_names == names and np.allclose(got_prototypes, prototypes, atol=1e-5)
+    found = {r["doc_id"]: r for r in rows(language_id.predict(small_docs, names, prototypes))}
+    assert len(found) == len(docs) and len({r["lang_pred"] for r in found.values()}) > 3
+    for r in docs:
+        cos, g = prototypes @ own[r["doc_id"]], found[r["doc_id"]]
+        if not any(map(str.isalpha, r["text"] or "")):
+            assert (g["lang_pred"], g["score"]) == ("und", 0.0)
+        else:
+            first, second = np.sort(cos)[::-1][:2]
+            assert abs(g["score"] - max(first, 0)) < 1e-5 and abs(g["margin"] - (first - second)) < 1e-5
+            assert g["lang_pred"] == names[cos.argmax()] or first - second < 1e-5
+
+
 def level_targets(sizes, weights=(5, 2, 1), share=1.5, cap=2.0):
     names = sorted(sizes, key=lambda s: (s is None, s))
     w = {s: weights[i % 3] for i, s in enumerate(names)}
