@@ -14,11 +14,6 @@ def to_top_left(box: Column, height: Column) -> Column:
     return F.when((box["origin"] == "TOPLEFT") | height.isNull(), box).otherwise(flipped)
 
 
-def to_bottom_left(box: Column, height: Column) -> Column:
-    flipped = F.struct(box["l"].alias("l"), (height - box["t"]).alias("t"), box["r"].alias("r"), (height - box["b"]).alias("b"), F.lit("BOTTOMLEFT").alias("origin"))
-    return F.when(box["origin"] == "BOTTOMLEFT", box).otherwise(flipped)
-
-
 def area(box: Column) -> Column:
     """0 for an empty or upside-down box."""
     return F.greatest(box["r"] - box["l"], F.lit(0.0)) * F.greatest(box["b"] - box["t"], F.lit(0.0))

@@ -1,7 +1,7 @@
 """Texts rebuilt from the places of words and glyphs, and their use where an extracted text is spaced or cut.
 
-words: doc_id, page_no, block_no, line_no, word_no, text, x0, y0, x1, y1. glyphs: doc_id, page_no, glyph_no, ch, x0, y0, x1, y1. Boxes to look in: doc_id, item_no, page_no, box. A
-box's words and glyphs are gathered into one array, which is as large as a cell or a paragraph, and read there.
+words: doc_id, page_no, block_no, line_no, word_no, text, x0, y0, x1, y1. glyphs: doc_id, page_no, glyph_no, ch, x0, y0, x1, y1. Boxes to look in: doc_id, item_no, page_no, box, and
+page_height where it is known. A box's words and glyphs are gathered into one array, which is as large as a cell or a paragraph, and read there.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmill.functions.detect import facts, needs_spacing_fix, needs_table_cell_repair, prefers
+from quillmill.functions.geometry import clip
 from quillmill.functions.regex import let
 from quillmill.functions.text import compact_numeric_spacing
 from quillmill.sources.io import staged
@@ -96,9 +97,17 @@ def read_words(pieces: Column, gap_ratio: float = GAP_RATIO, line_ratio: float =
     return _reader(True, gap_ratio, line_ratio, 0.0)(pieces)
 
 
-def _meets(pad: float) -> Column:
+def _grown(boxes: DataFrame, pad: float) -> DataFrame:
+    """boxes with each box grown by pad, but not beyond its page where that has a height."""
+    far = 1e12
+    height = F.col("page_height") if "page_height" in boxes.columns else F.lit(None).cast("double")
+    page = F.struct(F.lit(-far).alias("l"), F.when(height.isNull(), -far).otherwise(0.0).alias("t"), F.lit(far).alias("r"), F.coalesce(height, F.lit(far)).alias("b"))
+    return boxes.withColumn("box", clip(F.col("box"), page, pad))
+
+
+def _meets() -> Column:
     b = F.col("box")
-    return (F.col("x1") > b["l"] - pad) & (F.col("x0") < b["r"] + pad) & (F.col("y1") > b["t"] - pad) & (F.col("y0") < b["b"] + pad)
+    return (F.col("x1") > b["l"]) & (F.col("x0") < b["r"]) & (F.col("y1") > b["t"]) & (F.col("y0") < b["b"])
 
 
 def _mostly_in(ios: float) -> Column:
@@ -120,8 +129,9 @@ def words_in(boxes: DataFrame, words: DataFrame, condition: Column) -> DataFrame
 
 
 def _candidates(boxes: DataFrame, words: DataFrame, glyphs: DataFrame, pad: float, name: str) -> DataFrame:
-    w = words_in(boxes, words, _meets(pad)).withColumnRenamed("text", "w")
-    g = glyphs_in(boxes, glyphs, _meets(pad)).select("doc_id", "item_no", read_glyphs(F.col("pieces")).alias("g"))
+    grown = _grown(boxes, pad)
+    w = words_in(grown, words, _meets()).withColumnRenamed("text", "w")
+    g = glyphs_in(grown, glyphs, _meets()).select("doc_id", "item_no", read_glyphs(F.col("pieces")).alias("g"))
     both = w.join(g, ["doc_id", "item_no"], "full")
     tidy = lambda c: compact_numeric_spacing(F.trim(F.coalesce(c, F.lit(""))))
     return both.select("doc_id", "item_no", tidy(F.col("w")).alias(f"{name}_w"), tidy(F.col("g")).alias(f"{name}_g"))
@@ -161,7 +171,8 @@ def repair(boxes: DataFrame, words: DataFrame, glyphs: DataFrame, table_mode: bo
     """
     own = F.coalesce(F.col("text"), F.lit(""))
     wanted = boxes.filter(needs_table_cell_repair(own) if table_mode else needs_spacing_fix(own)).filter("box IS NOT NULL AND page_no IS NOT NULL")
-    wanted = staged(wanted.select("doc_id", "item_no", "page_no", "box", "text"), "to-repair")  # it meets words and glyphs several times
+    kept = [c for c in ("doc_id", "item_no", "page_no", "page_height", "box", "text") if c in boxes.columns]
+    wanted = staged(wanted.select(*kept), "to-repair")  # it meets words and glyphs several times
     c = wanted.join(_candidates(wanted, words, glyphs, pad, "n"), ["doc_id", "item_no"], "left")
     if table_mode:
         c = c.join(_candidates(wanted, words, glyphs, 3 * pad, "f"), ["doc_id", "item_no"], "left")

@@ -85,7 +85,7 @@ def escalate(plain: Corpus, ocr: Corpus | None, mode: str = "auto") -> Corpus:
 
 
 def _boxes(rows: DataFrame, pages: DataFrame, number: Column) -> DataFrame:
-    return rows.withColumn("item_no", number).join(pages, ["doc_id", "page_no"], "left").withColumn("box", to_top_left(F.col("bbox"), F.col("height"))).drop("height")
+    return rows.withColumn("item_no", number).join(pages, ["doc_id", "page_no"], "left").withColumn("box", to_top_left(F.col("bbox"), F.col("height"))).withColumnRenamed("height", "page_height")
 
 
 def repair_spacing(c: Corpus, how: str = "pymupdf") -> Corpus:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from pathlib import Path
 
@@ -46,6 +47,13 @@ def parse_languages(text: str) -> list[str]:
     return [x for x in (part.strip() for part in text.replace("+", ",").split(",")) if x]
 
 
+def best_languages(available: Iterable[str]) -> str | None:
+    """Of the languages an OCR engine has, those to read key figures with: Romanian and English, else one of them, else None."""
+    have = set(available)
+    found = [x for x in ("ron", "eng") if x in have]
+    return "+".join(found) or None
+
+
 def ocr_options(engine: str, languages: str, full_page: bool = False) -> OcrOptions:
     return OcrOptions(engine if engine in ("tesseract", "rapidocr", "easyocr") else "auto", tuple(parse_languages(languages)), full_page)
 

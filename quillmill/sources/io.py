@@ -68,6 +68,28 @@ def extract(spark: SparkSession, path: str, extractor: Extractor, name: str) ->
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, schema)
 
 
+def read_pictures(pictures: DataFrame, files: DataFrame, reader: Callable[[bytes, int, dict, str | None], str | None] | None, languages: str | None = None) -> DataFrame:
+    """(doc_id, item_no, text): what an OCR reader makes of each picture, given its file's bytes, page, box and languages; null without a reader, empty where it fails.
+
+    pictures: doc_id, item_no, page_no, bbox. files: doc_id, content.
+    """
+    schema = "doc_id long, item_no int, text string"
+    if reader is None:
+        return pictures.select("doc_id", "item_no", F.lit(None).cast("string").alias("text"))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            said = []
+            for content, page, box in zip(frame["content"], frame["page_no"], frame["bbox"], strict=True):
+                try:
+                    said.append(reader(content, page, box, languages) or "")
+                except Exception:  # a picture that can't be read has no text
+                    said.append("")
+            yield frame[["doc_id", "item_no"]].assign(text=said)
+
+    return pictures.filter("page_no IS NOT NULL AND bbox IS NOT NULL").select("doc_id", "item_no", "page_no", "bbox").join(files.select("doc_id", "content"), "doc_id").mapInPandas(run, schema)
+
+
 def write_markdown(docs: DataFrame, path: str, files: bool = False) -> None:
     """Parquet of (doc_id, markdown), in files of many documents; or, on request and for few documents, a text file for each, in a folder of its id."""
     out = docs.select("doc_id", "markdown")

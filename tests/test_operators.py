@@ -210,6 +210,25 @@ def test_command_line(spark, tmp_path, capsys):
     assert decoded.count() >= 1
 
 
+def test_pictures_are_read_by_a_given_reader(spark):
+    box = (0.0, 0.0, 9.0, 9.0, "TOPLEFT")
+    pics = spark.createDataFrame([(1, 0, 1, box), (1, 1, 2, box), (2, 0, 1, None)], f"doc_id long, item_no int, page_no int, bbox {io.BOX}")
+    files = spark.createDataFrame([(1, bytearray(b"x")), (2, bytearray(b"y"))], "doc_id long, content binary")
+    reader = lambda content, page, box, languages: f"{content.decode()} {page} {box['r']} {languages}" if page == 1 else 1 / 0
+    got = {(r["doc_id"], r["item_no"]): r["text"] for r in io.read_pictures(pics, files, reader, config.best_languages(["eng", "osd", "ron"])).collect()}
+    assert got == {(1, 0): "x 1 9.0 ron+eng", (1, 1): ""}
+    assert [r["text"] for r in io.read_pictures(pics, files, None).collect()] == [None] * 3
+    assert config.best_languages(["eng"]) == "eng" and config.best_languages(["deu"]) is None
+
+
+def test_boxes_grow_to_the_edge_of_the_page(spark):
+    box = (0.0, 0.0, 62.0, 10.0, "TOPLEFT")
+    cells = spark.createDataFrame([(1, 0, 1, 10.0, box, "ve n i t"), (2, 0, 1, None, box, "ve n i t")], f"doc_id long, item_no int, page_no int, page_height double, box {io.BOX}, text string")
+    words = spark.createDataFrame([(d, 1, 0, 0, 0, "venit", 1.0, 1.0, 40.0, 9.0) for d in (1, 2)] + [(d, 1, 1, 0, 0, "afara", 1.0, 10.5, 40.0, 12.0) for d in (1, 2)], io.SCHEMAS["words"])
+    near = {d: glyphs.words_in(glyphs._grown(cells, 1.0), words, glyphs._meets()).filter(F.col("doc_id") == d).first()["text"] for d in (1, 2)}
+    assert near == {1: "venit", 2: "venit afara"}
+
+
 def test_choice_of_readings(spark):
     item = lambda doc, no, text, page=1, kind="text": (doc, no, kind, kind, 0, text, page, None, 0)
 
