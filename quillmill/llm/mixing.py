@@ -67,9 +67,19 @@ def water_filled(sources: DataFrame, weights: tuple[float, ...], share: float, c
 
 
 def _owner(places: DataFrame, ranges: DataFrame, cell: int) -> DataFrame:
-    """places joined with the range (first, slots) that holds their `place`, by cells of places: a range has a row for each cell it meets, and few meet a cell."""
-    cells = ranges.withColumn("cell", F.explode(F.expr(f"sequence(first div {cell}, (first + slots - 1) div {cell})")))
-    return places.withColumn("cell", F.expr(f"place div {cell}")).join(cells, "cell").filter("place >= first AND place < first + slots").drop("cell")
+    """places (slot, shard, place) with the columns of the range (first, slots) that holds their place.
+
+    Both are dealt by cells of places, where a range begins again in each cell it meets, and each place takes the range that began last: linear, however many ranges a cell has.
+    """
+    fields = [c for c in ranges.columns if c not in ("first", "slots")]
+    starts = ranges.withColumn("cell", F.explode(F.expr(f"sequence(first div {cell}, (first + slots - 1) div {cell})")))
+    begun = F.struct("first", "slots", *fields)
+    none = F.lit(None).cast("long")
+    starts = starts.select("cell", F.greatest("first", F.col("cell") * cell).alias("place"), begun.alias("own"), none.alias("slot"), none.alias("shard"))
+    own = places.select(F.expr(f"place div {cell}").alias("cell"), "place", F.lit(None).cast(starts.schema["own"].dataType).alias("own"), "slot", "shard")
+    before = Window.partitionBy("cell").orderBy("place", F.col("slot").asc_nulls_first())
+    met = starts.unionByName(own).withColumn("own", F.last("own", ignorenulls=True).over(before)).filter("slot IS NOT NULL AND place >= own.first AND place < own.first + own.slots")
+    return met.select("slot", "shard", "place", "own.first", *[f"own.{c}" for c in fields])
 
 
 def _running(counts: DataFrame, group: int = 1024) -> DataFrame:
