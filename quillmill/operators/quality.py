@@ -14,8 +14,9 @@ def report(text: Column) -> Column:
     def of_lines(lines: Column) -> Column:
         short = F.filter(lines, lambda x: (F.length(F.replace(x, F.lit(" "), F.lit(""))) <= 4) & x.rlike(r"\p{L}"))
         told = F.filter(lines, lambda x: (F.length(x) >= 6) & ~x.rlike(r"^(?:<!-- image|<!-- page break|#)"))
-        # a line occurs three times if the sorted lines hold it again two places on
-        often = let(F.array_sort(F.transform(told, F.lower)), lambda s: F.array_distinct(F.filter(s, lambda x, i: F.coalesce(F.get(s, i + 2) == x, F.lit(False)))))
+        # a line occurs three times if the sorted lines hold it again two places on; texts that lack two lines of their distinct ones aren't sorted
+        thrice = lambda s: F.array_distinct(F.filter(s, lambda x, i: F.coalesce(F.get(s, i + 2) == x, F.lit(False))))
+        often = let(F.transform(told, F.lower), lambda x: F.when(F.size(x) - F.size(F.array_distinct(x)) < 2, F.array().cast("array<string>")).otherwise(let(F.sort_array(x), thrice)))
         control = count_of(text, r"[\x00-\x1f&&[^\n\t]]")
         return let(
             F.struct(F.size(short).cast("long").alias("s"), F.size(often).cast("long").alias("r"), control.cast("long").alias("c")),
