@@ -80,12 +80,15 @@ def spacing_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _docs(spark, sf_dir).select("doc_id", flags.alias("flags")).select("doc_id", n("spaced"), n("multi_space"), F.size("flags").cast("long").alias("n"))
 
 
-@query(rf"""
+_COLLAPSED = rf"""
 WITH t AS (SELECT doc_id, line_no, line, list_transform(regexp_extract_all(line, '{_W}+'), lambda x: length(x)) AS n FROM ({_LINES}))
 SELECT doc_id, line_no::BIGINT AS line_no, regexp_matches(line, '[\p{{L}}\p{{Nl}}\p{{No}}]{{20}}') OR regexp_matches(line, '[\p{{L}}\p{{Nl}}\p{{No}}]{{6}}\p{{Nd}}{{2,}}[\p{{L}}\p{{Nl}}\p{{No}}]{{2}}|\p{{Nd}}{{2}}[\p{{L}}\p{{Nl}}\p{{No}}]{{6}}')
   OR length(line) >= 60 AND len(n) >= 8 AND (list_avg(n) >= 9 OR len(list_filter(n, lambda x: x >= 18)) >= 2 OR length(line) > 120 AND length(line) - length(replace(line, ' ', '')) < 0.05 * length(line)) AS collapsed
 FROM t
-""")
+"""
+
+
+@query(_COLLAPSED)
 def collapsed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lines(spark, sf_dir).select("doc_id", "line_no", is_collapsed(F.col("line")).alias("collapsed"))
 
@@ -159,6 +162,29 @@ def page_audit_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.worst_pages(audit.per_page(views.of(spark, sf_dir, views.PAGES), views.of(spark, sf_dir, views.RENDERED)), 100)
 
 
+def _metrics_sql() -> str:
+    structure = f"""SELECT doc_id, markdown, string_split(markdown, chr(10)) AS x FROM ({views.MD})"""
+    return f"""
+WITH s AS (SELECT doc_id, 0 AS page_no, 'r' AS side, text FROM documents UNION ALL SELECT doc_id, 0, 'c', markdown FROM ({views.MD})), e AS ({_ENTRIES}), a AS ({_SHARES}),
+m AS (SELECT doc_id, length(markdown)::BIGINT AS md_text_length, len(list_filter(x, lambda y: starts_with(ltrim(y), '#')))::BIGINT AS heading_count_md,
+  len(list_filter(generate_series(2, len(x)), lambda i: starts_with(trim(x[i]), '|') AND contains(x[i], '---') AND contains(x[i - 1], '|')))::BIGINT AS table_count_md FROM ({structure})),
+i AS (SELECT l.doc_id, count(*) FILTER (l.line <> '')::BIGINT AS total_text_items, count(*) FILTER (regexp_matches(l.line, '\\S[ \\t][ \\t]+\\S'))::BIGINT AS multi_space_text_items, count(*) FILTER (l.line <> '' AND (l.spaced OR c.collapsed))::BIGINT AS spaced_text_items,
+  count(*) FILTER (l.line_no = 0)::BIGINT AS heading_count_pdf FROM ({_SPACED} SELECT * FROM z) l JOIN ({_COLLAPSED}) c USING (doc_id, line_no) GROUP BY l.doc_id),
+t AS (SELECT doc_id, count(*)::BIGINT AS table_count_pdf, sum(num_rows * num_cols)::BIGINT AS table_cells_pdf, count(*)::BIGINT AS total_table_cells FROM (SELECT *, num_cols = 2 AND num_rows >= 6 AND doc_id % 2 = 0 AS toc_like FROM ({views.CONTENTS})) WHERE NOT toc_like GROUP BY doc_id)
+SELECT d.doc_id, token_coverage, numeric_recall, date_recall, coalesce(table_count_pdf, 0) AS table_count_pdf, table_count_md, coalesce(table_cells_pdf, 0) AS table_cells_pdf, heading_count_pdf, heading_count_md, length(d.text)::BIGINT AS pdf_text_length, md_text_length,
+  0::BIGINT AS spaced_table_cells, coalesce(total_table_cells, 0) AS total_table_cells, spaced_text_items, multi_space_text_items, total_text_items
+FROM documents d JOIN a USING (doc_id) JOIN m USING (doc_id) JOIN i USING (doc_id) LEFT JOIN t USING (doc_id)"""
+
+
+@query(_metrics_sql())
+def document_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All metrics of each whole text, its lines as items, against a rendering with headings and tables."""
+    docs = _docs(spark, sf_dir).select("doc_id", "text").join(views.of(spark, sf_dir, views.MD).select("doc_id", "markdown"), "doc_id")
+    items = _lines(spark, sf_dir).select("doc_id", F.lit("text").alias("kind"), F.when(F.col("line_no") == 0, "section_header").otherwise("text").alias("label"), F.col("line").alias("text"))
+    v = views.of(spark, sf_dir, views.CONTENTS)
+    return audit.document_metrics(docs, items, v.drop("text"), v.select("doc_id", "table_no", F.lit(0).alias("cell_no"), "text"))
+
+
 # --- Markdown --------------------------------------------------------------------------------------
 
 _PARTS = f"string_split(markdown, '{views.BREAK}')"
