@@ -12,6 +12,8 @@ to the executors as a jar.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import zipfile
 from importlib.resources import files
@@ -33,7 +35,9 @@ def _classes(spark: SparkSession):
         compiler = spark._jvm.org.codehaus.janino.SimpleCompiler()
         compiler.setParentClassLoader(spark._jvm.org.apache.spark.util.Utils.getContextOrSparkClassLoader())
         compiler.cook(files("quillmill.llm").joinpath("IdCoder.java").read_text())
-        jar = Path(tempfile.mkdtemp(prefix="quillmill-")) / "quillmill-id-coder.jar"
+        folder = tempfile.mkdtemp(prefix="quillmill-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        jar = Path(folder) / "quillmill-id-coder.jar"
         with zipfile.ZipFile(jar, "w") as z:
             for name, code in dict(compiler.getBytecodes()).items():
                 z.writestr(name.replace(".", "/") + ".class", bytes(code))
