@@ -59,7 +59,7 @@ def _bundle(texts: list[str]) -> np.ndarray:
     raw = np.frombuffer(("\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
     s, doc = symbols[raw], np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
     keep = np.ones(len(s), bool)
-    keep[1:] = (s[1:] != 0) | (s[:-1] != 0)  # a gap of any length is one space
+    keep[1:] = (s[1:] != 0) | (s[:-1] != 0) | (doc[1:] != doc[:-1])  # a gap of any length is one space, in each text
     s, doc = s[keep].astype(np.int32), doc[keep]
     code = (s[:-2] << 16) | (s[1:-1] << 8) | s[2:]
     inside = (doc[:-2] == doc[2:]) & (s[1:-1] != 0)
