@@ -23,9 +23,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in none of the learned languages go: those without a letter, and those of 100 letters or more that are far from every language's profile. Nothing is shuffled."""
-    names, prototypes = language_id.learn(docs)
-    return language_id.keep_known(docs, names, prototypes, language_id.least_score(docs, names, prototypes))
+    """Documents in none of the learned languages go: those without a letter, and those of 100 letters or more that are far from every language's profile. Profiles and the floor come from
+    all learning documents, each read in both passes. Only sums by language and counts by step are shuffled."""
+    names, prototypes = language_id.learn(docs, None)
+    return language_id.keep_known(docs, names, prototypes, language_id.least_score(docs, names, prototypes, None))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

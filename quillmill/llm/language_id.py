@@ -27,6 +27,8 @@ GRAM = 3
 _SEED = 20_11
 #: Letters from which on a text's cosine tells whether it is in a learned language; the floor of that cosine, as a share of what all learning documents but a tail reach.
 LONG, FLOOR_SHARE, FLOOR_TAIL = 100, 0.4, 0.005
+#: Steps from 0 to 1 by which cosines are counted to find that floor.
+_STEPS = 10_000
 _CHUNK_CHARS, _CHUNK_DOCS, _TILE = 1 << 20, 256, 1 << 13
 
 
@@ -103,9 +105,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _sample(docs: DataFrame, per_language: int, id_col: str, text_col: str, lang_col: str) -> DataFrame | None:
-    """(lang, text) of the learning documents; None if there are none."""
+def _sample(docs: DataFrame, per_language: int | None, id_col: str, text_col: str, lang_col: str) -> DataFrame | None:
+    """(lang, text) of the learning documents, all of them if per_language is None; None if there are none."""
     own = only(docs, id_col, lang_col, text_col).toDF("id", "lang", "text").filter("id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").filter(~held_out(F.col("id")))
+    if per_language is None:
+        return own.select("lang", "text")
     sizes = {r["lang"]: r["count"] for r in own.groupBy("lang").count().collect()}  # one row per language
     if not sizes:
         return None
@@ -113,8 +117,8 @@ def _sample(docs: DataFrame, per_language: int, id_col: str, text_col: str, lang
     return own.join(F.broadcast(share), "lang").filter(F.pmod(F.xxhash64("id", F.lit(_SEED)), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("lang", "text")
 
 
-def learn(docs: DataFrame, per_language: int = 4000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
-    """Languages and their prototypes, from a sample of about per_language labelled documents of each language, chosen by a hash of the id."""
+def learn(docs: DataFrame, per_language: int | None = 4000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
+    """Languages and their prototypes, from a sample of about per_language labelled documents of each language, chosen by a hash of the id; from all of them if per_language is None."""
     sample = _sample(docs, per_language, id_col, text_col, lang_col)
     if sample is None:
         return [], np.zeros((0, DIM))
@@ -132,7 +136,7 @@ def learn(docs: DataFrame, per_language: int = 4000, id_col: str = "doc_id", tex
         return pd.DataFrame({"lang": group["lang"][:1], "total": [sum(np.frombuffer(b) for b in group["total"]).tobytes()]})
 
     rows = sorted(sample.mapInArrow(sums, "lang string, total binary").groupBy("lang").applyInPandas(add, "lang string, total binary").collect())
-    names, out = [r["lang"] for r in rows], np.array([np.frombuffer(r["total"]) for r in rows])
+    names, out = [r["lang"] for r in rows], np.array([np.frombuffer(r["total"]) for r in rows]).reshape(-1, DIM)
     out /= np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
     return names, out
 
@@ -160,19 +164,27 @@ def identify(docs: DataFrame, per_language: int = 4000, id_col: str = "doc_id",
     return predict(docs, *learn(docs, per_language, id_col, text_col, lang_col), id_col, text_col)
 
 
-def least_score(docs: DataFrame, names: list[str], prototypes: np.ndarray, per_language: int = 4000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> float:
-    """The cosine under which a text of LONG letters is in none of the languages: FLOOR_SHARE of what all but FLOOR_TAIL of the learning documents of that length reach; 0 without such."""
+def least_score(docs: DataFrame, names: list[str], prototypes: np.ndarray, per_language: int | None = 4000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> float:
+    """The cosine under which a text of LONG letters is in none of the languages: FLOOR_SHARE of what all but FLOOR_TAIL of the learning documents of that length reach, in whole steps; 0 without such.
+
+    Cosines are counted by steps, every one of them, so neither the order nor the partitions of the rows change the result."""
     sample = _sample(docs, per_language, id_col, text_col, lang_col)
     if sample is None or not names:
         return 0.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(_STEPS + 1, np.int64)
         for batch in slices(batches):
             texts = [t for t in batch.column(0).to_pylist() if _is_long(t)]
-            yield pa.RecordBatch.from_pydict({"score": pa.array((profiles(texts) @ prototypes.T).max(axis=1) if texts else [], pa.float64())})
-
-    reached = sample.select("text").mapInArrow(run, "score double").agg(F.percentile_approx("score", FLOOR_TAIL, 10_000)).first()[0]
-    return FLOOR_SHARE * max(reached or 0.0, 0.0)
+            if texts:
+                score = (profiles(texts) @ prototypes.T).max(axis=1)
+                n += np.bincount((np.clip(score, 0, 1) * _STEPS).astype(np.int64), minlength=len(n))
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_pydict({"step": pa.array(at, pa.int64()), "n": pa.array(n[at], pa.int64())})
+
+    counts = sorted(sample.select("text").mapInArrow(run, "step long, n long").groupBy("step").agg(F.sum("n").alias("n")).collect())  # a row for each step at most
+    upto = np.cumsum([r["n"] for r in counts])
+    return FLOOR_SHARE * counts[int(np.searchsorted(upto, FLOOR_TAIL * upto[-1], "right"))]["step"] / _STEPS if counts else 0.0
 
 
 def _is_long(text: str) -> bool:

@@ -214,6 +214,33 @@ def test_language_stage_rejects_by_profile(spark):
     assert not [r for r in kept if r["source"] == "noise"] and len(kept) == len([r for r in rows(docs) if any(map(str.isalpha, r["text"] or ""))])
 
 
+def test_language_stage_learns_from_all_documents(spark):
+    """Of one language's 9,000 documents, those that a sample of 4,000 would leave out are written in letters of their own."""
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+
+    from quillmill.llm import language_id
+
+    n = 9000
+    ids = spark.range(16_000).filter(~language_id.held_out(F.col("id"))).orderBy("id").limit(n)
+    inside = {r["id"]: r["inside"] for r in ids.withColumn("inside", F.pmod(F.xxhash64("id", F.lit(language_id._SEED)), F.lit(1 << 20)) < F.lit(4000 / n * (1 << 20))).collect()}
+    assert len(inside) == n and 3000 < sum(inside.values()) < 5000
+    latin, other = "the quick brown fox jumps over the lazy dog and sleeps in the warm sun " * 2, "все люди рождаются свободными и равными в своем достоинстве и правах " * 2
+    docs = spark.createDataFrame([(i, latin if k else other, "en", "a", 1) for i, k in inside.items()], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    assert corpus_pipeline.language_stage(spark, docs, "").count() == n
+
+
+def test_floor_is_that_of_all_learning_documents(spark, small_docs):
+    from quillmill.llm import language_id
+
+    names, prototypes = language_id.learn(small_docs, None)
+    learned = [r["text"] for r in rows(small_docs.filter(~language_id.held_out(small_docs["doc_id"])).filter("lang IS NOT NULL AND text IS NOT NULL"))]
+    score = sorted((language_id.profiles([t for t in learned if language_id._is_long(t)]) @ prototypes.T).max(axis=1))
+    want = language_id.FLOOR_SHARE * score[int(language_id.FLOOR_TAIL * len(score))]
+    assert abs(language_id.least_score(small_docs.repartition(3), names, prototypes, None) - want) <= language_id.FLOOR_SHARE / language_id._STEPS + 1e-9
+    assert language_id.least_score(small_docs.limit(0), names, prototypes, None) == 0.0 and language_id.learn(small_docs.limit(0), None)[0] == []
+
+
 def test_word_hashes():
     w = common.word_hashes("Ab ab x  ab\n\x0bé")
     assert len(w) == 4 and w[0] == w[2] and len(set(w.tolist())) == 3 and len(common.word_hashes(None)) == len(common.word_hashes(" \n")) == 0
