@@ -49,10 +49,7 @@ def _letters() -> np.ndarray:
     return np.stack([np.roll(base, GRAM - 1 - k, axis=1) for k in range(GRAM)]).astype(np.float32)
 
 
-@lru_cache(maxsize=1)
-def _room() -> tuple[np.ndarray, np.ndarray]:
-    """For every possible run: whether it occurs (left clear after use), and its number among those that do."""
-    return np.zeros(1 << 24, bool), np.zeros(1 << 24, np.int32)
+_CACHES = (_symbols, _letters)
 
 
 def _bundle(texts: list[str]) -> np.ndarray:
@@ -63,19 +60,23 @@ def _bundle(texts: list[str]) -> np.ndarray:
     keep = np.ones(len(s), bool)
     keep[1:] = (s[1:] != 0) | (s[:-1] != 0) | (doc[1:] != doc[:-1])  # a gap of any length is one space, in each text
     s, doc = s[keep].astype(np.int32), doc[keep]
-    code = (s[:-2] << 16) | (s[1:-1] << 8) | s[2:]
-    inside = (doc[:-2] == doc[2:]) & (s[1:-1] != 0)
+    present = np.flatnonzero(np.bincount(s, minlength=1))  # symbols are numbered among those that occur, so that runs have few possible codes
+    rank, k = np.zeros(256, np.int32), len(present)
+    rank[present] = np.arange(k)
+    s, letter = rank[s], s != 0
+    code = (s[:-2] * k + s[1:-1]) * k + s[2:]
+    inside = (doc[:-2] == doc[2:]) & letter[1:-1]
     code, doc = code[inside], doc[:-2][inside]
-    seen, place = _room()
+    seen, place = np.zeros(k**3, bool), np.zeros(k**3, np.int32)
     seen[code] = True
     used = np.flatnonzero(seen)
-    seen[used] = False
     place[used] = np.arange(len(used))
     run, out = place[code], np.zeros((len(texts), DIM), np.float32)
     for low in range(0, len(used), _TILE):  # distinct runs by the tile, so that texts of very many need no more memory
         own, inside = used[low : low + _TILE], slice(None) if len(used) <= _TILE else (run >= low) & (run < low + _TILE)
         count = np.bincount(doc[inside].astype(np.int64) * len(own) + (run[inside] - low), minlength=len(texts) * len(own))
-        out += count.reshape(len(texts), len(own)).astype(np.float32) @ (letters[0][own >> 16] * letters[1][(own >> 8) & 255] * letters[2][own & 255])
+        first, second, third = (present[own // k ** (2 - n) % k] for n in range(GRAM))
+        out += count.reshape(len(texts), len(own)).astype(np.float32) @ (letters[0][first] * letters[1][second] * letters[2][third])
     return out
 
 
@@ -126,7 +127,7 @@ def learn(docs: DataFrame, per_language: int | None = 4000, id_col: str = "doc_i
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
-        for batch in slices(batches):
+        for batch in slices(batches, caches=_CACHES):
             names, vectors = np.array(batch.column(0).to_pylist(), object), profiles(batch.column(1).to_pylist())
             for k in set(names):
                 total[k] = total.get(k, 0) + vectors[names == k].sum(axis=0, dtype=np.float64)
@@ -146,7 +147,7 @@ def predict(docs: DataFrame, names: list[str], prototypes: np.ndarray, id_col: s
     schema = pa.schema([(id_col, pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("margin", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, caches=_CACHES):
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             vectors = profiles(texts)
             some = np.fromiter((bool(names) and any(map(str.isalpha, t or "")) for t in texts), bool, len(texts))
@@ -174,7 +175,7 @@ def least_score(docs: DataFrame, names: list[str], prototypes: np.ndarray, per_l
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(_STEPS + 1, np.int64)
-        for batch in slices(batches):
+        for batch in slices(batches, caches=_CACHES):
             texts = [t for t in batch.column(0).to_pylist() if _is_long(t)]
             if texts:
                 score = (profiles(texts) @ prototypes.T).max(axis=1)
@@ -196,7 +197,7 @@ def keep_known(docs: DataFrame, names: list[str], prototypes: np.ndarray, least:
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, caches=_CACHES):
             texts = batch.column(at).to_pylist()
             score = (profiles(texts) @ prototypes.T).max(axis=1) if names and texts else np.zeros(len(texts))
             yield batch.filter(pa.array([bool(names) and any(map(str.isalpha, t or "")) and (x >= least or not _is_long(t)) for t, x in zip(texts, score, strict=True)], pa.bool_()))

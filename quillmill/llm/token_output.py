@@ -74,7 +74,7 @@ def _segments(tokenizer: str):
             row = [[part], [segment], [start], [size], [doc_ids], [np.cumsum(lengths) - lengths], [lengths], [b"".join(held)]]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, _ARROW.types, strict=True)], schema=_ARROW)
 
-        for rows in slices(batches):
+        for rows in slices(batches, caches=(encoder,)):
             for doc, value in zip(rows.column(0).to_pylist(), model.values(rows.column(1).to_pylist()), strict=True):
                 doc_ids.append(doc)
                 held.append(value + end)

@@ -162,7 +162,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, limit: int = 1024,
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()  # equal rows of one id come to one task
-        for batch in slices(batches):
+        for batch in slices(batches, caches=(counter, piece_counter)):
             new = {d: t for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if d not in seen}
             seen.update(new)
             yield pa.RecordBatch.from_arrays([pa.array(list(new), pa.binary()), pa.array(counts(tokenizer, list(new.values())), pa.int64())], schema=schema)

@@ -241,6 +241,28 @@ def test_floor_is_that_of_all_learning_documents(spark, small_docs):
     assert language_id.least_score(small_docs.limit(0), names, prototypes, None) == 0.0 and language_id.learn(small_docs.limit(0), None)[0] == []
 
 
+def test_workers_hold_the_caches_of_one_operator():
+    import tracemalloc
+    from functools import lru_cache
+
+    from quillmill.llm import language_id
+    from quillmill.llm.common import slices
+
+    one, other = (lru_cache(maxsize=1)(lambda: bytearray(8)) for _ in range(2))
+    for caches, held in (((one,), (1, 0)), ((one,), (1, 0)), ((other,), (0, 1)), ((), (0, 0))):
+        list(slices(iter([]), caches=caches))
+        for cache in caches:
+            cache()
+        assert (one.cache_info().currsize, other.cache_info().currsize) == held
+    language_id._symbols(), language_id._letters()
+    tracemalloc.start()
+    try:
+        language_id.profiles(["some plain words of one text"] * 100)
+        assert tracemalloc.get_traced_memory()[1] < 20e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_word_hashes():
     w = common.word_hashes("Ab ab x  ab\n\x0bé")
     assert len(w) == 4 and w[0] == w[2] and len(set(w.tolist())) == 3 and len(common.word_hashes(None)) == len(common.word_hashes(" \n")) == 0
