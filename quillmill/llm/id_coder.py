@@ -1,8 +1,9 @@
 """An adaptive context-mixing range coder of token ids, in blocks that are reset and checked on their own.
 
 The next id is predicted by the id last seen after the same two ids (order 2) and after the same one id (order 1), each with a record of how often in a row it was right.
-Whether a prediction holds is coded by a binary range coder, at a chance mixed in the logistic domain from what such records have been worth. An id that neither predicts
-is spelled bit by bit, its length first, at the chances of an adaptive order-0 model. The mixing weights are learned on the way.
+Whether a prediction holds is coded by a binary range coder, at a chance mixed in the logistic domain from what such records have been worth. Predictions that have hardly been
+right aren't tried. An id that isn't predicted is spelled in steps of four bits at the chances of an adaptive order-0 model, four of which share a machine word; in a block with ids of more than
+16 bits, the bits above these come first, as they are. The mixing weights are learned on the way.
 All arithmetic is of integers, and a block's bytes don't depend on its neighbours. Any id of 32 bits can be coded.
 
 Coding takes one step after another, some hundred instructions for each id, which neither column expressions nor array operations can do at a fair price. It is therefore two functions

@@ -30,6 +30,8 @@ from quillmill.llm.tokens import Vocabulary
 #: Ids after which a segment is closed.
 SEGMENT_IDS = 1 << 20
 END_ID = 1
+#: Most chunks and pieces remembered by a worker, about 110 MB, and how many of them outlast a clearing.
+REMEMBERED = 500_000, 100_000
 _HEAD = "part int, segment int, start long, n long, doc_ids array<long>, starts array<long>, lengths array<long>"
 _SEGMENT = f"{_HEAD}, blocks binary"
 _LONGS = pa.list_(pa.int64())
@@ -45,7 +47,7 @@ def packed(ids: list[int]) -> bytes:
 
 @lru_cache(maxsize=1)
 def encoder(path: str) -> Vocabulary:
-    return Vocabulary(path, packed, b"".join)
+    return Vocabulary(path, packed, b"".join, *REMEMBERED)
 
 
 def write(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_id", text_col: str = "text") -> None:

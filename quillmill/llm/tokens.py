@@ -67,11 +67,11 @@ def _splitting(model) -> tuple[Callable, Callable] | tuple[None, None]:
 class Vocabulary:
     """Values of texts by chunk: `value` makes a value of a list of ids, and `total` joins the values of a text."""
 
-    def __init__(self, path: str, value: Callable, total: Callable):
+    def __init__(self, path: str, value: Callable, total: Callable, remembered: int = REMEMBERED, first: int = FIRST):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.value, self.total = value, total
+        self.value, self.total, self.remembered, self.first = value, total, remembered, first
         self.model = Tokenizer.from_file(path)
         self.model.no_truncation()
         self.model.no_padding()
@@ -105,8 +105,8 @@ class Vocabulary:
             chunks = self.chunks(text)
             new, long = set(chunks).difference(self.known), ()
             if new:
-                if len(self.known) > REMEMBERED:
-                    self.known = dict(islice(self.known.items(), FIRST))
+                if len(self.known) > self.remembered:
+                    self.known = dict(islice(self.known.items(), self.first))
                     new = set(chunks).difference(self.known)
                 long = self._learn(new)
             out[i] = self.total(map(self.known.__getitem__, chunks))

@@ -90,6 +90,34 @@ def test_coder_round_trip(spark):
             spark.createDataFrame([(bytearray(bad),)], "coded binary").select(id_coder.decoded(spark, "coded")).collect()
 
 
+def test_coder_spells_any_ids_in_few_bits(spark):
+    rng = np.random.default_rng(8)
+    n = id_coder.BLOCK
+    skewed = np.minimum(rng.geometric(0.02, 3 * n) * 700 % 49_000, 48_999)
+    blocks = [rng.integers(0, 1 << 32, n), np.concatenate([skewed[:n], rng.integers(0, 1 << 32, 50), skewed[n:]]), skewed, np.full(n, 65535), np.array([65535, 65536, 0, 1 << 31]), np.arange(n) % 16 * 4369]
+    blocks += [rng.integers(0, 1 << k, 5000) for k in range(1, 33)]
+    raw = [b.astype("<u4").tobytes() for b in blocks]
+    data = spark.createDataFrame([*enumerate(map(bytearray, raw))], "k int, ids binary").withColumn("coded", id_coder.encoded(spark, "ids"))
+    got = {r["k"]: r for r in data.withColumn("back", id_coder.decoded(spark, "coded")).collect()}
+    assert all(bytes(got[k]["back"]) == r for k, r in enumerate(raw))
+    assert len(got[0]["coded"]) < 1.06 * len(raw[0]) and len(got[2]["coded"]) < 0.27 * len(raw[2])
+
+
+def test_encoder_clears_what_it_remembers(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    model, texts = Tokenizer.from_file(path), [" ".join(f"{a}{b}, don't {b}{a}." for b in "pqrstuv") for a in "abcdefghijklmn"]
+    monkeypatch.setattr(token_output, "REMEMBERED", (20, 5))
+    token_output.encoder.cache_clear()
+    try:
+        own = token_output.encoder(path)
+        for text in texts * 2:
+            assert np.frombuffer(own.values([text])[0], "<u4").tolist() == model.encode(text, add_special_tokens=False).ids and len(own.known) < 80
+    finally:
+        token_output.encoder.cache_clear()
+
+
 @pytest.mark.parametrize("name", ["small_docs", "edge_docs", "wide_docs", "empty_docs"])
 def test_token_output(spark, name, request, monkeypatch):
     from tokenizers import Tokenizer
